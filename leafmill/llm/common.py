@@ -73,28 +73,25 @@ def bounded_sample(df: DataFrame, rows: int, doc_id: str = "doc_id") -> DataFram
     return df.orderBy(learning_order(doc_id), F.col(doc_id)).limit(rows)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], spread: str, rows: int, out: str) -> DataFrame:
+def ranked(df: DataFrame, keys: list[str], classes: list[str], order: list[str], spread: list[str], rows: int, out: str) -> DataFrame:
     """Number the rows of every key from 0 without a task that holds a whole key.
 
-    Rows of a key fall into buckets by a hash of column `spread`; a bucket's
-    rows are numbered by a window and shifted by the sizes of the buckets
-    before it.  The order is by `order`'s first column where it is an int
-    class (kept contiguous), else arbitrary but fixed.  `rows` sizes buckets.
+    The order is by the int columns `classes`, then arbitrary but fixed: rows
+    of a key and class fall into buckets by a hash of the columns `spread`; a
+    bucket's rows are numbered by a window over `order` and shifted by the
+    sizes of the buckets before it.  `rows` (of the whole table) sizes buckets.
     """
     buckets = max(1, rows // RANK_BUCKET_ROWS)
-    b = df.withColumn("_b", F.pmod(F.xxhash64(F.col(spread), F.lit(7)), F.lit(buckets)).cast("int"))
-    part = [*keys, *order[:1], "_b"]
+    b = df.withColumn("_b", F.pmod(F.xxhash64(*spread, F.lit(7)), F.lit(buckets)).cast("int"))
+    part = [*keys, *classes, "_b"]
     sizes = b.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    w = w.orderBy(*order[:1], "_b").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*classes, "_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*[F.col(c).alias(f"_k_{c}") for c in part], F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_start"))
-    own = Window.partitionBy(*part).orderBy(*(order[1:] or [spread]))
-    b = b.withColumn("_r", F.row_number().over(own) - 1)
-    cond = None
+    b = b.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy(*order)) - 1)
+    cond = F.lit(True)
     for c in part:
-        eq = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        cond = eq if cond is None else cond & eq
-    return b.join(starts, cond).withColumn(out, F.col("_start") + F.col("_r")).drop("_b", "_r", "_start", *[f"_k_{c}" for c in part])
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return b.join(starts, cond).withColumn(out, (F.col("_start") + F.col("_r")).cast("long")).drop("_b", "_r", "_start", *[f"_k_{c}" for c in part])
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:

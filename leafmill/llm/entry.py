@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, near_dedup
+from . import common, near_dedup, packing
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(common.documents(spark, sf_dir), keep_ids=False)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +18,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_minhash_near_dedup,)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
