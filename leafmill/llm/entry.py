@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, near_dedup, packing
+from . import common, language, near_dedup, packing, toxicity
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,19 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.documents(spark, sf_dir), words=2, percent=80)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select("doc_id", common.held_out().alias("held_out"), "score", "predicted")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return language.predict(docs.select("doc_id", "text"), language.train(docs)).select("doc_id", common.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_minhash_near_dedup, op6_toxicity, op8_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
