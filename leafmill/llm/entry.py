@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, language, near_dedup, packing, toxicity
+from . import common, language, near_dedup, packing, pii, toxicity
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.documents(spark, sf_dir), keep_ids=False)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(common.documents(spark, sf_dir))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.documents(spark, sf_dir), words=2, percent=80)
 
@@ -29,7 +33,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_minhash_near_dedup, op6_toxicity, op8_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op6_toxicity, op8_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
