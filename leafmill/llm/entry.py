@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, language, near_dedup, packing, pii, toxicity
+from . import common, embedding_dedup, language, near_dedup, packing, pii, toxicity, url_filter
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,13 +27,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", common.held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     return language.predict(docs.select("doc_id", "text"), language.train(docs)).select("doc_id", common.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op6_toxicity, op8_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
