@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, embedding_dedup, language, near_dedup, packing, pii, toxicity, url_filter
+from . import common, embedding_dedup, language, near_dedup, packing, pii, sharding, toxicity, url_filter
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,12 +36,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text"), language.train(docs)).select("doc_id", common.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(common.documents(spark, sf_dir))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op10_url_filter)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
