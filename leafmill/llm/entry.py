@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, embedding_dedup, language, near_dedup, packing, pii, sharding, spotsigs, toxicity, url_filter
+from . import common, embedding_dedup, language, near_dedup, packing, pii, segmentation, sharding, spotsigs, toxicity, url_filter
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.documents(spark, sf_dir), words=2, percent=80)
 
 
+def op4_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.sample(common.documents(spark, sf_dir), keep_ids=False)
+
+
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(common.documents(spark, sf_dir))
 
@@ -49,7 +53,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op5_spotsigs, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op9_sharding, op10_url_filter)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op4_sampled_segmentation, op5_spotsigs, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
