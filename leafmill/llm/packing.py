@@ -34,8 +34,8 @@ from . import common
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids one Python worker keeps.
-WORD_TABLE = 1_500_000
+#: Words whose ids one Python worker keeps, in each of two generations.
+WORD_TABLE = 250_000
 _WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -55,6 +55,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
@@ -92,9 +93,13 @@ class Encoder:
             words = [None if any(s in t for s in _WHOLE) else t.split() for t in part]
             missing = set(filterfalse(self.words.__contains__, chain.from_iterable(w for w in words if w)))
             if len(self.words) + 2 * len(missing) > WORD_TABLE:
-                self.words = {}
+                # the table becomes the old one; words still in use move over when they are met
+                self.words, self.old = {}, self.words
                 missing = set(chain.from_iterable(w for w in words if w))
             if missing:
+                known = {w: self.old[w] for w in missing if w in self.old}
+                self.words.update(known)
+                missing -= known.keys()
                 self._learn(missing)
             get = self.words.__getitem__
             out += [self._fresh([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(part, words, strict=True)]
