@@ -96,63 +96,55 @@ def _row(doc_id, text: str, sigs: np.ndarray, next_text: str, next_sigs: np.ndar
     return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(sigs), fingerprint(other), likeness(sigs, other), likeness(sigs, next_sigs)
 
 
-def _batch(rows: list[tuple], edge: list[tuple]) -> pa.RecordBatch:
-    """rows: finished; edge: (doc_id, text, partition, 0 first or 1 last) of rows at a partition's border."""
-    plain = [(*r, None, None, None) for r in rows] + [(e[0], *[None] * 6, *e[1:]) for e in edge]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.int32(), pa.int32()]
-    names = [*(c.split()[0] for c in _OUT.split(", ")), "text", "part", "side"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*plain, strict=True) if plain else [()] * 10, types, strict=True)], names)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = [c.split()[0] for c in _OUT.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 7, types, strict=True)], names)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Finish each row of a sorted partition with the row after it; the border rows go on as they are."""
-    held, part = None, 0
+    """Finish each row with the row after it: rows by part and descending id, after each part the row that follows it."""
+    held, part, rows = None, None, []
     for batch in batches:
-        rows, edge = [], []
-        for doc_id, text, part in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "part")), strict=True):
+        for doc_id, text, own, guest in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "text", "part", "guest")), strict=True):
+            if own == part and held is None:
+                continue  # the part is closed; the same row again
             text = text or ""
             sigs = signatures(text)
-            if held is None:
-                edge.append((doc_id, text, part, 0))
-            else:
+            if own == part:
                 rows.append(_row(*held, text, sigs))
-            held = (doc_id, text, sigs)
-            if len(rows) >= 1000:
-                yield _batch(rows, edge)
-                rows, edge = [], []
-        yield _batch(rows, edge)
-    if held is not None:
-        yield _batch([], [(held[0], held[1], part, 1)])
-
-
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [_row(i, t, signatures(t), n, signatures(n)) for i, t, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "next_text")), strict=True)]
-        yield _batch(rows, []).select([c.split()[0] for c in _OUT.split(", ")])
+            held, part = None if guest else (doc_id, text, sigs), own
+        yield _batch(rows)
+        rows = []
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprint of every document and its edited text, and their likeness (see `_OUT`).
 
-    One range exchange by descending doc_id; a partition is read in order with
-    one row held.  Only the two border rows of each partition meet the borders
-    of the others, as many rows as there are partitions.
+    Ids are cut into parts by quantiles.  The row with a part's largest id also
+    goes to the part above (the largest of all to the lowest), where it stands
+    last; so one exchange brings each row next to the one that follows it, and
+    a part is read in order with one row held.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"), "text").withColumn("part", F.spark_partition_id())
-    done = common.materialize(ordered.mapInArrow(_neighbours, _OUT + ", text string, part int, side int"), "spots")
-    columns = [c.split()[0] for c in _OUT.split(", ")]
-    first = done.where("side = 0").select("part", F.col("text").alias("next_text"))
-    used = sorted(r["part"] for r in first.select("part").collect())  # one number for each partition
-    follows = {p: q for p, q in zip(used, [*used[1:], *used[:1]], strict=True)}
-    last = done.where("side = 1").select("doc_id", "text", "part")
-    if follows:
-        pairs = spark.sql("select * from values " + ", ".join(f"({p}, {q})" for p, q in follows.items()) + " as t(part, next_part)")
-        last = last.join(pairs, "part").join(first.withColumnRenamed("part", "next_part"), "next_part")
-    else:
-        last = last.withColumn("next_text", F.col("text"))
-    return done.where("side is null").select(*columns).unionByName(last.select("doc_id", "text", "next_text").mapInArrow(_close, _OUT))
+    exchange = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [i / (4 * exchange) for i in range(1, 4 * exchange)]
+    found = docs.agg(F.percentile_approx("doc_id", cuts, 10_000).alias("q")).first()["q"]  # one number for each part
+    bounds = F.array(*[F.lit(x) for x in sorted(set(found or []))]).cast("array<long>")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda x: x < F.col("doc_id")))))
+    tops = sorted((r["part"], r["top"]) for r in rows.groupBy("part").agg(F.max("doc_id").alias("top")).collect())
+    above = {top: tops[(i + 1) % len(tops)][0] for i, (_, top) in enumerate(tops)}
+    also = F.lit(None).cast("int")
+    if above:
+        table = F.create_map(*[F.lit(x) for top, part in above.items() if top is not None for x in (top, part)]) if set(above) - {None} else None
+        also = F.get(F.array(F.try_element_at(table, F.col("doc_id"))), F.lit(0)).cast("int") if table is not None else also
+        if None in above:
+            also = F.when(F.col("doc_id").isNull(), F.lit(above[None])).otherwise(also)
+    places = F.filter(F.array(F.struct(F.col("part"), F.lit(0).alias("guest")), F.struct(also.alias("part"), F.lit(1).alias("guest"))), lambda p: p["part"].isNotNull())
+    dealt = rows.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.part", "p.guest")
+    ordered = dealt.repartition(exchange, "part").sortWithinPartitions("part", "guest", F.desc("doc_id"), "text")
+    return ordered.mapInArrow(_neighbours, _OUT)
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
