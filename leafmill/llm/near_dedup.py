@@ -215,7 +215,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     if percent < 80:
         raise ValueError("the signature is sized for similarities of 0.8 or more")
-    base = docs.select("doc_id", "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = common.materialize(base.mapInArrow(lambda it: _sketch(it, words), "doc_id long, n long, name binary, coords array<long>, sig binary"), "sketch")
     named = sketch.where("n > 0 and doc_id is not null")
     names = named.groupBy("name").agg(F.min("doc_id").alias("rep"))
@@ -234,5 +234,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     own = named.join(shared, "doc_id", "left_semi").join(names, "name").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = common.connected_components(links.unionByName(own)).select(F.col("node").alias("rep"), "component")
     of = names.join(found, "rep", "left").select("name", F.coalesce("component", "rep").alias("component_id"))
-    out = sketch.join(of, "name", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = sketch.join(of, "name", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -29,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Kinds in the order of every output.
 KINDS = ("email", "ip", "card", "phone")
@@ -435,7 +436,7 @@ def _find(batches: Iterator[pa.RecordBatch], tagger: Tagger) -> Iterator[pa.Reco
 def find(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """doc_id, counts of base spans by kind, base_sha256 and all spans as kind:start:end of `docs` (doc_id, text)."""
     tagger = tagger or trained()
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _find(it, tagger), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lambda it: _find(it, tagger), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redacted(text: str, spans: dict[str, list[Span]]) -> str:

@@ -6,8 +6,10 @@ up the counts of its hubs and would move to the shard with the most of its
 neighbours.  Moves are granted under quotas: the flows between shards are
 summed (SHARDS * SHARDS numbers), and a shard takes in no more linked rows than
 its quota of rows has room for, plus what swaps with it free; unlinked rows
-give way at the end.  A hub's members move together unless the hub
-is large against a shard.  After the last round the counts are made even
+give way at the end.  A hub's members move together.  Hubs with more than `LARGE`
+of a quota are few (SHARDS / LARGE at most, whatever the input): they take their
+places first, the largest in the emptiest shard, and spill over into the next
+only where none has room for them.  After the last round the counts are made even
 exactly: each shard's rows beyond its quota, unlinked ones first, go to the
 shards below theirs.  Rounds are joins and partial sums; the links are never
 expanded into pairs, and a round's state is written to the shared folder.
@@ -28,7 +30,7 @@ from . import common
 
 SHARDS = 8
 ROUNDS = 4
-#: A hub with more members than this share of a quota moves row by row.
+#: A hub with more members than this share of a quota is placed first.
 LARGE = 0.02
 
 
@@ -50,16 +52,39 @@ def _grants(flow: dict[tuple[int, int], int], load: list[int], room: float) -> l
     return share
 
 
+def _seats(large: list[tuple[int, int]], shards: int, quota: float) -> tuple[list[tuple[int, list[float], list[int]]], list[int]]:
+    """Places of large hubs (hub, members): rows (hub, ends of shares, shard of each), and the rows each shard takes."""
+    load, out = [0] * shards, []
+    for hub, many in sorted(large, key=lambda x: (-x[1], x[0])):
+        left, ends, to = many, [], []
+        while left > 0:
+            s = min(range(shards), key=lambda s: (load[s], s))
+            take = min(left, max(1, int(quota) - load[s]))
+            load[s] += take
+            left -= take
+            ends.append((many - left) / many)
+            to.append(s)
+        out.append((hub, ends, to))
+    return out, load
+
+
 def propagate(nodes: DataFrame, members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """`nodes` (node long and others) with shard int and tied int (neighbours in that shard).
 
     members: node long, hub long; a node may have several hubs.
     """
+    spark = nodes.sparkSession
+    quota = nodes.count() / shards
     members = members.join(members.groupBy("hub").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "hub").select("node", "hub", "many")
     members = common.materialize(members, "links")
-    state = common.checkpointed(nodes.select("node", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).cast("long").alias("tied")))
-    rows = state.count()
-    quota = rows / shards
+    large = members.where(F.col("many") > LARGE * quota)
+    seats, seated = _seats([tuple(r) for r in large.groupBy("hub").agg(F.max("many")).collect()], shards, quota)  # shards / LARGE rows at most
+    table = spark.createDataFrame(seats, "hub long, ends array<double>, places array<int>")
+    die = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    placed = large.join(F.broadcast(table), "hub").select("node", F.get("places", F.least(F.size(F.filter("ends", lambda e: e <= die)), F.size("places") - 1)).alias("seat"), "many").dropDuplicates(["node"])
+    state = nodes.select("node").join(placed, "node", "left").select("node", F.coalesce("seat", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")).alias("shard"), F.coalesce("many", F.lit(0)).cast("long").alias("tied"))
+    state = common.checkpointed(state)
+    members = members.where(F.col("many") <= LARGE * quota)
     for turn in range(rounds):
         votes = members.join(state.select("node", "shard"), "node").groupBy("hub").agg(_vector("shard", shards).alias("v"))
         # equal counts: every member of a hub prefers the same shard
@@ -67,18 +92,15 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int = SHARDS, rounds
             F.array(*[F.sum(F.get("v", F.lit(s))) for s in range(shards)]).alias("sum"), F.max(F.struct("many", "hub")).alias("main")
         )
         order = F.transform("sum", lambda n, s: F.struct(n.alias("n"), F.pmod(F.xxhash64("main.hub", s), F.lit(1 << 20)).alias("r"), s.alias("s")))
-        wish = heard.select("node", F.array_max(order)["s"].cast("int").alias("to"), "sum", "main")
-        full = state.join(wish, "node", "left").select(
-            "node", "shard", F.coalesce("to", "shard").alias("to"), "sum", F.when(F.col("main.many") > LARGE * quota, F.xxhash64("node", F.lit(turn))).otherwise(F.xxhash64("main.hub", F.lit(turn))).alias("die")
-        )
-        full = common.checkpointed(full)
+        wish = heard.select("node", F.array_max(order)["s"].cast("int").alias("to"), "sum", F.xxhash64("main.hub", F.lit(turn)).alias("die"))
+        full = common.checkpointed(state.join(wish, "node", "left").select("node", "shard", "tied", F.coalesce("to", "shard").alias("to"), "sum", "die"))
         flow = {(r["shard"], r["to"]): r["n"] for r in full.where("sum is not null").groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n")).collect()}  # shards * shards numbers
-        load = [sum(n for (f, _), n in flow.items() if f == s) for s in range(shards)]
+        load = [seated[s] + sum(n for (f, _), n in flow.items() if f == s) for s in range(shards)]
         wishes = {ft: n for ft, n in flow.items() if ft[0] != ft[1]}
         share = F.array(*[F.array(*[F.lit(x) for x in row]) for row in _grants(wishes, load, quota)])
-        moves = F.pmod("die", F.lit(1 << 30)) < F.get(F.get(share, F.col("shard")), F.col("to")) * (1 << 30)
+        moves = F.coalesce(F.pmod("die", F.lit(1 << 30)) < F.get(F.get(share, F.col("shard")), F.col("to")) * (1 << 30), F.lit(False))
         now = F.when(moves, F.col("to")).otherwise(F.col("shard"))
-        state = full.select("node", now.alias("shard"), F.coalesce(F.get("sum", now), F.lit(0)).alias("tied"))
+        state = full.select("node", now.alias("shard"), F.coalesce(F.get("sum", now), F.col("tied")).alias("tied"))
         if not wishes:
             break
     return nodes.join(common.checkpointed(state), "node")

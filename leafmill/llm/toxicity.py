@@ -34,7 +34,7 @@ TRAIN_ROWS = 8000
 EVIDENCE = 4.5
 STEMS = (4, 6)
 EPOCHS = 150
-RATE, DECAY = 0.05, 2.0
+RATE, DECAY = 0.05, 1e-3
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -93,8 +93,8 @@ class Machine:
             z, sums = self.raw(ids, starts, n)
             g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
             each = g[of]
-            gw = np.bincount(ids, each, len(self.w)) + DECAY * self.w / len(self.w)
-            gv = np.stack([np.bincount(ids, each * sums[of, f], len(self.w)) - np.bincount(ids, each, len(self.w)) * self.v[:, f] for f in range(FACTORS)], axis=1) + DECAY * self.v / len(self.w)
+            gw = np.bincount(ids, each, len(self.w)) + DECAY * self.w
+            gv = np.stack([np.bincount(ids, each * sums[of, f], len(self.w)) - np.bincount(ids, each, len(self.w)) * self.v[:, f] for f in range(FACTORS)], axis=1) + DECAY * self.v
             for k, grad in (("w", gw), ("v", gv)):
                 m, s = state[k]
                 m += 0.1 * (grad - m)
