@@ -6,7 +6,7 @@ vector for each, and the product of two vectors weighs the pair: an insult
 next to the mention of a group counts for more than their sum, which weights
 alone cannot say.  Training is full-batch Adam in numpy on a bounded sample of
 labelled rows (`TRAIN_ROWS`); only terms whose share among toxic and among
-clean rows differs by `EVIDENCE` standard errors take part, which keeps the
+clean rows differs by `EVIDENCE` standard errors, and which `MIN_ROWS` rows hold, take part; that keeps the
 machine from learning rare words by heart.  Texts reach the driver as sets of hashes, never as text.
 
 Edge cases.  Null, empty and letterless texts have no term and get the
@@ -31,7 +31,8 @@ from . import common
 BITS = 18
 FACTORS = 4
 TRAIN_ROWS = 8000
-EVIDENCE = 4.5
+EVIDENCE = 5.0
+MIN_ROWS = 6
 STEMS = (4, 6)
 EPOCHS = 150
 RATE, DECAY = 0.05, 1e-3
@@ -75,7 +76,7 @@ class Machine:
         bad, good = (np.bincount(np.concatenate([np.empty(0, np.int32), *(t for t, k in zip(texts, y, strict=True) if k == want)]).astype(np.int64), minlength=size) for want in (1, 0))
         p, n_bad, n_good = (bad + good + 0.5) / (len(y) + 1), max(y.sum(), 1), max((1 - y).sum(), 1)
         apart = (bad / n_bad - good / n_good) / np.sqrt(p * (1 - p) * (1 / n_bad + 1 / n_good))
-        known = np.flatnonzero((np.abs(apart) >= EVIDENCE) & (bad + good >= 3))
+        known = np.flatnonzero((np.abs(apart) >= EVIDENCE) & (bad + good >= MIN_ROWS))
         self.slot[known] = np.arange(1, len(known) + 1)
         rng = np.random.default_rng(seed)
         self.w = np.zeros(len(known) + 1)
