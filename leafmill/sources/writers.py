@@ -50,7 +50,11 @@ def write_release(records: DataFrame, path: str, version: str, built_at: str) ->
         included.drop(*extra).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("partition").json(f"{path}/questions")
         excluded = gated.where("decision = 'quarantine'").withColumn("_exclusion_reasons", F.col("errors")).drop(*extra)
         jsonl(excluded, f"{path}/excluded")
-        statistics = release.stats(included)
+        statistics = release.stats(included).persist()
+        text_file(spark, f"{path}/STATS.md", markdown_stats(statistics, f"Release {version}, built {built_at}"))
+        text_file(spark, f"{path}/SCHEMA.md", markdown_schema(included.drop(*extra), "Fields of a record"))
+        if included.where("partition = 'restricted'").limit(1).count():
+            text_file(spark, f"{path}/questions/partition=restricted/_RESTRICTED.txt", RESTRICTED_MARK)
         statistics.orderBy("stat", F.desc("n"), "first_item").coalesce(1).write.mode("overwrite").json(f"{path}/stats")
         warned = {r["warning"]: r["n"] for r in release.warning_counts(gated).collect()}
     finally:
@@ -60,6 +64,31 @@ def write_release(records: DataFrame, path: str, version: str, built_at: str) ->
     return done
 
 
+#: Text of the file that marks a partition which must not leave the house.
+RESTRICTED_MARK = "These items come from sources whose licence does not allow redistribution. Keep this partition internal.\n"
+
+
+def markdown_stats(statistics: DataFrame, title: str) -> str:
+    """The statistics as Markdown tables, one for each statistic; a few rows for each."""
+    rows = statistics.orderBy("stat", F.desc("n"), "first_item").collect()
+    lines = [f"# {title}"]
+    for stat in dict.fromkeys(r["stat"] for r in rows):
+        lines += ["", f"## {stat.replace('_', ' ')}", "", "| Value | Items |", "|---|--:|", *(f"| {r['value']} | {r['n']} |" for r in rows if r["stat"] == stat)]
+    return "\n".join(lines) + "\n"
+
+
+def markdown_schema(df: DataFrame, title: str) -> str:
+    return "\n".join([f"# {title}", "", "| Field | Type |", "|---|---|", *(f"| {f.name} | {f.dataType.simpleString()} |" for f in df.schema)]) + "\n"
+
+
+def text_file(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, written through Spark's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
 def artifacts(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes, sha256 of the part files below a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)

@@ -67,6 +67,9 @@ def test_release_is_written_whole_or_not_at_all(spark, tmp_path):
     line = json.loads(next(x for x in spark.read.text(str(tmp_path / "r/questions/partition=public")).toPandas()["value"] if "p0001:4" in x))
     assert "answer" in line and line["answer"] is None and line["page_image"] == "data/pages/s/d/page_0001.png"
     assert spark.read.json(str(tmp_path / "r/excluded")).first()["_exclusion_reasons"] == ["multiple_choice with 1 choice(s)"]
+    stats_md = (tmp_path / "r/STATS.md").read_text()
+    assert "## by partition" in stats_md and "| public | 2 |" in stats_md and "| stem | string |" in (tmp_path / "r/SCHEMA.md").read_text()
+    assert (tmp_path / "r/questions/partition=restricted/_RESTRICTED.txt").exists() and not (tmp_path / "r/questions/partition=public/_RESTRICTED.txt").exists()
     assert all(len(a["sha256"]) == 64 for a in done["artifacts"]) and done["artifacts"]
     with pytest.raises(writers.GateError):
         writers.write_release(records(spark, {}, {"kind": "x"}), str(tmp_path / "bad"), "1", "now")
