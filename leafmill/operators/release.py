@@ -72,26 +72,20 @@ def gate(validated: DataFrame) -> DataFrame:
     return validated.withColumn("decision", F.when(F.size("errors") == 0, "include").when(soft, "quarantine").otherwise("fatal"))
 
 
-def _counts(rows: DataFrame, name: str, key: Column) -> DataFrame:
-    return rows.groupBy(F.lit(name).alias("stat"), key.cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("first_item"))
-
-
 def stats(included: DataFrame) -> DataFrame:
-    """Long table (stat, value, n, first_item) over included records.
+    """Long table (stat, value, n, first_item) over included records, in one pass.
 
     Within a statistic rows rank by n descending, then by the first item in
     item order, which stands for the order of first sight.
     """
     answered = F.col("answer").isNotNull()
-    parts = [
-        _counts(included, "total_items", F.lit("all")), _counts(included, "by_partition", partition_for(F.col("usage_tag"))), _counts(included, "by_source", F.col("source_id")), _counts(included, "by_kind", F.col("kind")),
-        _counts(included, "by_status", F.col("status")), _counts(included, "by_extraction_source", F.col("extraction_source")), _counts(included.where(answered), "answered_items", F.lit("all")),
-        _counts(included.where(answered & ~F.col("answer.consistent")), "answer_consistency_failures", F.lit("all")), _counts(included, "answered_by_doc", F.when(answered, F.col("doc")).otherwise(UNANSWERED)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = (
+        ("total_items", F.lit("all"), F.lit(True)), ("by_partition", partition_for(F.col("usage_tag")), F.lit(True)), ("by_source", F.col("source_id"), F.lit(True)), ("by_kind", F.col("kind"), F.lit(True)),
+        ("by_status", F.col("status"), F.lit(True)), ("by_extraction_source", F.col("extraction_source"), F.lit(True)), ("answered_items", F.lit("all"), answered),
+        ("answer_consistency_failures", F.lit("all"), answered & ~F.col("answer.consistent")), ("answered_by_doc", F.when(answered, F.col("doc")).otherwise(UNANSWERED), F.lit(True)),
+    )
+    each = F.array_compact(F.array(*[F.when(holds, F.struct(F.lit(stat).alias("stat"), value.cast("string").alias("value"))) for stat, value, holds in rows]))
+    return included.select("item_id", F.explode(each).alias("s")).groupBy("s.stat", "s.value").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("first_item"))
 
 
 def warning_counts(validated: DataFrame) -> DataFrame:
