@@ -90,13 +90,15 @@ class Model:
 def fit(bits: np.ndarray, lang: np.ndarray) -> Model:
     """Nyström landmarks and ridge regression from presence rows and their languages."""
     languages = sorted(set(lang))
-    x = bits.astype(np.float64)
-    x /= np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1)
-    marks = x[np.concatenate([np.flatnonzero(lang == name)[:LANDMARKS] for name in languages])]
+    norm = np.sqrt(np.maximum(bits.sum(axis=1, dtype=np.float64), 1))
+    chosen = np.concatenate([np.flatnonzero(lang == name)[:LANDMARKS] for name in languages])
+    marks = bits[chosen] / norm[chosen, None]
+    # rows by blocks: the bits are never held as floats together
+    kernel = np.concatenate([bits[at : at + 256].astype(np.float64) @ marks.T for at in range(0, len(bits), 256)]) / norm[:, None]
     values, vectors = np.linalg.eigh(marks @ marks.T)
     good = values > 1e-8 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ marks.T) @ root
+    phi = kernel @ root
     y = np.where(lang[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     each = 1 / np.array([(lang == name).sum() for name in languages])[np.searchsorted(languages, lang)]
     gram = (phi * each[:, None]).T @ phi
@@ -127,9 +129,11 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
         return None
     found = found.sort_values(["lang", "bits"], ignore_index=True)
     bits = np.unpackbits(np.frombuffer(b"".join(found["bits"]), np.uint8).reshape(len(found), -1), axis=1)
+    lang = found["lang"].to_numpy(str)
+    del found
     # landmarks are the first rows of a language: shuffle by a fixed seed
     mix = np.random.default_rng(11).permutation(len(bits))
-    return fit(bits[mix], found["lang"].to_numpy(str)[mix])
+    return fit(bits[mix], lang[mix])
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ from . import common
 
 BITS = 18
 FACTORS = 4
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 6000
 EVIDENCE = 5.0
 MIN_ROWS = 6
 STEMS = (4, 6)
@@ -61,14 +61,17 @@ class Machine:
 
     def raw(self, ids: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores and factor sums of texts given as concatenated slots; n: slots of each."""
-        full = n > 0
         linear, sums, squares = np.zeros(len(n)), np.zeros((len(n), FACTORS)), np.zeros((len(n), FACTORS))
-        if full.any():
-            at = starts[full]
-            linear[full] = np.add.reduceat(self.w[ids], at)
-            v = self.v[ids]
-            sums[full] = np.add.reduceat(v, at)
-            squares[full] = np.add.reduceat(v * v, at)
+        for lo in range(0, len(n), 512):  # blocks of texts, so that gathered factors stay small
+            part = slice(lo, lo + 512)
+            full = np.flatnonzero(n[part] > 0) + lo
+            if len(full):
+                first, last = starts[full[0]], starts[full[-1]] + n[full[-1]]
+                at, own = starts[full] - first, ids[first:last]
+                v = self.v[own]
+                linear[full] = np.add.reduceat(self.w[own], at)
+                sums[full] = np.add.reduceat(v, at)
+                squares[full] = np.add.reduceat(v * v, at)
         return self.w0 + linear + 0.5 * (sums * sums - squares).sum(axis=1), sums
 
     def fit(self, texts: list[np.ndarray], y: np.ndarray, seed: int = 5) -> Machine:
@@ -126,7 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     """Fit on at most `rows` labelled rows that are not held out; None if there are none."""
     sample = common.bounded_sample(labels.where("toxic is not null and doc_id is not null").where(~common.held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")), rows)
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic").mapInArrow(_terms, "terms array<int>, toxic int").toPandas()
-    texts, y = [np.asarray(t, np.int32) for t in found["terms"]], found["toxic"].to_numpy(float)
+    texts, y = [np.array(t, np.int32) for t in found["terms"]], found["toxic"].to_numpy(float)
+    del found
     if not sum(map(len, texts)):
         return None
     order = sorted(range(len(texts)), key=lambda i: (y[i], texts[i].tobytes()))  # the rows' order is not Spark's
