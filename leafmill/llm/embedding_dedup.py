@@ -1,16 +1,18 @@
-"""Near-duplicate vectors by sorted projection passes.
-
-A pass gives every vector a word of random-hyperplane bits and sorts the
-vectors of a label by it; each vector is compared with the next `WINDOW` in
-that order, by exact cosine.  The number of passes follows the number of
-vectors so that a pair at the threshold stays unseen with a probability of at
-most `MISS`.  Equal vectors are one vector with a count beforehand.  A pass
-passes on a spanning forest of the pairs it verified; the union of all passes
-gives components.  Inside a component every pair is then compared exactly, in
-blocks, so a group denser than any window has all its links counted.
-
-A window does not reach over a partition's border; the next pass has its
-borders elsewhere, and `MISS` leaves room for it.
+"""Near-duplicate vectors by random-hyperplane buckets.
+
+A pass gives every vector a word of random-hyperplane bits; the vectors of a
+label that share the first bits of it are a bucket, and all pairs of a bucket
+are compared by exact cosine.  Bits and passes follow the largest label, so
+that a pair at the threshold shares a bucket in no pass with a probability of
+at most `MISS`, however the vectors lie.  Equal vectors are one vector with a
+count beforehand.  A pass passes on a spanning forest of the pairs it
+verified; the union of all passes gives components.  Inside a component every
+pair is then compared exactly, in blocks, so all links are counted.
+
+Dense cones (vectors close to each other, but mostly below the threshold) make
+buckets that no number of bits foresees.  Buckets of more than `CROWD` are
+measured beforehand and compared block against block; where a label's crowded
+buckets hold more pairs than the label itself, the label is compared as one.
 
 Edge cases.  Vectors that are null, empty, zero, of another length than most
 or hold null or non-finite values, and rows with a null label or vec_id, link
@@ -33,17 +35,24 @@ from pyspark.sql import functions as F
 from . import common
 from .near_dedup import _Forest
 
+#: Twice the vectors that a bucket of evenly spread ones has at most.
 WINDOW = 24
 BITS = 62
 MISS = 1e-7
 BLOCK = 2000
+#: A larger bucket is compared in blocks of HEAP rows, in SHARES of them while it is small.
+CROWD, HEAP, SHARES = 256, 4000, 8
+
+
+def prefix_for(rows: int) -> int:
+    """Bits that share out `rows` evenly spread vectors into buckets of WINDOW / 2."""
+    return min(BITS, math.ceil(max(1.0, math.log2(max(rows, 2) / WINDOW) + 1)))
 
 
 def passes_for(rows: int, cosine: float, miss: float = MISS) -> int:
-    """Passes after which a pair at `cosine` has met in no window with probability `miss` at most."""
+    """Passes after which a pair at `cosine` has shared no bucket with probability `miss` at most."""
     agree = 1 - math.acos(cosine) / math.pi
-    bits = max(1.0, math.log2(max(rows, 2) / WINDOW) + 1)
-    return max(8, math.ceil(math.log(miss) / math.log(1 - agree**bits)))
+    return max(8, math.ceil(math.log(miss) / math.log(1 - agree ** prefix_for(rows))))
 
 
 def _planes(passes: int, size: int) -> np.ndarray:
@@ -74,23 +83,45 @@ def _keys(batches: Iterator[pa.RecordBatch], passes: int, size: int) -> Iterator
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("rep", "label", "unit")), pa.array(keys, pa.list_(pa.int64()))], ["rep", "label", "unit", "keys"])
 
 
-def _windows(batches: Iterator[pa.RecordBatch], size: int, cosine: float) -> Iterator[pa.RecordBatch]:
-    """Spanning forest of the pairs within WINDOW places in the sorted rows of one partition."""
-    tail_x, tail_run, tail_rep = np.empty((0, size)), np.empty((0, 2), np.int64), np.empty(0, np.int64)
+def _buckets(batches: Iterator[pa.RecordBatch], size: int, cosine: float) -> Iterator[pa.RecordBatch]:
+    """Spanning forest of the pairs of each bucket of CROWD rows at most; the rows of a bucket follow each other."""
+    tail_x, tail_run, tail_rep = np.empty((0, size)), np.empty((0, 3), np.int64), np.empty(0, np.int64)
     for batch in batches:
         x = np.concatenate([tail_x, np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(-1, size)])
-        run = np.concatenate([tail_run, np.stack([batch.column("pass").to_numpy(), batch.column("label").to_numpy()], axis=1).astype(np.int64)])
+        run = np.concatenate([tail_run, np.stack([batch.column(n).to_numpy() for n in ("pass", "label", "prefix")], axis=1).astype(np.int64)])
         rep = np.concatenate([tail_rep, batch.column("rep").to_numpy()])
+        nth = np.cumsum(np.concatenate([[0], (run[1:] != run[:-1]).any(axis=1)]))[: len(rep)]
         forest, a, b = _Forest(len(rep)), [], []
-        for d in range(1, min(WINDOW, len(rep) - 1) + 1):
-            same = (run[d:] == run[:-d]).all(axis=1)
-            hit = np.flatnonzero(same & (np.einsum("ij,ij->i", x[d:], x[:-d]) >= cosine))
-            for i in hit.tolist():
+        for d in range(1, len(rep)):
+            same = np.flatnonzero(nth[d:] == nth[:-d])
+            if not len(same):
+                break
+            for i in same[np.einsum("ij,ij->i", x[same + d], x[same]) >= cosine].tolist():
                 if forest.join(i, i + d):
                     a.append(rep[i])
                     b.append(rep[i + d])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        tail_x, tail_run, tail_rep = x[-WINDOW:], run[-WINDOW:], rep[-WINDOW:]
+        last = np.flatnonzero(nth == nth[-1]) if len(nth) else []
+        tail_x, tail_run, tail_rep = x[last], run[last], rep[last]
+
+
+def _block_links(table: pa.Table, cosine: float) -> pa.Table:
+    """Spanning forest of the links in one block, or between two blocks of a crowded bucket."""
+    rep, block = table.column("rep").to_numpy(), table.column("block").to_numpy()
+    x = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(rep), -1)
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    cluster, edges, other = np.arange(len(rep)), [], x[right].T
+    for at in range(0, len(left), 256):
+        strip = left[at : at + 256]
+        near = x[strip] @ other >= cosine
+        for i, row in zip(strip[near.any(axis=1)].tolist(), near[near.any(axis=1)], strict=True):
+            hit = right[row]
+            hit = hit[cluster[hit] != cluster[i]]
+            for j in hit[np.unique(cluster[hit], return_index=True)[1]].tolist():
+                cluster[cluster == cluster[j]] = cluster[i]
+                edges.append((rep[i], rep[j]))
+    a, b = zip(*edges, strict=True) if edges else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _count_links(table: pa.Table, size: int, cosine: float) -> pa.Table:
@@ -109,6 +140,40 @@ def _count_links(table: pa.Table, size: int, cosine: float) -> pa.Table:
     return pa.table({"rep": rep, "links": links})
 
 
+def _links(keyed: DataFrame, size: int, cosine: float, cut: int) -> DataFrame:
+    """Edges (a, b) whose components hold every pair of links that shares a bucket.
+
+    keyed: rep long, label long, unit binary, keys array<long>; a bucket is the vectors of
+    a label whose keys of one pass agree without their last `cut` bits.
+    """
+    bucket = ["pass", "label", "prefix"]
+
+    def posted(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.select("rep", "label", *columns, F.posexplode("keys").alias("pass", "key")).withColumn("prefix", F.shiftright("key", cut))
+
+    crowded = posted(keyed).groupBy(*bucket).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CROWD)
+    crowded = common.materialize(crowded, "vectors-crowded")
+    thin = posted(keyed, "unit")
+    heaps = None
+    if not crowded.isEmpty():
+        pairs = crowded.groupBy("label").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("pairs"))
+        whole = keyed.groupBy("label").agg(F.count(F.lit(1)).alias("m")).join(pairs, "label").where(F.col("pairs") >= F.col("m").cast("double") * F.col("m")).select("label", "m")
+        heap = posted(keyed).join(crowded.join(whole, "label", "left_anti"), bucket).select("rep", *bucket, "m")
+        heap = heap.unionByName(keyed.join(whole, "label").select("rep", F.lit(-1).alias("pass"), "label", F.lit(0).cast("long").alias("prefix"), "m"))
+        heap = common.materialize(heap, "vectors-heaps")
+        seen = heap.groupBy("rep").agg(F.collect_set("pass").alias("seen"))
+        thin = posted(keyed.join(seen, "rep", "left"), "unit", "seen").where("seen is null or not (array_contains(seen, -1) or array_contains(seen, pass))").drop("seen")
+        blocks = F.greatest(F.ceil(F.col("m") / HEAP), F.least(F.lit(SHARES), F.ceil(F.col("m") / CROWD))).cast("int")
+        dealt = heap.withColumn("blocks", blocks).withColumn("block", F.pmod(F.hash("rep"), F.col("blocks"))).select(
+            "rep", *bucket, "block", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))")).alias("tile")
+        )
+        heaps = dealt.join(keyed.select("rep", "unit"), "rep").groupBy(*bucket, "tile").applyInArrow(lambda key, t: _block_links(t, cosine), "a long, b long")
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = thin.repartition(parts, *bucket).sortWithinPartitions(*bucket, "rep").select("rep", "unit", *bucket)
+    edges = order.mapInArrow(lambda it: _buckets(it, size, cosine), "a long, b long")
+    return edges if heaps is None else edges.unionByName(heaps)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept for `vectors` (vec_id, embedding, label)."""
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
@@ -121,12 +186,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     fit = (F.octet_length("unit") == size * 8) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     groups = rows.where(fit).groupBy("label", "name").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit"))
     groups = common.materialize(groups.withColumn("node", F.xxhash64("label", "name")), "vectors-distinct")
-    passes = passes_for(groups.count(), cosine)
+    largest = groups.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    passes, cut = passes_for(largest, cosine), BITS - prefix_for(largest)
     keyed = groups.select(F.col("node").alias("rep"), "label", "unit").mapInArrow(lambda it: _keys(it, passes, size), "rep long, label long, unit binary, keys array<long>")
-    posted = keyed.select("rep", "label", "unit", F.posexplode("keys").alias("pass", "key"))
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = posted.repartitionByRange(parts, "pass", "label", "key").sortWithinPartitions("pass", "label", "key", "rep")
-    edges = order.mapInArrow(lambda it: _windows(it, size, cosine), "a long, b long")
+    keyed = common.materialize(keyed, "vectors-keys")
+    edges = _links(keyed, size, cosine, cut)
     found = common.connected_components(edges).select(F.col("node"), F.col("component").alias("cluster"))
     member = groups.select("node", "rep", "copies", "unit").join(found, "node")
     many = found.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))

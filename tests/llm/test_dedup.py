@@ -160,6 +160,35 @@ def test_repeated_vectors_and_no_usable_ones(spark):
     assert {r.n_links for r in embedding_dedup.near_duplicates(none).collect()} == {0}
 
 
+def cone(rng, n, size, cosine):
+    """Unit vectors that have about `cosine` with each other."""
+    axis = rng.normal(size=size)
+    axis /= np.linalg.norm(axis)
+    r = rng.normal(size=(n, size))
+    r -= (r @ axis)[:, None] * axis
+    r /= np.linalg.norm(r, axis=1, keepdims=True)
+    return np.sqrt(cosine) * axis + np.sqrt(1 - cosine) * r
+
+
+@pytest.mark.parametrize("spread", [0, 9000])
+def test_links_in_a_dense_cone(spark, spread):
+    rng = np.random.default_rng(4)
+    x = cone(rng, 3000, 64, 0.95)
+    x[2900:] = x[:100] + rng.normal(size=(100, 64)) * 0.0228
+    x = np.concatenate([x, rng.normal(size=(spread, 64))])
+    rng.shuffle(x)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.98
+    np.fill_diagonal(near, False)
+    assert near.sum() >= 100 and near.sum(axis=1).max() < 5
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")).collect()}
+    assert [got[i].n_links for i in range(len(x))] == near.sum(axis=1).tolist()
+    least = list(range(len(x)))
+    for _ in range(5):
+        least = [min([least[i], *(least[j] for j in np.flatnonzero(near[i]))]) for i in range(len(x))]
+    assert [got[i].component_id for i in range(len(x))] == least
+
+
 def test_passes_grow_with_the_rows():
     few, many = embedding_dedup.passes_for(10_000, 0.98), embedding_dedup.passes_for(10**9, 0.98)
     assert 8 <= few < many < 120
