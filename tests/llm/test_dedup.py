@@ -189,6 +189,13 @@ def test_links_in_a_dense_cone(spark, spread):
     assert [got[i].component_id for i in range(len(x))] == least
 
 
+def test_vectors_of_two_lengths(spark):
+    rows = [(i, [1.0, i // 2, 0.0], 1) for i in range(6)] + [(10 + i, [1.0, i // 2], 1) for i in range(4)] + [(20, [1.0, 0.001], 1), (21, [5.0], 1), (22, [5.0], 2)]
+    df = spark.createDataFrame([(i, [float(x) for x in v], k) for i, v, k in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {i: (1, i // 2 * 2) for i in range(6)} | {10: (2, 10), 11: (2, 10), 12: (1, 12), 13: (1, 12), 20: (2, 10), 21: (0, 21), 22: (0, 22)}
+
+
 def test_passes_grow_with_the_rows():
     few, many = embedding_dedup.passes_for(10_000, 0.98), embedding_dedup.passes_for(10**9, 0.98)
     assert 8 <= few < many < 120
