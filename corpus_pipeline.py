@@ -15,7 +15,7 @@ documents that reach their stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm import common, language, near_dedup, packing, pii, toxicity
@@ -38,10 +38,14 @@ def drop_unreadable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each near-duplicate component; empty texts stay."""
+    """One document, the one with the smallest id, of each near-duplicate component, as one row; empty texts and rows without an id stay.
+
+    Of the rows of a kept id the longest text stays.
+    """
     docs = docs.select(*COLUMNS)
-    kept = near_dedup.near_duplicates(docs, words=5, percent=80).where("kept").select("doc_id")
-    first = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept.where("doc_id is not null").distinct(), "doc_id", "left_semi"))
+    kept = near_dedup.near_duplicates(docs, words=5, percent=80).where("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept")).where("kept").select("doc_id")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), "text", *COLUMNS[2:]))
+    first = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1").drop("nth"))
     return first.select(*COLUMNS)
 
 

@@ -16,7 +16,8 @@ with probability below 1e-6, so nothing that the threshold keeps is lost.
 Lists that stay long are compared block by block.
 
 Edge cases.  Null, empty or blank text: no shingles, linked with nothing,
-n_shingles 0, kept.  Rows with equal doc_id are one document.  A null doc_id
+n_shingles 0, kept.  Rows with equal doc_id are one document: each of their
+distinct sets is compared, and what one links with, all do.  A null doc_id
 never links: component_id null, kept true.  An empty table gives an empty
 result.  Extra columns are ignored.
 """
@@ -100,7 +101,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
             name.append(xxhash.xxh3_128_digest(s.tobytes()))
             coords.append(coordinates(values))
             sig.append(((values * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(name, pa.binary()), pa.array(coords, pa.list_(pa.int64())), pa.array(sig, pa.binary())], ["doc_id", "n", "name", "coords", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("of"), pa.array(n, pa.int64()), pa.array(name, pa.binary()), pa.array(coords, pa.list_(pa.int64())), pa.array(sig, pa.binary())], ["doc_id", "of", "n", "name", "coords", "sig"])
 
 
 class _Forest:
@@ -146,15 +147,15 @@ def _forest_of_list(table: pa.Table) -> pa.Table:
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("cluster"), batch.column("rep"), batch.column("blocks"), pa.array(sets, pa.binary())], ["cluster", "rep", "blocks", "set"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("cluster", "rep", "doc", "blocks")), pa.array(sets, pa.binary())], ["cluster", "rep", "doc", "blocks", "set"])
 
 
 def _exact_links(table: pa.Table, percent: int) -> pa.Table:
-    """Spanning forest of the exact links in one block, or between two blocks of a cluster."""
+    """Spanning forest, as documents, of the exact links of sets in one block, or between two blocks of a cluster."""
     rep = table.column("rep").to_numpy()
     side = table.column("block").to_numpy()
     rep, first = np.unique(rep, return_index=True)
-    side = side[first]
+    side, doc = side[first], table.column("doc").to_numpy()[first]
     raw = table.column("set").to_pylist()
     sets = [np.frombuffer(raw[i], np.uint64) for i in first]
     n = np.array([len(s) for s in sets], np.int64)
@@ -175,7 +176,7 @@ def _exact_links(table: pa.Table, percent: int) -> pa.Table:
             hit &= side != side[i]
         for j in np.flatnonzero(hit).tolist():
             if j != i and forest.join(i, j):
-                edges.append((rep[i], rep[j]))
+                edges.append((doc[i], doc[j]))
     a, b = zip(*edges, strict=True) if edges else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -215,19 +216,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     if percent < 80:
         raise ValueError("the signature is sized for similarities of 0.8 or more")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = common.materialize(base.mapInArrow(lambda it: _sketch(it, words), "doc_id long, n long, name binary, coords array<long>, sig binary"), "sketch")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("of", F.xxhash64("text"))
+    sketch = common.materialize(base.mapInArrow(lambda it: _sketch(it, words), "doc_id long, of long, n long, name binary, coords array<long>, sig binary"), "sketch")
     named = sketch.where("n > 0 and doc_id is not null")
     names = named.groupBy("name").agg(F.min("doc_id").alias("rep"))
-    reps = named.join(names.select("rep").distinct(), named.doc_id == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "n", "name", "coords", "sig").dropDuplicates(["rep", "name"])
+    first = names.select("name", F.col("rep").alias("doc_id"))
+    reps = named.join(first, ["name", "doc_id"], "left_semi").dropDuplicates(["name"]).select(F.xxhash64("name").alias("rep"), F.col("doc_id").alias("doc"), "of", "n", "coords", "sig")
     reps = common.materialize(reps, "sets")
     clusters = common.connected_components(candidate_forest(reps)).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    sized = clusters.join(reps.select("rep", "n"), "rep")
+    sized = clusters.join(reps.select("rep", "doc", "of", "n"), "rep")
     weight = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    wanted = clusters.join(weight, "cluster")
-    sets = base.join(wanted, base.doc_id == wanted.rep).select("cluster", "rep", "blocks", "text").mapInArrow(lambda it: _sets(it, words), "cluster long, rep long, blocks int, set binary")
+    wanted = sized.join(weight, "cluster").withColumnRenamed("of", "text_of")
+    sets = base.join(wanted, (base.doc_id == wanted.doc) & (base.of == wanted.text_of)).select("cluster", "rep", "doc", "blocks", "text").mapInArrow(lambda it: _sets(it, words), "cluster long, rep long, doc long, blocks int, set binary")
     dealt = sets.withColumn("block", F.pmod(F.hash("rep"), F.col("blocks"))).select(
-        "cluster", "rep", "block", "set", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))")).alias("tile")
+        "cluster", "rep", "doc", "block", "set", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))")).alias("tile")
     )
     links = dealt.groupBy("cluster", "tile").applyInArrow(lambda key, t: _exact_links(t, percent), "a long, b long")
     shared = named.groupBy("doc_id").agg(F.min("name").alias("x"), F.max("name").alias("y")).where("x <> y").select("doc_id")

@@ -103,6 +103,16 @@ def test_repeated_rows_and_ids(spark):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1)]
 
 
+def test_each_text_of_a_document_is_compared(spark):
+    rng = random.Random(8)
+    a, b, c = ([f"{k}{rng.randrange(400)}" for _ in range(50)] for k in "abc")
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, " ".join(c)), (5, near(c)), (5, " ".join(b[:9])), (6, " ".join(rng.choices(a, k=50)))]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        got = near_dedup.near_duplicates(docs(spark, order), 2, 80).collect()
+        assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6)}
+
+
 def test_no_rows(spark):
     assert near_dedup.near_duplicates(docs(spark, []), 2).count() == 0
     assert spotsigs.fingerprints(docs(spark, [])).count() == 0

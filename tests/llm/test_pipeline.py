@@ -46,6 +46,14 @@ def test_stages_take_effect(spark, folder, tmp_path):
     assert sum(r.length for r in run.collect()) > 0
 
 
+def test_one_row_of_a_repeated_id(spark, folder):
+    long = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(long)), (1, " ".join(long)), (1, "another text"), (2, " ".join(long[:-1])), (2, ""), (3, ""), (3, "some words"), (None, "x y"), (None, "x y")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect()
+    assert sorted([(r.doc_id or 0, r.text) for r in got]) == [(0, "x y"), (0, "x y"), (1, " ".join(long)), (3, "some words")]
+
+
 def test_empty_input(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
