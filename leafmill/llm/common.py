@@ -12,6 +12,7 @@ import atexit
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +55,38 @@ def _clean() -> None:
             return
 
 
+class HashTable:
+    """Unsigned 64-bit keys -> int32 values for whole arrays; levels of direct slots, collisions go a level down."""
+
+    SIZE = 21
+
+    def __init__(self, entries: dict[int, int]):
+        self.keys = np.fromiter(entries.keys(), np.uint64, len(entries))
+        self.values = np.fromiter(entries.values(), np.int32, len(entries))
+        self.levels: list[tuple[np.uint64, np.ndarray]] = []
+        left = np.arange(len(entries))
+        while len(left):
+            mult = np.uint64((0x9E3779B97F4A7C15 * (2 * len(self.levels) + 1)) % 2**64)
+            slots = np.full(1 << self.SIZE, -1, np.int32)
+            at = (self.keys[left] * mult) >> np.uint64(64 - self.SIZE)
+            slots[at] = left
+            self.levels.append((mult, slots))
+            left = left[slots[at] != left]
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, -1 where there is none."""
+        out = np.full(len(h), -1, np.int32)
+        todo = np.arange(len(h))
+        for mult, slots in self.levels:
+            got = slots[(h[todo] * mult) >> np.uint64(64 - self.SIZE)]
+            hit = (got >= 0) & (self.keys[got] == h[todo])
+            out[todo[hit]] = got[hit]
+            todo = todo[~hit & (got >= 0)]
+            if not len(todo):
+                break
+        return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

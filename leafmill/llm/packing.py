@@ -12,18 +12,19 @@ Pieces get their places from their rank within their length.
 
 Edge cases.  Null or empty text is one piece that holds the end mark alone.  A
 null doc_id is kept as a row of its own.  Repeated rows are packed each.  An
-empty table gives an empty result.  Texts with special-token strings or
-control separators go through the tokenizer whole, others word by word with
-the words' ids kept in a bounded table; the ids are the same.
+empty table gives an empty result.  Texts with special-token strings or with
+other than Latin letters go through the tokenizer whole; the ids are the same.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,25 @@ from . import common
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids one Python worker keeps, in each of two generations.
-WORD_TABLE = 250_000
-_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+#: Code points of texts that are tokenized together; one longer text is a group of its own.
+GROUP_CHARS = 4_000_000
+#: Bytes of the longest run that is merged in a matrix.
+LONG_RUN = 96
+NO_MERGE = 1 << 30
+
+#: Latin letters whose lower case has the same number of bytes, and no composition.
+_PLAIN = re.compile("[\x00-\u012f\u0131-\u017f]*+\\Z").match
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+#: Kind of each code point below U+0180, as the tokenizer's pattern divides them.
+_KIND = np.array([_SPACE if chr(c).isspace() and not 0x1C <= c <= 0x1F else {"L": _LETTER, "N": _DIGIT}.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x180)], np.uint8)
+#: Endings that stay with their apostrophe.
+_ENDINGS = [ord(c) for c in "stmd"], [tuple(map(ord, e)) for e in ("re", "ve", "ll")]
+
+
+def byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary: itself, or the next free one from U+0100."""
+    odd = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+    return [chr(256 + odd.index(b)) if b in odd else chr(b) for b in range(256)]
 
 
 def vocabulary() -> str:
@@ -47,62 +64,128 @@ def vocabulary() -> str:
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of texts as little-endian unsigned 32-bit bytes.
+
+    Texts of Latin letters (`_PLAIN`), which is nearly all of most corpora, are
+    cut into the tokenizer's runs of letters, digits and other marks by array
+    operations over a group of texts; distinct runs are merged together, one
+    merge of every run at a time, by the tokenizer's own merge table.  All
+    other texts, and very long runs, go through the tokenizer itself.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        model = json.loads(self.tokenizer.to_str())["model"]
+        vocab, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        end = model["end_of_word_suffix"] or ""
+        self.first = np.array([vocab[c] for c in byte_letters()], np.int64)
+        self.last = np.array([vocab[c + end] for c in byte_letters()], np.int64)
+        self.size = max(vocab.values()) + 1
+        self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)
+        self.pairs = common.HashTable({vocab[a] * self.size + vocab[b]: rank for rank, (a, b) in reversed(list(enumerate(merges)))})
 
     def _fresh(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fresh_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters alone: one call for all, cut where a token ends a word."""
-        if not words:
-            return []
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(words) or cuts[-1] != len(ids):  # a letter that changes kind when lower-cased
-            return self._fresh(words)
-        data, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-        return [data[i:j] for i, j in zip(at, at[1:], strict=False)]
-
-    def _learn(self, missing: set[str]) -> None:
-        known = self.words
-        # a Latin letter and one closing mark after it: the two never share a token
-        cores = {w: w[:-1] if w[-1] in ",.!?;:" and len(w) > 1 and w[-2].isalpha() and w[-2] < "\u0100" else w for w in missing}
-        small = {w: c.lower() if c.isascii() else c for w, c in cores.items()}
-        new = {c for c in small.values() if c not in known} | {w[-1] for w, c in cores.items() if c is not w and w[-1] not in known}
-        plain = [c for c in new if c.isalpha()]
-        other = [c for c in new if not c.isalpha()]
-        known.update(zip(plain, self._fresh_words(plain), strict=True))
-        known.update(zip(other, self._fresh(other), strict=True))
-        for w, c in small.items():
-            known[w] = known[c] + known[w[-1]] if cores[w] is not w else known[c]
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of ids, NO_MERGE where there is none."""
+        found = self.pairs.find((left * self.size + right).astype(np.uint64))
+        return np.where(found >= 0, self.pairs.values[found], NO_MERGE)
+
+    def _merge(self, runs: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs in a row, and how many each has."""
+        starts = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1].astype(np.int64)
+        data = np.frombuffer(runs.buffers()[2], np.uint8)
+        length = np.diff(starts)
+        count, done = np.zeros(len(runs), np.int64), []
+        long = np.flatnonzero(length > LONG_RUN).tolist()
+        for i, ids in zip(long, self._fresh([runs[i].as_py().decode() for i in long]), strict=True):
+            done.append((np.array([i]), np.frombuffer(ids, "<u4").astype(np.int64)[None, :]))
+        order = np.argsort(length, kind="stable")
+        cuts = np.searchsorted(length[order], np.arange(1, LONG_RUN + 2))
+        for width, rows in ((w, order[a:b]) for w, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False), 1) if a < b):
+            raw = data[starts[rows][:, None] + np.arange(width)]
+            ids = np.concatenate([self.first[raw[:, :-1]], self.last[raw[:, -1:]]], axis=1)
+            rank = self._ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(rows), width - 1)
+            while ids.shape[1] > 1:  # every row left loses one id in a turn
+                at = rank.argmin(axis=1)
+                best = rank[np.arange(len(rows)), at]
+                go = best < NO_MERGE
+                if not go.all():
+                    done.append((rows[~go], ids[~go]))
+                    rows, ids, rank, at, best = rows[go], ids[go], rank[go], at[go], best[go]
+                    if not len(rows):
+                        break
+                each, keep = np.arange(len(rows)), np.ones(ids.shape, bool)
+                ids[each, at] = self.merged[best]
+                keep[each, at + 1] = False
+                ids = ids[keep].reshape(len(rows), -1)
+                keep = np.ones(rank.shape, bool)
+                keep[each, at] = False
+                rank = rank[keep].reshape(len(rows), -1)
+                before, after = np.flatnonzero(at > 0), np.flatnonzero(at < ids.shape[1] - 1)
+                rank[before, at[before] - 1] = self._ranks(ids[before, at[before] - 1], ids[before, at[before]])
+                rank[after, at[after]] = self._ranks(ids[after, at[after]], ids[after, at[after] + 1])
+            if len(rows):
+                done.append((rows, ids))
+        for rows, ids in done:
+            count[rows] = ids.shape[1]
+        flat, place = np.empty(int(count.sum()), np.uint32), np.cumsum(count) - count
+        for rows, ids in done:
+            flat[place[rows][:, None] + np.arange(ids.shape[1])] = ids
+        return flat, count
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that `_PLAIN` matches; for these lower-casing keeps every byte's place."""
+        data = np.frombuffer(("\n".join(texts) + "\n").lower().encode(), np.uint8)
+        kind = _KIND[data]
+        wide = np.flatnonzero(data >= 0xC0)
+        kind[wide] = kind[wide + 1] = _KIND[((data[wide] & 0x1F).astype(np.int64) << 6) | (data[wide + 1] & 0x3F)]
+        start = kind != _SPACE
+        start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        start[wide + 1] = False
+        # an apostrophe alone before letters takes the ending it is part of
+        mark = np.flatnonzero(start & (data == ord("'")))
+        mark = mark[kind[mark + 1] == _LETTER]
+        one, two = data[mark + 1], data[np.minimum(mark + 2, len(data) - 1)]
+        size = np.where(np.isin(one, _ENDINGS[0]), 2, 0)
+        for a, b in _ENDINGS[1]:
+            size[(one == a) & (two == b)] = 3
+        mark, size = mark[size > 0], size[size > 0]
+        start[mark + 1] = False
+        start[mark + size] = kind[mark + size] != _SPACE
+        solid = kind != _SPACE
+        kept = np.cumsum(solid)  # bytes that are no space up to each place
+        places = np.flatnonzero(start)
+        starts = np.append(kept[places] - 1, kept[-1]).astype(np.int32)
+        runs = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(starts), pa.py_buffer(data[solid])]).dictionary_encode()
+        flat, count = self._merge(runs.dictionary)
+        of = runs.indices.to_numpy()
+        many = count[of]
+        ends = np.cumsum(many)
+        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat((np.cumsum(count) - count)[of] - (ends - many), many)].astype("<u4").tobytes()
+        to = np.searchsorted(places, np.cumsum([(len(t) if t.isascii() else len(t.encode())) + 1 for t in texts]))
+        cuts = 4 * np.append(0, ends)[np.append(0, to)]
+        return [ids[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            part = texts[at : at + 64]
-            words = [None if any(s in t for s in _WHOLE) else t.split() for t in part]
-            missing = set(filterfalse(self.words.__contains__, chain.from_iterable(w for w in words if w)))
-            if len(self.words) + 2 * len(missing) > WORD_TABLE:
-                # the table becomes the old one; words still in use move over when they are met
-                self.words, self.old = {}, self.words
-                missing = set(chain.from_iterable(w for w in words if w))
-            if missing:
-                known = {w: self.old[w] for w in missing if w in self.old}
-                self.words.update(known)
-                missing -= known.keys()
-                self._learn(missing)
-            get = self.words.__getitem__
-            out += [self._fresh([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(part, words, strict=True)]
+        out: list[bytes] = [b""] * len(texts)
+        plain = [_PLAIN(t) is not None and "<|" not in t for t in texts]
+        other = [i for i, p in enumerate(plain) if not p]
+        for i, ids in zip(other, self._fresh([texts[i] for i in other]), strict=True):
+            out[i] = ids
+        group, chars = [], 0
+        for i in [*(i for i, p in enumerate(plain) if p), None]:
+            if group and (i is None or chars + len(texts[i]) > GROUP_CHARS):
+                for j, ids in zip(group, self._plain([texts[j] for j in group]), strict=True):
+                    out[j] = ids
+                group, chars = [], 0
+            if i is not None:
+                group.append(i)
+                chars += len(texts[i])
         return out
 
 

@@ -34,9 +34,13 @@ def test_pieces_have_the_tokenizers_ids(spark):
 
 
 def test_random_texts_have_the_tokenizers_ids(monkeypatch):
-    monkeypatch.setattr(packing, "WORD_TABLE", 300)
+    monkeypatch.setattr(packing, "GROUP_CHARS", 300)
     enc = packing.Encoder(packing.vocabulary())
     rng = random.Random(2)
+    latin = [chr(c) for c in range(0x180) if rng.random() < 0.9] + list("''''stmdrevelloinaethe  ")
+    for _ in range(200):
+        texts = ["".join(rng.choice(latin if k % 2 else latin[-24:]) for _ in range(rng.randint(0, 150))) for k in range(20)]
+        assert enc.encode(texts) == enc._fresh(texts)
     alphabet = "ab Cé,.!'s<|>\n\t \x1cß1２Σς́İ中—’​\x85"
     for _ in range(60):
         texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(20)]
