@@ -213,6 +213,27 @@ def test_samples_are_drawn_without_replacement():
         assert seen[1][k] / n == pytest.approx(sum(p[j] * p[k] / (1 - p[j]) for j in p if j != k), abs=0.02)
 
 
+@pytest.mark.parametrize("text", ["the at\né", "a", "é中İ", "to be", "İ"])
+def test_all_segmentations_come_once(text):
+    pieces = segmentation.load(segmentation.model_file())
+    every = every_segmentation(pieces, text)
+    for row in segmentation.sample_texts(pieces, [text] * 20, list(range(20)), len(every) + 3):
+        assert {tuple(x[0].tolist()): pytest.approx(x[1]) for x in row} == every and len(row) == len(every)
+        assert all(a[2] >= b[2] for a, b in zip(row, row[1:]))
+
+
+def test_a_very_long_word():
+    """The draws of a word of 20,000 pieces and of the word after it differ; logarithms stand in where sums underflow."""
+    pieces = segmentation.load(segmentation.model_file())
+    for text in ("\U00010900" * 20_000 + " the at" * 50, "x" * 20_000 + " the at" * 50):
+        first, second = segmentation.sample_texts(pieces, [text], [1], 2)[0]
+        assert all(segmentation.join(pieces, x[0]) == text for x in (first, second)) and first[0].tolist() != second[0].tolist()
+        assert first[1] < 0 and first[2] >= second[2]
+    place = np.arange(60_000)
+    draws = [segmentation._uniform(np.full(60_000, k, np.uint64), s, place, p) for k in (1, 2) for s in (0, 1) for p in (1, 2)]
+    assert len(np.unique(np.concatenate(draws))) == 8 * 60_000
+
+
 def test_sampling_rows(spark):
     got = segmentation.sample(docs(spark, ODD), 3).collect()
     assert all(r.round_trip for r in got) and {r.doc_id for r in got} == {i for i, _ in ODD}
