@@ -62,11 +62,26 @@ def consistent(correct_choice: Column, choices: Column) -> Column:
     return F.coalesce(correct_choice.isNull() | (F.size(letters) == 0) | F.array_contains(letters, correct_choice), F.lit(True))
 
 
-def report(items: DataFrame, canon: DataFrame, aligned: DataFrame, pair: tuple[str, ...]) -> DataFrame:
-    """One row for each pair: question_items, answer_entries, matched, match_rate_pct (half-even), unmatched_questions, orphan_answers."""
-    a = items.groupBy(*pair).agg(F.count(F.lit(1)).alias("question_items"))
-    c = canon.groupBy(*pair).agg(F.count(F.lit(1)).alias("answer_entries"))
-    m = aligned.groupBy(*pair).agg(F.count("canon_pos").alias("matched"), F.count_if(F.col("canon_pos").isNull()).alias("unmatched_questions"))
-    out = a.join(c, list(pair), "full").join(m, list(pair), "full").na.fill(0)
+def report(items: DataFrame, pages: DataFrame, entries: DataFrame, canon: DataFrame, aligned: DataFrame, pair: tuple[str, ...]) -> DataFrame:
+    """Counts for each pair, and one row with null keys for all pairs together.
+
+    question_items, answer_pages, answer_entries (before the first of a number
+    is chosen), matched, unmatched_questions, match_rate_pct (half-even),
+    orphan_answers (canonical entries without an item), inconsistent.  Each
+    input is counted by key on its own before the counts meet.
+
+    aligned: what `align` returns, with `consistent`.
+    """
+    names = ("question_items", "answer_pages", "answer_entries", "canonical", "matched", "unmatched_questions", "inconsistent")
+    one = {"question_items": items, "answer_pages": pages, "answer_entries": entries, "canonical": canon}
+    counts = [df.groupBy(*pair).agg(F.count(F.lit(1)).alias(n)) for n, df in one.items()]
+    counts.append(aligned.groupBy(*pair).agg(F.count("canon_pos").alias("matched"), F.count_if(F.col("canon_pos").isNull()).alias("unmatched_questions"), F.count_if(F.col("canon_pos").isNotNull() & ~F.col("consistent")).alias("inconsistent")))
+    every = counts[0]
+    for more in counts[1:]:
+        every = every.join(more, list(pair), "full")
+    every = every.select(*pair, *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
+    total = every.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    total = total.select(*[F.lit(None).cast(every.schema[k].dataType).alias(k) for k in pair], *names)
+    out = every.unionByName(total)
     rate = F.bround(100.0 * F.col("matched") / F.greatest(F.col("question_items"), F.lit(1)), 0).cast("long")
-    return out.withColumns({"match_rate_pct": rate, "orphan_answers": F.col("answer_entries") - F.col("matched")})
+    return out.withColumns({"match_rate_pct": rate, "orphan_answers": F.col("canonical") - F.col("matched")}).drop("canonical")

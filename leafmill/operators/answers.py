@@ -26,14 +26,18 @@ def block_label(text: Column) -> Column:
 
 
 def parse_answers(pages: DataFrame, keys: tuple[str, ...], text: str = "page_text") -> DataFrame:
-    """One row for each entry: keys, entry_seq, block_label, number_label, correct_choice, answer_text, rationale, flags."""
-    whole = pages.select(*keys, block_label(F.col(text)).alias("block_label"), F.posexplode(t.lines(F.coalesce(F.col(text), F.lit("")))).alias("pos", "line"))
-    w = Window.partitionBy(*keys).orderBy("pos")
-    rows = whole.withColumn("head", F.col("line").rlike(HEAD)).withColumn("entry_seq", F.sum(F.col("head").cast("int")).over(w)).where("entry_seq > 0")
-    body = F.when(~F.col("head") & (t.strip("line") != ""), F.struct("pos", "line"))
-    got = rows.groupBy(*keys, "entry_seq").agg(
-        F.first("block_label").alias("block_label"), F.max(F.when(F.col("head"), F.regexp_extract("line", HEAD, 1))).alias("number_label"), F.array_join(F.array_sort(F.collect_list(body))["line"], "\n").alias("body")
-    )
+    """One row for each entry of a page, without an exchange: keys, entry_seq, block_label, number_label, correct_choice, answer_text, rationale, flags."""
+    lines = F.transform(t.lines(F.coalesce(F.col(text), F.lit(""))), lambda x: F.struct(x.alias("line"), x.rlike(HEAD).alias("head")))
+    rows = pages.select(*keys, block_label(F.col(text)).alias("block_label"), lines.alias("_lines"))
+    rows = rows.withColumn("_heads", F.array_compact(F.transform("_lines", lambda x, i: F.when(x["head"], i))))
+    whole, heads = F.col("_lines"), F.col("_heads")
+    said = lambda some: F.array_join(F.transform(F.filter(some, lambda x: t.strip(x["line"]) != ""), lambda x: x["line"]), "\n")
+    entry = F.transform(heads, lambda h, k: F.struct(
+        (k + 1).alias("entry_seq"), F.regexp_extract(F.get(whole, h)["line"], HEAD, 1).alias("number_label"),
+        said(F.slice(whole, h + 2, F.coalesce(F.get(heads, k + 1), F.size(whole)) - h - 1)).alias("body"),
+    ))
+    # the outer form: `explode` itself would add a filter that computes the array once more
+    got = rows.select(*keys, "block_label", F.explode_outer(entry).alias("x")).where("x is not null").select(*keys, "block_label", "x.*")
     best, correct, said = (F.col("body").rlike(p) for p in (BEST, CORRECT, CORRECT_TEXT))
     choice = F.when(best, F.upper(F.regexp_extract("body", BEST, 1))).when(correct, F.upper(F.regexp_extract("body", CORRECT, 1)))
     free = ~best & ~correct

@@ -76,6 +76,12 @@ def decision() -> Column:
     return out.otherwise(_skipped("blank", F.concat(F.lit("near-blank divider: "), number, F.lit(" chars, ink "), t.fixed(ink, 4))))
 
 
+def with_page_count(pages: DataFrame) -> DataFrame:
+    """`pages` with doc_page_count: documents are counted by their keys alone, so no text is sorted and no long document lands in one task."""
+    n = pages.drop("doc_page_count").groupBy(F.col("source_id").alias("_s"), F.col("doc").alias("_d")).agg(F.count(F.lit(1)).alias("doc_page_count"))
+    return pages.drop("doc_page_count").join(n, F.col("source_id").eqNullSafe(F.col("_s")) & F.col("doc").eqNullSafe(F.col("_d"))).drop("_s", "_d")
+
+
 def classify(df: DataFrame) -> DataFrame:
     """`df` (measured pages) with classification, route and reason."""
     return df.withColumn("_d", decision()).withColumns({c: F.col(f"_d.{c}") for c in ("classification", "route", "reason")}).drop("_d")
@@ -86,10 +92,7 @@ def reclassify(pages: DataFrame) -> DataFrame:
 
     The page count is the number of stored rows of the document.
     """
-    from pyspark.sql import Window
-
-    counted = pages.withColumn("doc_page_count", F.count(F.lit(1)).over(Window.partitionBy("source_id", "doc")))
-    new = counted.withColumn("_d", decision())
+    new = with_page_count(pages).withColumn("_d", decision())
     changed = ~(F.col("_d.classification").eqNullSafe(F.col("classification")) & F.col("_d.route").eqNullSafe(F.col("route")))
     out = new.where(changed).withColumns({"old_classification": F.col("classification"), "old_route": F.col("route")})
     return out.withColumns({"classification": F.col("_d.classification"), "route": F.col("_d.route"), "reason": F.concat(F.lit("[reclassified] "), F.col("_d.reason"))}).drop("_d")

@@ -88,6 +88,22 @@ def stats(included: DataFrame) -> DataFrame:
     return included.select("item_id", F.explode(each).alias("s")).groupBy("s.stat", "s.value").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("first_item"))
 
 
+#: Hexadecimal digits of an id's hash that name its bucket: 4096 buckets.
+BUCKET_DIGITS = 3
+
+
+def digests(rows: DataFrame, by: str, key: str) -> DataFrame:
+    """by, items, sha256: one digest of the ids of each group, whatever their order.
+
+    Ids fall into buckets by their own hash; each bucket's sorted ids are
+    digested, then the 4096 digests in order, so no task holds a whole group.
+    """
+    bucket = F.substring(F.sha2(F.col(key), 256), 1, BUCKET_DIGITS).alias("_bucket")
+    small = rows.groupBy(by, bucket).agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(key)), "\n"), 256).alias("_digest"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bucket", "_digest"))), lambda x: x["_digest"]), "\n")
+    return small.groupBy(by).agg(F.sum("n").alias("items"), F.sha2(joined, 256).alias("sha256"))
+
+
 def warning_counts(validated: DataFrame) -> DataFrame:
     """Warnings over all records, those of excluded ones too."""
     return validated.select(F.explode("warnings").alias("warning")).groupBy("warning").agg(F.count(F.lit(1)).alias("n"))

@@ -1,12 +1,13 @@
 """Pages to question items: line predicates, item assembly, status.
 
-All steps work on lines in page order with one exchange on the page key; the
-windows and the final grouping share it.
+A page is one row, so its lines stay an array in that row from the split to the
+finished items: neighbours, item bounds and choices are places in the array,
+and nothing is exchanged, however the pages are partitioned.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
@@ -29,52 +30,83 @@ OCR_MIN = 70
 
 KEYS = ("source_id", "doc", "page_num")
 
+#: What a stripped line must start with to open an item, or to be noise: a quick test before the forms above.
+_OPENS, _RULES = r"(?U)^[\dIVX]", r"^[.\-_~=·]{4}"
+
+
+def _kept(text: Column) -> Column:
+    """array<struct<pos, line, s>> of the lines that are neither blank nor separators; s is the line without space around it."""
+    every = F.transform(t.lines(F.coalesce(text, F.lit(""))), lambda x, i: F.struct(i.alias("pos"), x.alias("line"), t.strip(x).alias("s")))
+    return F.filter(every, lambda x: (x["s"] != "") & ~(x["s"].rlike(_RULES) & x["line"].rlike(NOISE)))
+
+
+def _marked(kept: Column) -> Column:
+    """`kept` with the label of each line that opens an item and the text after its number, else nulls."""
+
+    def mark(x: Column, i: Column) -> Column:
+        line, nxt, before = x["line"], F.get(kept, i + 1)["s"], F.get(kept, i - 1)["s"]
+        arabic = line.rlike(ARABIC)
+        roman = line.rlike(ROMAN) & (F.length(t.strip(F.regexp_extract(line, ROMAN, 2))) >= ROMAN_MIN)
+        alone = (
+            line.rlike(ALONE) & (F.regexp_extract(line, ALONE, 1).try_cast("int") <= ALONE_MAX) & nxt.isNotNull() & (F.length(nxt) >= NEXT_MIN)
+            & ~nxt.rlike(CHOICE) & ~nxt.rlike(ALONE) & ~F.coalesce(before.rlike(MODULE), F.lit(False))
+        )
+        found = (
+            F.when(arabic, F.struct(F.regexp_extract(line, ARABIC, 1).alias("label"), F.regexp_extract(line, ARABIC, 2).alias("first")))
+            .when(roman, F.struct(F.regexp_extract(line, ROMAN, 1).alias("label"), F.regexp_extract(line, ROMAN, 2).alias("first")))
+            .when(alone, F.struct(F.regexp_extract(line, ALONE, 1).alias("label"), F.lit(None).cast("string").alias("first")))
+        )
+        return F.struct(x["pos"].alias("pos"), line.alias("line"), x["s"].alias("s"), F.when(x["s"].rlike(_OPENS), found).alias("start"))
+
+    return F.transform(kept, mark)
+
+
+def _lines(pages: DataFrame, text: str, keys: tuple[str, ...]) -> DataFrame:
+    return pages.select(*keys, _kept(F.col(text)).alias("_kept")).select(*keys, _marked(F.col("_kept")).alias("_lines"))
+
+
+def _exploded(rows: DataFrame, keys: tuple[str, ...], array: Column) -> DataFrame:
+    """A row x for each element; `explode` itself would add a filter that computes the whole array once more."""
+    return rows.select(*keys, F.explode_outer(array).alias("x")).where("x is not null")
+
 
 def segment_lines(pages: DataFrame, text: str = "page_text", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Meaningful lines (not blank, no separators): keys, pos from 0, line, is_start, number_label, first_text."""
-    whole = pages.select(*keys, F.posexplode(t.lines(F.coalesce(F.col(text), F.lit("")))).alias("pos", "line"))
-    kept = whole.where((t.strip("line") != "") & ~F.col("line").rlike(NOISE))
-    w = Window.partitionBy(*keys).orderBy("pos")
-    near = kept.withColumns({"next_line": F.lead(t.strip("line")).over(w), "prev_line": F.lag(t.strip("line")).over(w)})
-    line, nxt = F.col("line"), F.col("next_line")
-    arabic = line.rlike(ARABIC)
-    roman = line.rlike(ROMAN) & (F.length(t.strip(F.regexp_extract(line, ROMAN, 2))) >= ROMAN_MIN)
-    alone = (
-        line.rlike(ALONE) & (F.regexp_extract(line, ALONE, 1).try_cast("int") <= ALONE_MAX) & nxt.isNotNull() & (F.length(nxt) >= NEXT_MIN)
-        & ~nxt.rlike(CHOICE) & ~nxt.rlike(ALONE) & ~F.coalesce(F.col("prev_line").rlike(MODULE), F.lit(False))
-    )
-    label = F.when(arabic, F.regexp_extract(line, ARABIC, 1)).when(roman, F.regexp_extract(line, ROMAN, 1)).when(alone, F.regexp_extract(line, ALONE, 1))
-    first = F.when(arabic, F.regexp_extract(line, ARABIC, 2)).when(roman, F.regexp_extract(line, ROMAN, 2))
-    return near.withColumns({"number_label": label, "first_text": first}).withColumn("is_start", F.col("number_label").isNotNull()).select(*keys, "pos", "line", "is_start", "number_label", "first_text")
+    rows = _exploded(_lines(pages, text, keys), keys, F.col("_lines"))
+    return rows.select(*keys, "x.pos", "x.line", F.col("x.start").isNotNull().alias("is_start"), F.col("x.start.label").alias("number_label"), F.col("x.start.first").alias("first_text"))
+
+
+def _part(x: Column, i: Column) -> Column:
+    """What a line of an item (the i-th) adds: nothing, a piece of the stem or choice, or a new choice.
+
+    The body of the first line is what follows its number; of a lone number, nothing.
+    """
+    body = F.when(i == 0, x["start"]["first"]).otherwise(x["line"])
+    bare = F.when(i == 0, t.strip(body)).otherwise(x["s"])
+    blank = F.coalesce(bare.rlike("^(?i)ans") & body.rlike(ANSWER_LINE), F.lit(False))
+    choice = F.coalesce(bare.rlike(r"^[(A-E]") & body.rlike(CHOICE), F.lit(False)) & ~blank
+    text = F.when(choice, F.concat(F.regexp_extract(body, CHOICE, 1), F.lit(") "), t.strip(F.regexp_extract(body, CHOICE, 2)))).otherwise(bare)
+    return F.struct(blank.alias("blank"), choice.alias("choice"), F.when(~blank, text).alias("part"))
 
 
 def segment_items(pages: DataFrame, text: str = "page_text", keys: tuple[str, ...] = KEYS) -> DataFrame:
     """One row for each item: keys, item_seq from 1, number_label, stem, choices, kind, start_line, flags."""
-    page = Window.partitionBy(*keys).orderBy("pos")
-    rows = segment_lines(pages, text, keys).withColumn("item_seq", F.sum(F.col("is_start").cast("int")).over(page)).where("item_seq > 0")
-    # the body of a start line is what follows its number; of a lone number, nothing
-    rows = rows.withColumn("body", F.when(F.col("is_start"), F.col("first_text")).otherwise(F.col("line")))
-    body = F.col("body")
-    rows = rows.withColumns({"blank": F.coalesce(body.rlike(ANSWER_LINE), F.lit(False))}).withColumn("choice", F.coalesce(body.rlike(CHOICE), F.lit(False)) & ~F.col("blank"))
-    item = Window.partitionBy(*keys, "item_seq").orderBy("pos")
-    rows = rows.withColumn("nth", F.sum(F.col("choice").cast("int")).over(item))
-    part = F.when(F.col("choice"), F.concat(F.regexp_extract(body, CHOICE, 1), F.lit(") "), t.strip(F.regexp_extract(body, CHOICE, 2)))).otherwise(t.strip("body"))
-    rows = rows.withColumn("part", F.when(body.isNotNull() & ~F.col("blank"), part))
-    got = rows.groupBy(*keys, "item_seq").agg(
-        F.max(F.when(F.col("is_start"), F.col("number_label"))).alias("number_label"),
-        F.min("pos").alias("start_line"),
-        F.max("nth").alias("n"),
-        F.bool_or("blank").alias("answer_line"),
-        F.array_sort(F.collect_list(F.when(F.col("part").isNotNull(), F.struct("pos", "nth", "part")))).alias("parts"),
-    )
-    stem_parts = F.transform(F.filter("parts", lambda p: p["nth"] == 0), lambda p: p["part"])
+    lines, starts, parts, opens = (F.col(c) for c in ("_lines", "_starts", "_parts", "_opens"))
+    rows = _lines(pages, text, keys).withColumn("_starts", F.array_compact(F.transform(lines, lambda x, i: F.when(x["start"].isNotNull(), i))))
+    upto = lambda places, k, whole: F.coalesce(F.get(places, k), F.size(whole))
+    items = F.transform(starts, lambda s, k: F.struct(
+        (k + 1).alias("item_seq"), (k + 1 == F.size(starts)).alias("last"), F.get(lines, s)["start"]["label"].alias("number_label"), F.get(lines, s)["pos"].alias("start_line"),
+        F.transform(F.slice(lines, s + 1, upto(starts, k + 1, lines) - s), _part).alias("_parts"),
+    ))
+    got = _exploded(rows, keys, items).select(*keys, "x.*")
+    got = got.withColumn("_opens", F.array_compact(F.transform(parts, lambda p, i: F.when(p["choice"], i))))
+    said = lambda some: F.transform(F.filter(some, lambda p: p["part"].isNotNull()), lambda p: p["part"])
+    got = got.withColumn("_stem", said(F.slice(parts, 1, upto(opens, F.lit(0), parts))))
     got = got.withColumns({
-        "stem_parts": stem_parts,
-        "stem": F.array_join(F.filter(stem_parts, lambda p: p != ""), " "),
-        "choices": F.when(F.col("n") == 0, F.array().cast("array<string>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.greatest(F.col("n"), F.lit(1)).cast("int")), lambda k: t.strip(F.array_join(F.transform(F.filter("parts", lambda p: p["nth"] == k), lambda p: p["part"]), " ")))
-        ),
-        "last": F.col("item_seq") == F.max("item_seq").over(Window.partitionBy(*keys)),
+        "n": F.size(opens),
+        "answer_line": F.exists(parts, lambda p: p["blank"]),
+        "stem": F.array_join(F.filter("_stem", lambda p: p != ""), " "),
+        "choices": F.transform(opens, lambda c, k: t.strip(F.array_join(said(F.slice(parts, c + 1, upto(opens, k + 1, parts) - c)), " "))),
     })
     got = got.withColumn("kind", F.when(F.col("n") > 0, "multiple_choice").when(F.col("answer_line"), "free_response").otherwise("unknown"))
     cut = F.col("last") & (F.col("kind") == "unknown") & (F.col("stem") != "") & ~F.lit(CLOSING).contains(F.substring("stem", -1, 1))
@@ -82,11 +114,11 @@ def segment_items(pages: DataFrame, text: str = "page_text", keys: tuple[str, ..
         F.when(F.col("n") == 1, "lonely_choice"),
         F.when(F.length("stem") < STEM_MIN, "short_stem"),
         F.when(F.col("number_label").rlike("^[IVX]+$"), "roman_numbered"),
-        F.when(F.exists("stem_parts", lambda p: p.rlike(SUBPART)), "has_subparts"),
+        F.when(F.exists("_stem", lambda p: p.rlike(SUBPART)), "has_subparts"),
         F.when((F.col("n") == 0) & F.col("stem").rlike(INLINE), "inline_choices"),
         F.when(cut, "truncated_at_page_end"),
     ))
-    return got.withColumn("flags", flags).select(*keys, F.col("item_seq").cast("int").alias("item_seq"), "number_label", "stem", "choices", "kind", "start_line", "flags")
+    return got.select(*keys, F.col("item_seq").cast("int").alias("item_seq"), "number_label", "stem", "choices", "kind", "start_line", flags.alias("flags"))
 
 
 def item_status(flags: Column, extraction_source: Column, ocr_mean_conf: Column) -> Column:
@@ -104,12 +136,17 @@ def choose_text(plan: DataFrame) -> DataFrame:
 
 def question_items(pages: DataFrame) -> DataFrame:
     """Item records from pages with page_text, extraction_source, ocr_mean_conf and usage_tag; pages without a source of text give none."""
-    use = pages.where("extraction_source is not null")
-    about = use.select(*KEYS, "extraction_source", "ocr_mean_conf", "usage_tag")
-    out = segment_items(use).join(about, list(KEYS))
+    about = ("extraction_source", "ocr_mean_conf", "usage_tag")
+    out = segment_items(pages.where("extraction_source is not null"), keys=(*KEYS, *about))
     conf = F.when(F.col("extraction_source") == "ocr", F.col("ocr_mean_conf"))
     return out.select(
         F.format_string("%s:%s:p%04d:%d", F.col("source_id"), F.col("doc"), F.col("page_num"), F.col("item_seq")).alias("item_id"),
         *KEYS, "item_seq", "number_label", "kind", "stem", "choices", "flags",
         item_status(F.col("flags"), F.col("extraction_source"), conf).alias("status"), "extraction_source", conf.alias("ocr_mean_conf"), "usage_tag",
     )
+
+
+def page_report(pages: DataFrame) -> DataFrame:
+    """`pages` (page_text, extraction_source) with items: how many each page gives, none without a source of text."""
+    marked = pages.withColumn("_kept", _kept(F.when(F.col("extraction_source").isNotNull(), F.col("page_text")))).withColumn("_lines", _marked(F.col("_kept")))
+    return marked.withColumn("items", F.size(F.filter("_lines", lambda x: x["start"].isNotNull())).cast("long")).drop("_kept", "_lines")

@@ -42,8 +42,7 @@ def long(c: str | Column) -> Column:
 
 
 def measured(fx: Fixtures) -> DataFrame:
-    pages = classify.text_stats(fx["pages_raw"])
-    return pages.withColumn("doc_page_count", F.count(F.lit(1)).over(Window.partitionBy("source_id", "doc")))
+    return classify.with_page_count(classify.text_stats(fx["pages_raw"]).drop("page_text", "text"))
 
 
 def classified(fx: Fixtures) -> DataFrame:
@@ -97,7 +96,7 @@ def reclassify(fx):
 
 @query(ctes("pages_raw") + f" select {PAGE}, count(*) over (partition by source_id, doc) as doc_page_count from pages_raw")
 def doc_page_count(fx):
-    return fx["pages_raw"].select("source_id", "doc", "page_num", F.count(F.lit(1)).over(Window.partitionBy("source_id", "doc")).alias("doc_page_count"))
+    return classify.with_page_count(fx["pages_raw"].select("source_id", "doc", "page_num"))
 
 
 for _key in ("class", "route"):
@@ -129,17 +128,17 @@ def browse_pages(fx):
     return browse.browse_pages(rows, source="", classification="content", route="not a route", number=0)
 
 
-@query(ctes("pages_raw") + f" select {PAGE}, doc_id from pages_raw where source_id = 'src2' and doc = 'en' and page_num = 3")
+@query(ctes("pages_raw") + f" select {PAGE}, doc_id from pages_raw where source_id = 'src2' and doc = 'en-0' and page_num = 3")
 def page_by_key(fx):
-    return fx["pages_raw"].where("source_id = 'src2' and doc = 'en' and page_num = 3").select("source_id", "doc", "page_num", "doc_id")
+    return fx["pages_raw"].where("source_id = 'src2' and doc = 'en-0' and page_num = 3").select("source_id", "doc", "page_num", "doc_id")
 
 
-HOLES = ctes("pages_raw") + ", holed as (select * from pages_raw where doc_id % 10 <> 7)"
+NEAR = "on {0}.source_id = p.source_id and {0}.doc = p.doc and {0}.page_num = p.page_num"
 
 
-@query(HOLES + f" select p.source_id, p.doc, p.page_num, a.page_num is not null as has_prev, b.page_num is not null as has_next from holed p left join holed a on a.source_id = p.source_id and a.doc = p.doc and a.page_num = p.page_num - 1 left join holed b on b.source_id = p.source_id and b.doc = p.doc and b.page_num = p.page_num + 1")
+@query(ctes("pages_raw") + f" select p.source_id, p.doc, p.page_num, a.page_num is not null as has_prev, b.page_num is not null as has_next from pages_raw p left join pages_raw a {NEAR.format('a')} - 1 left join pages_raw b {NEAR.format('b')} + 1")
 def page_neighbors(fx):
-    return browse.neighbours(fx["pages_raw"].where("doc_id % 10 <> 7")).select("source_id", "doc", "page_num", "has_prev", "has_next")
+    return browse.neighbours(fx["pages_raw"]).select("source_id", "doc", "page_num", "has_prev", "has_next")
 
 
 @query(ctes("exam_pages") + f" select {PAGE} from exam_pages where route = 'image' and doc_id % 4 <> 0")
@@ -197,10 +196,10 @@ def ocr_totals(fx):
     return fx["ocr_results"].agg(F.count(F.lit(1)).alias("pages"), F.round(F.avg("mean_conf"), 1).alias("conf"), F.coalesce(F.sum("word_count"), F.lit(0)).alias("words"))
 
 
-@query(ctes("ledger_rows") + " select page_id, local_path, regexp_extract(local_path, '([0-9]+)$', 1) as stem from ledger_rows where batch = 1 and page_id % 3 = 0")
+@query(ctes("ledger_rows") + " select page_id, local_path, regexp_extract(local_path, '([0-9]+)$', 1) as stem from ledger_rows where batch = 1")
 def ocr_pdf_lookup(fx):
     files = fx["ledger_rows"].where("batch = 1").select("local_path").withColumn("stem", F.regexp_extract("local_path", "([^/]+)$", 1))
-    pages = fx["pages"].where("page_id % 3 = 0").select("page_id", F.col("page_id").cast("string").alias("stem"))
+    pages = fx["pages"].select("page_id", F.col("page_id").cast("string").alias("stem"))
     return pages.join(files, "stem").select("page_id", "local_path", "stem")
 
 
@@ -312,9 +311,9 @@ def scan_items(fx):
     return items(fx).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source_id").alias("sources"))
 
 
-@query(ITEMS + f" select item_id, {PAGE}, item_seq from items order by source_id nulls first, doc nulls first, page_num, item_seq limit 200")
+@query(ITEMS + f" select item_id, {PAGE}, item_seq from items order by source_id nulls first, doc nulls first, page_num, item_seq")
 def ordered_items(fx):
-    return items(fx).select("item_id", "source_id", "doc", "page_num", long("item_seq").alias("item_seq")).orderBy("source_id", "doc", "page_num", "item_seq").limit(200)
+    return items(fx).select("item_id", "source_id", "doc", "page_num", long("item_seq").alias("item_seq")).orderBy("source_id", "doc", "page_num", "item_seq")
 
 
 for _key in ("kind", "status"):
@@ -335,8 +334,7 @@ def distinct_sources(fx):
 @query(ITEMS + ", counted as (select source_id, doc, page_num, count(*) as n from seg_items group by all) select c.source_id, c.doc, c.page_num, coalesce(n, 0) as items, extraction_source, skip_reason from chosen c left join counted using (source_id, doc, page_num)")
 def segmentation_report(fx):
     plan = chosen(fx)
-    counted = segment.segment_items(plan.where("extraction_source is not null")).groupBy("source_id", "doc", "page_num").agg(F.count(F.lit(1)).alias("items"))
-    return plan.join(counted, ["source_id", "doc", "page_num"], "left").select("source_id", "doc", "page_num", F.coalesce("items", F.lit(0)).alias("items"), "extraction_source", "skip_reason")
+    return segment.page_report(plan).select("source_id", "doc", "page_num", "items", "extraction_source", "skip_reason")
 
 
 # --- answers and alignment ----------------------------------------------------
@@ -431,9 +429,22 @@ def align_pair(fx):
     return aligned(fx).select("pair", "item_id", "number_label", long("canon_pos").alias("canon_pos"))
 
 
-@query(ALIGNED + ", i as (select pair, count(*) as question_items from align_items group by 1), c as (select pair, count(*) as answer_entries from canon group by 1), m as (select pair, count(canon_pos) as matched, count(*) - count(canon_pos) as unmatched_questions from aligned group by 1) select pair, coalesce(question_items, 0) as question_items, coalesce(answer_entries, 0) as answer_entries, coalesce(matched, 0) as matched, coalesce(unmatched_questions, 0) as unmatched_questions, cast(round_even(100.0 * coalesce(matched, 0) / greatest(coalesce(question_items, 0), 1), 0) as bigint) as match_rate_pct, coalesce(answer_entries, 0) - coalesce(matched, 0) as orphan_answers from i full join c using (pair) full join m using (pair)")
+#: Counts of every pair, and of all pairs together (pair null).
+REPORT = ALIGNED + """, offered as (select pair, case when pair % 3 = 0 then ['A', 'B'] when pair % 3 = 1 then ['A', 'B', 'C', 'D'] else [] end as letters from (select distinct pair from align_items)),
+i as (select pair, count(*) as question_items from align_items group by 1), p as (select pair, count(*) as answer_pages from answer_pages group by 1), e as (select pair, count(*) as answer_entries from entries group by 1),
+c as (select pair, count(*) as canonical from canon group by 1),
+m as (select a.pair, count(a.canon_pos) as matched, count(*) - count(a.canon_pos) as unmatched_questions, count(*) filter (correct_choice is not null and len(letters) > 0 and not list_contains(letters, correct_choice)) as inconsistent
+    from aligned a left join canon using (pair, canon_pos) join offered on offered.pair = a.pair group by 1),
+each as (select pair, coalesce(question_items, 0) as question_items, coalesce(answer_pages, 0) as answer_pages, coalesce(answer_entries, 0) as answer_entries, coalesce(canonical, 0) as canonical, coalesce(matched, 0) as matched,
+    coalesce(unmatched_questions, 0) as unmatched_questions, coalesce(inconsistent, 0) as inconsistent from i full join p using (pair) full join e using (pair) full join c using (pair) full join m using (pair)),
+every as (select * from each union all select null, sum(question_items), sum(answer_pages), sum(answer_entries), sum(canonical), sum(matched), sum(unmatched_questions), sum(inconsistent) from each)
+select pair, cast(question_items as bigint) as question_items, cast(answer_pages as bigint) as answer_pages, cast(answer_entries as bigint) as answer_entries, cast(matched as bigint) as matched, cast(unmatched_questions as bigint) as unmatched_questions,
+    cast(round_even(100.0 * matched / greatest(question_items, 1), 0) as bigint) as match_rate_pct, cast(canonical - matched as bigint) as orphan_answers, cast(inconsistent as bigint) as inconsistent from every"""
+
+
+@query(REPORT)
 def alignment_report(fx):
-    return align.report(fx["align_items"], canon(fx), aligned(fx), ("pair",))
+    return align.report(fx["align_items"], fx["answer_pages"], entries(fx), canon(fx), checked_answers(fx), ("pair",))
 
 
 CHOICES = "case when pair % 3 = 0 then ['A) x', 'B) y'] when pair % 3 = 1 then ['A) x', 'B) y', 'C) z', 'D) w'] else [] end"
@@ -443,9 +454,13 @@ def offered(c: str = "pair") -> Column:
     return F.when(F.col(c) % 3 == 0, F.array(F.lit("A) x"), F.lit("B) y"))).when(F.col(c) % 3 == 1, F.array(*map(F.lit, ("A) x", "B) y", "C) z", "D) w")))).otherwise(F.array().cast("array<string>"))
 
 
+def checked_answers(fx: Fixtures) -> DataFrame:
+    return aligned(fx).withColumn("consistent", align.consistent(F.col("correct_choice"), offered()))
+
+
 @query(ALIGNED + f", o as (select a.pair, item_id, correct_choice, list_transform({CHOICES.replace('pair', 'a.pair')}, lambda x: trim(split_part(x, ')', 1))) as letters from aligned a join canon using (pair, canon_pos)) select pair, item_id, correct_choice, correct_choice is null or len(letters) = 0 or list_contains(letters, correct_choice) as consistent from o")
 def answer_consistency(fx):
-    return aligned(fx).where("canon_pos is not null").select("pair", "item_id", "correct_choice", align.consistent(F.col("correct_choice"), offered()).alias("consistent"))
+    return checked_answers(fx).where("canon_pos is not null").select("pair", "item_id", "correct_choice", "consistent")
 
 
 @query(ALIGNED + " select pair, a.item_id, a.number_label, block_label as answer_block, correct_choice, answer_text, substring(rationale, 1, 400) as answer_rationale, flags as answer_flags from aligned a join canon using (pair, canon_pos)")
@@ -541,10 +556,10 @@ def warning_counts(fx):
     return release.warning_counts(release.validate(merged(fx)))
 
 
-@query(RECORDS + " select part as partition, count(*) as items, sha256(string_agg(item_id, chr(10) order by item_id)) as sha256 from gated where decision = 'include' group by 1")
+@query(RECORDS + " select part as partition, sum(n) as items, sha256(string_agg(digest, chr(10) order by bucket)) as sha256 from (select part, substring(sha256(item_id), 1, 3) as bucket, count(*) as n, sha256(string_agg(item_id, chr(10) order by item_id)) as digest from gated where decision = 'include' group by 1, 2) group by 1".replace("sum(n)", "cast(sum(n) as bigint)"))
 def release_manifest(fx):
     rows = gated(fx).where("decision = 'include'").withColumn("partition", release.partition_for(F.col("usage_tag")))
-    return rows.groupBy("partition").agg(F.count(F.lit(1)).alias("items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item_id")), "\n"), 256).alias("sha256"))
+    return release.digests(rows, "partition", "item_id")
 
 
 # --- collection -----------------------------------------------------------------

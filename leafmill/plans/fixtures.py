@@ -58,15 +58,15 @@ def relations(spark: bool) -> dict[str, str]:
         when (doc_id + #i) % 2 = 0 then concat('Choice ', {letter}, ' is the best answer because  the passage says so.')
         else concat('The correct answer is choice ', {letter}, '.') end)""")
     return {
-        "pages_raw": f"""select source as source_id, lang as doc, cast(row_number() over (partition by source, lang order by doc_id) as bigint) as page_num, doc_id,
+        "pages_raw": f"""select source as source_id, concat(lang, '-', cast(cast(floor(doc_id / 50) as bigint) as string)) as doc, cast(doc_id % 50 + 1 as bigint) as page_num, doc_id, text,
             case doc_id % 10 when 0 then concat('ANSWER KEY', {NL}, text) when 1 then concat('CONTENTS', {NL}, substring(text, 1, 300)) when 2 then concat('ANSWERS', {NL}, text)
                 when 3 then substring(text, 1, 100) when 4 then '' else text end as page_text,
             cast(doc_id % 41 as double) / 1000.0 as ink_ratio, case when doc_id % 2 = 0 then 612.0 else 792.0 end as width_pt, cast(700 as double) as height_pt,
             case lang when 'en' then 'PUBLIC_DOMAIN' when 'fr' then 'CC_BY_SA_ATTRIBUTION_SHAREALIKE' when 'de' then 'RESTRICTED_PERSONAL_USE' else 'SOMETHING_ELSE' end as usage_tag
             from documents""",
-        "exam_pages": f"""select p.source_id, p.doc, p.page_num, p.doc_id, p.usage_tag, concat('..........', {NL}, {exam.replace('text,', 'd.text,').replace('doc_id %', 'd.doc_id %')}) as page_text,
-            case when p.doc_id % 6 < 4 then 'text' when p.doc_id % 6 = 4 then 'image' else 'skip' end as route
-            from pages_raw p join documents d on p.doc_id = d.doc_id""",
+        "exam_pages": f"""select source_id, doc, page_num, doc_id, usage_tag, concat('..........', {NL}, {exam}) as page_text,
+            case when doc_id % 6 < 4 then 'text' when doc_id % 6 = 4 then 'image' else 'skip' end as route
+            from pages_raw""",
         "ocr_words": """select user_id as page, event_id as word_num, case when event_id % 7 = 0 then 2 else 5 end as level,
             case when event_id % 11 = 0 then cast(-1 as double) when value > 100 then cast(100 as double) else value end as conf,
             case when event_id % 13 = 0 then '   ' else event_type end as word from events""",
