@@ -1,13 +1,20 @@
 """Toxicity scoring with a factorization machine over hashed terms.
 
 A term is a maximal run of letters, lower-cased, or its first `STEMS` letters
-(inflected insults share a stem); a text is the set of its hashed terms.  Besides a weight for each term the machine learns a short
-vector for each, and the product of two vectors weighs the pair: an insult
-next to the mention of a group counts for more than their sum, which weights
-alone cannot say.  Training is full-batch Adam in numpy on a bounded sample of
-labelled rows (`TRAIN_ROWS`); only terms whose share among toxic and among
-clean rows differs by `EVIDENCE` standard errors, and which `MIN_ROWS` rows hold, take part; that keeps the
-machine from learning rare words by heart.  Texts reach the driver as sets of hashes, never as text.
+(inflected insults share a stem); a text is the set of its hashed terms.
+Besides a weight for each term the machine learns a short vector for each, and
+the product of two vectors weighs the pair: an insult next to the mention of a
+group counts for more than their sum, which weights alone cannot say.
+
+Training is Adam in numpy on a bounded sample of labelled rows (`TRAIN_ROWS`).
+All terms of the sample take part, each under its own shrinkage: a term's value
+in a text is e^4 / (e^4 + EVIDENCE^4), where e is how many standard errors its
+share differs between toxic and clean rows, or, if that is more, how many a
+pair that it belongs to differs from what its two terms say (pairs of the
+`PAIR_TERMS` terms that vary most, with `PAIR_EVIDENCE` for EVIDENCE).  So words
+met by chance are not learned by heart, terms that matter only in company are
+kept, and no pair of words needs to be listed.  Texts reach the driver as sets
+of hashes, never as text.
 
 Edge cases.  Null, empty and letterless texts have no term and get the
 intercept's score.  Without labelled rows every score is 0.  A null label or
@@ -31,10 +38,12 @@ from . import common
 BITS = 18
 FACTORS = 4
 TRAIN_ROWS = 6000
-EVIDENCE = 5.0
-MIN_ROWS = 6
+EVIDENCE, PAIR_EVIDENCE = 5.0, 8.0
+PAIR_TERMS = 2048
+#: Terms whose value is below this are left out: 2000 of them move a score less than one term with evidence.
+LEAST = 0.01
 STEMS = (4, 6)
-EPOCHS = 150
+EPOCHS, BATCH = 20, 512
 RATE, DECAY = 0.05, 1e-3
 
 _words = re.compile(r"[^\W\d_]+").findall
@@ -50,14 +59,49 @@ def terms(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) >> (32 - BITS) for w in words), np.int32, len(words)))
 
 
+def evidence(texts: list[np.ndarray], y: np.ndarray, size: int) -> np.ndarray:
+    """Standard errors that each term, alone or in its best pair, is away from telling nothing of `y`."""
+    bad, good = (np.bincount(np.concatenate([np.empty(0, np.int32), *(t for t, k in zip(texts, y, strict=True) if k == want)]).astype(np.int64), minlength=size) for want in (1, 0))
+    p, n_bad, n_good = (bad + good + 0.5) / (len(y) + 1), max(y.sum(), 1), max((1 - y).sum(), 1)
+    alone = np.abs(bad / n_bad - good / n_good) / np.sqrt(p * (1 - p) * (1 / n_bad + 1 / n_good))
+    alone[bad + good == 0] = 0
+    spread = np.where(bad + good > 0, p * (1 - p), 0)
+    many = min(PAIR_TERMS, int((spread > 0).sum()))
+    if many < 2 or not 0 < y.mean() < 1:
+        return alone
+    top = np.sort(np.argpartition(-spread, many - 1)[:many])
+    column = np.full(size, -1)
+    column[top] = np.arange(many)
+    x = np.zeros((len(y), many), np.float32)
+    for i, t in enumerate(texts):
+        c = column[t]
+        x[i, c[c >= 0]] = 1
+    x -= x.mean(axis=0)
+    off = (y - y.mean()).astype(np.float32)
+    # what two terms say together beyond each alone, against its spread were the terms independent
+    found = np.abs((x * off[:, None]).T @ x)
+    scale = np.sqrt(spread[top] * np.sqrt(len(y) * y.mean() * (1 - y.mean())))
+    i, j = np.nonzero(np.triu(found >= 0.6 * PAIR_EVIDENCE * scale[:, None] * scale[None, :], 1))
+    pair = np.zeros(many)
+    for at in range(0, len(i), 500):  # the likely ones again, by the spread that they have
+        a, b = i[at : at + 500], j[at : at + 500]
+        both = x[:, a] * x[:, b]
+        both -= both.mean(axis=0)
+        far = np.abs((both * off[:, None]).sum(axis=0)) / np.sqrt(np.maximum((both**2 * (off**2)[:, None]).sum(axis=0), 1e-9))
+        np.maximum.at(pair, a, far)
+        np.maximum.at(pair, b, far)
+    alone[top] = np.maximum(alone[top], pair * EVIDENCE / PAIR_EVIDENCE)
+    return alone
+
+
 class Machine:
-    """w0 + sum of w[i] + sum over pairs of <v[i], v[j]>, each text scaled by its known terms."""
+    """w0 + sum of w[i] + sum over pairs of <v[i], v[j]>, over the terms of a text."""
 
     def __init__(self, size: int):
         self.w0 = 0.0
         self.slot = np.zeros(size, np.int32)  # 0: a term that the sample does not know
-        self.w = np.zeros(1)
-        self.v = np.zeros((1, FACTORS))
+        self.w = np.zeros(1, np.float32)
+        self.v = np.zeros((1, FACTORS), np.float32)
 
     def raw(self, ids: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores and factor sums of texts given as concatenated slots; n: slots of each."""
@@ -75,41 +119,43 @@ class Machine:
         return self.w0 + linear + 0.5 * (sums * sums - squares).sum(axis=1), sums
 
     def fit(self, texts: list[np.ndarray], y: np.ndarray, seed: int = 5) -> Machine:
-        size = len(self.slot)
-        bad, good = (np.bincount(np.concatenate([np.empty(0, np.int32), *(t for t, k in zip(texts, y, strict=True) if k == want)]).astype(np.int64), minlength=size) for want in (1, 0))
-        p, n_bad, n_good = (bad + good + 0.5) / (len(y) + 1), max(y.sum(), 1), max((1 - y).sum(), 1)
-        apart = (bad / n_bad - good / n_good) / np.sqrt(p * (1 - p) * (1 / n_bad + 1 / n_good))
-        known = np.flatnonzero((np.abs(apart) >= EVIDENCE) & (bad + good >= MIN_ROWS))
+        e = evidence(texts, y, len(self.slot)) ** 4
+        value = e / (e + EVIDENCE**4)
+        known = np.flatnonzero(value >= LEAST)
         self.slot[known] = np.arange(1, len(known) + 1)
+        value = np.concatenate([[0.0], value[known]]).astype(np.float32)
         rng = np.random.default_rng(seed)
-        self.w = np.zeros(len(known) + 1)
-        self.v = rng.normal(0, 0.01, (len(known) + 1, FACTORS))
-        self.v[0] = 0
+        w, v = np.zeros(len(known) + 1, np.float32), rng.normal(0, 0.05, (len(known) + 1, FACTORS)).astype(np.float32)
+        v[0] = 0
+        w0 = np.zeros(1, np.float32)
         rows = [s[s > 0] for s in (self.slot[t] for t in texts)]
-        n = np.array([len(r) for r in rows])
-        ids, starts, of = np.concatenate(rows), np.concatenate([[0], np.cumsum(n)[:-1]]), np.repeat(np.arange(len(n)), n)
-        weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
-        weight = np.sqrt(weight / len(y))  # between balanced and as found
-        weight /= weight.sum()
-        state = {k: [np.zeros_like(x), np.zeros_like(x)] for k, x in (("w", self.w), ("v", self.v))}
-        bias = [0.0, 0.0]
-        for step in range(1, EPOCHS + 1):
-            z, sums = self.raw(ids, starts, n)
-            g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-            each = g[of]
-            gw = np.bincount(ids, each, len(self.w)) + DECAY * self.w
-            gv = np.stack([np.bincount(ids, each * sums[of, f], len(self.w)) - np.bincount(ids, each, len(self.w)) * self.v[:, f] for f in range(FACTORS)], axis=1) + DECAY * self.v
-            for k, grad in (("w", gw), ("v", gv)):
-                m, s = state[k]
-                m += 0.1 * (grad - m)
-                s += 0.001 * (grad * grad - s)
-                x = getattr(self, k)
-                x -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-6)
-                x[0] = 0
-            gb = g.sum()
-            bias[0] += 0.1 * (gb - bias[0])
-            bias[1] += 0.001 * (gb * gb - bias[1])
-            self.w0 -= RATE * (bias[0] / (1 - 0.9**step)) / (np.sqrt(bias[1] / (1 - 0.999**step)) + 1e-6)
+        weight = np.sqrt(np.where(y == 1, 1 / max(y.mean(), 1e-9), 1 / max(1 - y.mean(), 1e-9)))  # between balanced and as found
+        weight /= weight.mean()
+        state = [(x, np.zeros_like(x), np.zeros_like(x)) for x in (w, v, w0)]
+        step = 0
+        for epoch in range(EPOCHS):
+            order = rng.permutation(len(rows))
+            for lo in range(0, len(rows), BATCH):
+                own = order[lo : lo + BATCH]
+                n = np.array([len(rows[i]) for i in own])
+                ids, of, starts = np.concatenate([rows[i] for i in own]), np.repeat(np.arange(len(own)), n), np.cumsum(n) - n
+                # the machine sees each term at its value
+                self.w0, self.w, self.v = float(w0[0]), w * value, v * value[:, None]
+                z, sums = self.raw(ids, starts, n)
+                g = weight[own] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[own]) / len(own)
+                each = g[of] * value[ids]
+                many = np.bincount(ids, each, len(w))
+                grads = (
+                    many + DECAY * w,
+                    np.stack([np.bincount(ids, each * sums[of, f], len(w)) - many * self.v[:, f] for f in range(FACTORS)], axis=1) + DECAY * v,
+                    np.array([g.sum()]),
+                )
+                step += 1
+                for (x, m, s), grad in zip(state, grads, strict=True):
+                    m += 0.1 * (grad - m)
+                    s += 0.01 * (grad * grad - s)
+                    x -= RATE * (1 - epoch / EPOCHS) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-4)
+        self.w0, self.w, self.v = float(w0[0]), w * value, v * value[:, None]
         return self
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:

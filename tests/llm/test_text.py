@@ -287,19 +287,29 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs(spark, []), model).count() == 0
 
 
-def test_factors_learn_a_pair():
-    """Two terms that are toxic only together, which no sum of weights can say."""
+def pair_rows(n, rule):
+    """Texts of neutral terms and of two more, toxic by a rule on these two."""
     rng = np.random.default_rng(0)
-    x = rng.integers(0, 2, (1200, 2))
-    texts = [np.array([1 + k for k in range(2) if r[k]], np.int32) for r in x]
-    y = (x[:, 0] != x[:, 1]).astype(float)
-    old = toxicity.EVIDENCE, toxicity.EPOCHS, toxicity.DECAY
-    toxicity.EVIDENCE, toxicity.EPOCHS, toxicity.DECAY = 0.0, 600, 0.0
-    try:
-        model = toxicity.Machine(8).fit(texts, y)
-    finally:
-        toxicity.EVIDENCE, toxicity.EPOCHS, toxicity.DECAY = old
-    assert ((model.scores(texts) >= 0.5) == (y == 1)).mean() == 1.0
+    x = rng.integers(0, 2, (n, 2))
+    texts = [np.unique(np.concatenate([rng.integers(10, 50, 20), np.flatnonzero(r) + 1])).astype(np.int32) for r in x]
+    return texts, np.array([rule(*r) for r in x], float)
+
+
+@pytest.mark.parametrize("rule", [lambda a, b: a != b, lambda a, b: a and b])
+def test_factors_learn_a_pair(rule):
+    """Two terms that are toxic only apart, or only together, which no sum of weights can say; as shipped."""
+    texts, y = pair_rows(6000, rule)
+    model = toxicity.Machine(64).fit(texts, y)
+    assert ((model.scores(texts) >= 0.5) == (y == 1)).mean() > 0.99
+
+
+def test_scores_are_the_sum_over_pairs():
+    texts, y = pair_rows(400, lambda a, b: a != b)
+    model = toxicity.Machine(64).fit(texts, y)
+    for t, got in zip(texts[:50] + [np.empty(0, np.int32), np.array([63], np.int32)], model.scores(texts[:50] + [np.empty(0, np.int32), np.array([63], np.int32)])):
+        k = [i for i in model.slot[t].tolist() if i]
+        z = model.w0 + sum(float(model.w[i]) for i in k) + sum(float(model.v[i] @ model.v[j]) for n, i in enumerate(k) for j in k[n + 1 :])
+        assert got == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-5)
 
 
 SAMPLES = {"en": "the house of the river and the stone was by that old road with light", "de": "das haus und der fluss mit dem stein war auf der alten straße für licht", "fr": "la maison de la rivière et la pierre était près de cette vieille route avec lumière"}
