@@ -1,23 +1,28 @@
 """Document fingerprints by SpotSigs.
 
-A spot signature is a common word (the anchor) with the next `CHAIN` content
-words after it, common words skipped.  Boilerplate between passages of prose
-holds few anchors, so it hardly counts.  A fingerprint is the sorted set of a
-text's hashed signatures in hexadecimal; its likeness to another is their
-Jaccard similarity.  Comparison is pruned by set length: the shorter set's
-length over the longer's bounds the similarity, and counting stops once the
-rest cannot reach the threshold.
+A spot signature is an anchor with the next `CHAIN` content words after it,
+common words skipped.  Anchors are the common words, words whose hash is
+divisible by `RARE` (so texts in languages without a word list have anchors
+too) and the start of the text; boilerplate between passages of prose holds few
+of them, so it hardly counts.  A fingerprint is the sorted set of a text's
+hashed signatures in hexadecimal; its likeness to another is their Jaccard
+similarity.
+
+Comparison is pruned: sets are partitioned by length, and sets of partitions
+too far apart for a likeness of `at_least` are not compared; counting goes by
+ranges of hashes and stops once the rest cannot reach it.  A likeness below
+`FLOOR` counts as 0.
 
 `near_pairs` joins a whole table: equal sets are one set, sets are partitioned
 by length so that only neighbouring partitions can hold pairs, and within them
 only the rarest signatures of each set, as many as a pair at the threshold
 cannot all miss, are posted.
 
-Edge cases.  Null is the empty text.  In a text with fewer than `FEW`
-signatures (few anchors, or too few content words after them) every word is an
-anchor too; a text without words has none, and two such are alike (1).  Equal
-texts have equal fingerprints.  Rows with equal doc_id stand in order of their
-text; null ids come last.  A single row is its own neighbour.
+Edge cases.  Null is the empty text.  A text with fewer content words than a
+chain has them (or, without any, its first common words) after the start as its
+one signature; a text without words has none, and two such are alike (1).
+Equal texts have equal fingerprints.  Rows with equal doc_id stand in order of
+their text in one task; null ids come last.  A single row is its own neighbour.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +42,10 @@ from pyspark.sql import functions as F
 from . import common
 
 CHAIN = 2
-FEW = 4
+#: One word in so many is an anchor by its hash.
+RARE = 16
+#: A likeness below this counts as 0; elements that are counted between two looks at the bound.
+FLOOR, RANGE = 0.02, 256
 #: Common words of four languages.
 COMMON = frozenset(
     "the of and to in a is that it was for on are as with his they at be this have from or had by not but what all were we when your can said there "
@@ -51,6 +60,8 @@ _words = re.compile(r"[^\W_]+").findall
 def signatures(text: str | None) -> np.ndarray:
     """Sorted distinct signature hashes (uint32) of the whole text."""
     words = _words(text.lower()) if text else []
+    if not words:
+        return np.empty(0, np.uint32)
     content: list[str] = []
     anchors: list[tuple[str, int]] = []
     for w in words:
@@ -58,10 +69,11 @@ def signatures(text: str | None) -> np.ndarray:
             anchors.append((w, len(content)))
         else:
             content.append(w)
+            if zlib.crc32(w.encode("utf-8", "surrogatepass")) % RARE == 0:
+                anchors.append((w, len(content)))
     last = len(content) - CHAIN
     found = {f"{a} {' '.join(content[j : j + CHAIN])}" for a, j in anchors if j <= last}
-    if len(found) < FEW and words:
-        found |= {" ".join(words[i : i + CHAIN]) for i in range(max(1, len(words) - CHAIN + 1))}
+    found.add(f"^ {' '.join((content or words)[:CHAIN])}")
     return np.unique(np.fromiter((xxhash.xxh32_intdigest(s.encode("utf-8", "surrogatepass")) for s in found), np.uint32, len(found)))
 
 
@@ -69,15 +81,29 @@ def fingerprint(sigs: np.ndarray) -> str:
     return sigs.astype(">u4").tobytes().hex()
 
 
+def partition(n: int, at_least: float) -> int:
+    """Partition of sets of n elements: sets at least so alike lie in one partition or in neighbouring ones."""
+    return int(math.log(n) / math.log(1 / at_least) + 1e-9)
+
+
 def likeness(a: np.ndarray, b: np.ndarray, at_least: float = 0.0) -> float:
-    """Jaccard similarity of two signature sets; 0 as soon as it must be below `at_least`."""
+    """Jaccard similarity of two sorted signature sets; 0 as soon as it must be below `at_least`."""
     if not len(a) or not len(b):
         return 1.0 if len(a) == len(b) else 0.0
-    short, long = sorted((len(a), len(b)))
-    if short < at_least * long:
+    if len(a) > len(b):
+        a, b = b, a
+    if at_least > 0 and (abs(partition(len(a), at_least) - partition(len(b), at_least)) > 1 or len(a) < at_least * len(b)):
         return 0.0
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    value = both / (short + long - both)
+    needed = at_least / (1 + at_least) * (len(a) + len(b))  # elements that both must hold
+    both, at = 0, 0
+    for lo in range(0, len(a), RANGE):
+        part = a[lo : lo + RANGE]
+        to = int(np.searchsorted(b, part[-1], side="right"))
+        both += int(np.isin(part, b[at:to], assume_unique=True).sum())
+        at = to
+        if both + min(len(a) - lo - len(part), len(b) - at) < needed - 1e-9:
+            return 0.0
+    value = both / (len(a) + len(b) - both)
     return value if value >= at_least else 0.0
 
 
@@ -93,7 +119,7 @@ _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 def _row(doc_id, text: str, sigs: np.ndarray, next_text: str, next_sigs: np.ndarray) -> tuple:
     new = edited(text, next_text)
     other = signatures(new)
-    return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(sigs), fingerprint(other), likeness(sigs, other), likeness(sigs, next_sigs)
+    return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(sigs), fingerprint(other), likeness(sigs, other, FLOOR), likeness(sigs, next_sigs, FLOOR)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
