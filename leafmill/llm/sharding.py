@@ -1,20 +1,23 @@
 """Even shards by balanced label propagation.
 
-Nodes start in a shard by a hash of their id.  In each round every hub (what
+Nodes start in a shard by a hash of their row.  In each round every hub (what
 links nodes: an equal text, say) counts its members by shard, each member adds
-up the counts of its hubs and would move to the shard with the most of its
-neighbours.  Moves are granted under quotas: the flows between shards are
-summed (SHARDS * SHARDS numbers), and a shard takes in no more linked rows than
-its quota of rows has room for, plus what swaps with it free; unlinked rows
-give way at the end.  A hub's members move together.  Hubs with more than `LARGE`
-of a quota are few (SHARDS / LARGE at most, whatever the input): they take their
-places first, the largest in the emptiest shard, and spill over into the next
-only where none has room for them.  After the last round the counts are made even
-exactly: each shard's rows beyond its quota, unlinked ones first, go to the
-shards below theirs.  Rounds are joins and partial sums; the links are never
-expanded into pairs, and a round's state is written to the shared folder.
-
-The law is `rows`: row counts of any two shards differ by one at most.
+up the counts of its hubs and would move to the shard where the most of them
+could be together, given the room there, and of equal ones where the most are;
+only its own shard and those with room count.  Moves are granted under
+quotas: the flows between shards are summed (SHARDS * SHARDS numbers), and a
+shard takes in no more linked rows than its quota of rows has room for, plus
+what swaps with it free; unlinked rows give way at the end.  All hubs go the
+same way.  Which moves are granted is drawn for a hub, so that its members move
+together; for the members of a hub with more than `LARGE` of a quota it is drawn
+one by one, so that such a hub fills what room there is, and in the next round
+the shard after that.  After the last round the counts are made even exactly:
+each shard's rows beyond its quota, unlinked ones first, go to the shards below
+theirs.  Rounds are joins and partial sums; the links are never expanded into
+pairs, and a round's state is written to the shared folder.
+
+The law is `rows`: row counts of any two shards differ by one at most.  Draws
+depend on doc_id and text alone, not on files or partitions.
 
 Edge cases.  Null and empty texts are rows like others; null texts link with
 nothing.  Rows with equal or null doc_id are separate rows.  An empty table
@@ -30,7 +33,7 @@ from . import common
 
 SHARDS = 8
 ROUNDS = 4
-#: A hub with more members than this share of a quota is placed first.
+#: The members of a hub with more of them than this share of a quota move one by one.
 LARGE = 0.02
 
 
@@ -52,73 +55,65 @@ def _grants(flow: dict[tuple[int, int], int], load: list[int], room: float) -> l
     return share
 
 
-def _seats(large: list[tuple[int, int]], shards: int, quota: float) -> tuple[list[tuple[int, list[float], list[int]]], list[int]]:
-    """Places of large hubs (hub, members): rows (hub, ends of shares, shard of each), and the rows each shard takes."""
-    load, out = [0] * shards, []
-    for hub, many in sorted(large, key=lambda x: (-x[1], x[0])):
-        left, ends, to = many, [], []
-        while left > 0:
-            s = min(range(shards), key=lambda s: (load[s], s))
-            take = min(left, max(1, int(quota) - load[s]))
-            load[s] += take
-            left -= take
-            ends.append((many - left) / many)
-            to.append(s)
-        out.append((hub, ends, to))
-    return out, load
-
-
 def propagate(nodes: DataFrame, members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """`nodes` (node long and others) with shard int and tied int (neighbours in that shard).
+    """`nodes` (node long, seed long and others) with shard int and tied int (neighbours in that shard).
 
-    members: node long, hub long; a node may have several hubs.
+    members: node long, hub long; a node may have several hubs.  seed: what the draws of a node depend on.
     """
-    spark = nodes.sparkSession
     quota = nodes.count() / shards
     members = members.join(members.groupBy("hub").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "hub").select("node", "hub", "many")
     members = common.materialize(members, "links")
-    large = members.where(F.col("many") > LARGE * quota)
-    seats, seated = _seats([tuple(r) for r in large.groupBy("hub").agg(F.max("many")).collect()], shards, quota)  # shards / LARGE rows at most
-    table = spark.createDataFrame(seats, "hub long, ends array<double>, places array<int>")
-    die = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    placed = large.join(F.broadcast(table), "hub").select("node", F.get("places", F.least(F.size(F.filter("ends", lambda e: e <= die)), F.size("places") - 1)).alias("seat"), "many").dropDuplicates(["node"])
-    state = nodes.select("node").join(placed, "node", "left").select("node", F.coalesce("seat", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")).alias("shard"), F.coalesce("many", F.lit(0)).cast("long").alias("tied"))
-    state = common.checkpointed(state)
-    members = members.where(F.col("many") <= LARGE * quota)
+    state = nodes.select("node", "seed", F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).cast("long").alias("tied"))
     for turn in range(rounds):
         votes = members.join(state.select("node", "shard"), "node").groupBy("hub").agg(_vector("shard", shards).alias("v"))
         # equal counts: every member of a hub prefers the same shard
         heard = members.join(votes, "hub").groupBy("node").agg(
             F.array(*[F.sum(F.get("v", F.lit(s))) for s in range(shards)]).alias("sum"), F.max(F.struct("many", "hub")).alias("main")
         )
-        order = F.transform("sum", lambda n, s: F.struct(n.alias("n"), F.pmod(F.xxhash64("main.hub", s), F.lit(1 << 20)).alias("r"), s.alias("s")))
-        wish = heard.select("node", F.array_max(order)["s"].cast("int").alias("to"), "sum", F.xxhash64("main.hub", F.lit(turn)).alias("die"))
-        full = common.checkpointed(state.join(wish, "node", "left").select("node", "shard", "tied", F.coalesce("to", "shard").alias("to"), "sum", "die"))
-        flow = {(r["shard"], r["to"]): r["n"] for r in full.where("sum is not null").groupBy("shard", "to").agg(F.count(F.lit(1)).alias("n")).collect()}  # shards * shards numbers
-        load = [seated[s] + sum(n for (f, _), n in flow.items() if f == s) for s in range(shards)]
+        full = common.checkpointed(state.join(heard, "node", "left").select("node", "seed", "shard", "tied", "sum", "main"))
+        linked = full.where("sum is not null")
+        load = dict.fromkeys(range(shards), 0) | {r["shard"]: r["count"] for r in linked.groupBy("shard").count().collect()}  # shards numbers
+        room = F.array(*[F.lit(max(0.0, quota - load[s])) for s in range(shards)])
+        every = F.aggregate("sum", F.lit(0).cast("long"), lambda a, n: a + n)
+        order = F.transform("sum", lambda n, s: F.struct(F.least(every, n + F.get(room, s)).alias("could"), n.alias("n"), F.pmod(F.xxhash64("main.hub", s), F.lit(1 << 20)).alias("r"), s.alias("s")))
+        best = F.array_max(F.filter(order, lambda x: (x["s"] == F.col("shard")) | (F.get(room, x["s"]) >= 1)))["s"].cast("int")
+        wish = F.coalesce(best, F.col("shard"))
+        flow = {(r["shard"], r["to"]): r["n"] for r in linked.groupBy("shard", wish.alias("to")).agg(F.count(F.lit(1)).alias("n")).collect()}  # shards * shards numbers
         wishes = {ft: n for ft, n in flow.items() if ft[0] != ft[1]}
-        share = F.array(*[F.array(*[F.lit(x) for x in row]) for row in _grants(wishes, load, quota)])
-        moves = F.coalesce(F.pmod("die", F.lit(1 << 30)) < F.get(F.get(share, F.col("shard")), F.col("to")) * (1 << 30), F.lit(False))
-        now = F.when(moves, F.col("to")).otherwise(F.col("shard"))
-        state = full.select("node", now.alias("shard"), F.coalesce(F.get("sum", now), F.col("tied")).alias("tied"))
+        share = F.array(*[F.array(*[F.lit(x) for x in row]) for row in _grants(wishes, [load[s] for s in range(shards)], quota)])
+        die = F.when(F.col("main.many") > LARGE * quota, F.xxhash64("seed", F.lit(turn))).otherwise(F.xxhash64("main.hub", F.lit(turn)))
+        moves = F.coalesce(F.pmod(die, F.lit(1 << 30)) < F.get(F.get(share, F.col("shard")), wish) * (1 << 30), F.lit(False)) & F.col("sum").isNotNull()
+        now = F.when(moves, wish).otherwise(F.col("shard"))
+        state = full.select("node", "seed", now.alias("shard"), F.coalesce(F.get("sum", now), F.col("tied")).alias("tied"))
         if not wishes:
             break
-    return nodes.join(common.checkpointed(state), "node")
+    return nodes.join(common.checkpointed(state.select("node", "shard", "tied")), "node")
+
+
+def cut(placed: DataFrame, members: DataFrame) -> DataFrame:
+    """links, cut_links: pairs of members of one hub, and those of them in different shards; counted by hub and shard, never listed.
+
+    placed: node, shard.  members: node, hub.
+    """
+    n = members.join(placed.select("node", "shard"), "node").groupBy("hub", "shard").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"))
+    by = n.groupBy("hub").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    links, cut_links = F.sum(F.col("all") * (F.col("all") - 1)) / 2, F.sum(F.col("all") * F.col("all") - F.col("same")) / 2
+    return by.agg(F.coalesce(links, F.lit(0)).cast("long").alias("links"), F.coalesce(cut_links, F.lit(0)).cast("long").alias("cut_links"))
 
 
 def even(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """`placed` (node, shard, tied, keep_with) with final shard and slot; counts at most one apart."""
+    """`placed` (node, seed, shard, tied, keep_with) with final shard and slot; counts at most one apart."""
     load = dict.fromkeys(range(shards), 0) | {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}
     rows = sum(load.values())
     quota = [rows // shards + (s < rows % shards) for s in range(shards)]
     quotas = F.array(*[F.lit(q) for q in quota])
     loose = F.when(F.col("tied") > 1, F.lit(0)).otherwise(F.lit(1)).alias("loose")
-    seated = common.ranked(placed.select("*", loose), ["shard"], ["loose"], ["node"], ["keep_with"], rows, "slot")
+    seated = common.ranked(placed.select("*", loose), ["shard"], ["loose"], ["seed", "node"], ["keep_with"], rows, "slot")
     seated = common.materialize(seated, "seated")
     stay = seated.where(F.col("slot") < F.get(quotas, F.col("shard")))
     over = seated.where(F.col("slot") >= F.get(quotas, F.col("shard"))).drop("slot", "shard")
     excess = sum(max(0, load[s] - quota[s]) for s in range(shards))
-    moved = common.ranked(over, [], [], ["node"], ["node"], excess, "turn")
+    moved = common.ranked(over, [], [], ["seed", "node"], ["seed"], excess, "turn")
     shard, slot, start = F.lit(None).cast("int"), F.lit(None).cast("long"), 0
     for s in range(shards):
         short = max(0, quota[s] - load[s])
@@ -135,9 +130,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     nodes = docs.select(
         F.monotonically_increasing_id().alias("node"), "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
         F.when(text.isNotNull(), F.xxhash64(F.md5(text), F.xxhash64(text))).alias("hub"),
-    )
-    nodes = common.materialize(nodes, "nodes")
+    ).withColumn("seed", F.xxhash64("doc_id", "hub", "size"))
+    nodes = common.materialize(nodes, "nodes")  # node numbers join rows and decide nothing, once they are written
     placed = propagate(nodes, nodes.where("hub is not null").select("node", "hub"), shards, rounds)
-    keep = F.when((F.col("tied") > 1) & (F.col("tied") < common.RANK_BUCKET_ROWS), F.col("hub")).otherwise(F.xxhash64("node"))
+    # rows of a hub are ranked side by side, in as many buckets as they fill
+    keep = F.when(F.col("tied") > 1, F.xxhash64("hub", F.pmod("seed", F.ceil(F.col("tied") / common.RANK_BUCKET_ROWS).cast("long")))).otherwise(F.col("seed"))
     out = even(placed.withColumn("keep_with", keep), shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
