@@ -11,8 +11,12 @@ regression is solved; both collapse into one matrix from landmarks to
 languages, and the landmarks' n-grams with it into one from n-grams to
 languages, so a batch of windows is scored by one matrix product.
 
-Training reads a bounded number of rows of each language (`TRAIN_ROWS`), at
-most `TRAIN_WINDOWS` evenly spaced windows of each, as packed bits.
+Training reads a bounded number of rows (`TRAIN_ROWS` of each language; of more
+than `LANGUAGES` languages the most frequent ones), whole, with all their
+windows.  A window's features depend on the landmarks alone, so tasks turn the
+rows' windows into features and add them up to the normal equations of the
+ridge regression: the driver gets landmarks and sums, never rows.
+
 
 Edge cases.  Null, empty and letterless texts, and all texts if nothing can be
 learned, are `und` with score 0.  A null lang or doc_id is not learned from.
@@ -22,6 +26,7 @@ Ties go to the alphabetically first language.  Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +41,11 @@ TRAIN_ROWS = 300
 LANDMARKS = 40
 RIDGE = 1e-2
 WINDOW = 512
-TRAIN_WINDOWS = 6
+#: Languages that are learned at most.
+LANGUAGES = 200
 UNKNOWN = "und"
+#: Parts that the sample is learned in.
+TASKS = 16
 
 _letter = re.compile(r"[^\W\d_]").search
 _other = re.compile(r"[\W\d_]+")
@@ -64,11 +72,28 @@ def presence(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return bits, length
 
 
+class Landmarks:
+    """Presence rows of chosen windows, and the map from kernel values with them to features."""
+
+    def __init__(self, bits: np.ndarray):
+        #: n-gram by landmark, each landmark scaled to length 1
+        self.marks = (bits / np.sqrt(np.maximum(bits.sum(axis=1, dtype=np.float64), 1))[:, None]).T
+        values, vectors = np.linalg.eigh(self.marks.T @ self.marks)
+        good = values > 1e-8 * values.max()
+        self.root = vectors[:, good] / np.sqrt(values[good])
+        self.grams = np.ascontiguousarray(self.marks @ self.root, np.float32)
+
+    def features(self, bits: np.ndarray) -> np.ndarray:
+        """Features of windows: inner products of features are the kernel's values, as far as the landmarks tell."""
+        part = bits.astype(np.float32)
+        return ((part @ self.grams) / np.sqrt(np.maximum(part.sum(axis=1, keepdims=True), 1))).astype(np.float64)
+
+
 class Model:
-    def __init__(self, languages: list[str], landmarks: np.ndarray, weights: np.ndarray):
+    def __init__(self, languages: list[str], grams: np.ndarray):
         self.languages = languages
-        #: n-gram by language: the landmarks' n-grams (each landmark scaled to length 1) times landmark by language.
-        self.grams = np.ascontiguousarray(landmarks @ weights, np.float32)
+        #: n-gram by language
+        self.grams = np.ascontiguousarray(grams, np.float32)
 
     def margins(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Margin of each text for each language, and whether the text has a letter."""
@@ -87,53 +112,70 @@ class Model:
         return out, many > 0
 
 
-def fit(bits: np.ndarray, lang: np.ndarray) -> Model:
-    """Nyström landmarks and ridge regression from presence rows and their languages."""
-    languages = sorted(set(lang))
-    norm = np.sqrt(np.maximum(bits.sum(axis=1, dtype=np.float64), 1))
-    chosen = np.concatenate([np.flatnonzero(lang == name)[:LANDMARKS] for name in languages])
-    marks = bits[chosen] / norm[chosen, None]
-    # rows by blocks: the bits are never held as floats together
-    kernel = np.concatenate([bits[at : at + 256].astype(np.float64) @ marks.T for at in range(0, len(bits), 256)]) / norm[:, None]
-    values, vectors = np.linalg.eigh(marks @ marks.T)
-    good = values > 1e-8 * values.max()
-    root = vectors[:, good] / np.sqrt(values[good])
-    phi = kernel @ root
-    y = np.where(lang[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    each = 1 / np.array([(lang == name).sum() for name in languages])[np.searchsorted(languages, lang)]
-    gram = (phi * each[:, None]).T @ phi
-    solved = np.linalg.solve(gram + RIDGE * np.eye(gram.shape[0]) * len(languages) / len(gram), (phi * each[:, None]).T @ y)
-    return Model(languages, marks.T, root @ solved)
-
-
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def solve(landmarks: Landmarks, languages: list[str], many: np.ndarray, sums: np.ndarray, grams: np.ndarray) -> Model:
+    """One-versus-rest ridge regression from each language's number of windows, sum of features and sum of their outer products.
+
+    Every language weighs the same, however many windows it has.
+    """
+    mean, gram = sums / many[:, None], (grams / many[:, None, None]).sum(axis=0)
+    y = 2 * np.eye(len(languages)) - 1
+    solved = np.linalg.solve(gram + RIDGE * np.eye(len(gram)) * len(languages) / len(gram), mean.T @ y)
+    return Model(languages, landmarks.marks @ (landmarks.root @ solved))
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One window of each text, which one by the text itself, as packed bits."""
+    for batch in batches:
+        rows, lang = [], []
+        for text, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+            bits = presence(text)[0]
+            if len(bits):
+                rows.append(np.packbits(bits[zlib.crc32(text.encode("utf-8", "surrogatepass")) % len(bits)]).tobytes())
+                lang.append(name)
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(lang, pa.string())], ["bits", "lang"])
+
+
+def _sums(batches: Iterator[pa.RecordBatch], landmarks: Landmarks) -> Iterator[pa.RecordBatch]:
+    """Of each language the number of windows, and the sums of features and of their outer products."""
+    size = landmarks.root.shape[1]
+    found: dict[str, list] = {}
     for batch in batches:
-        rows = []
-        for t in batch.column("text").to_pylist():
-            bits = presence(t)[0]
-            rows.append([np.packbits(bits[i]).tobytes() for i in sorted({*np.linspace(0, len(bits) - 1, TRAIN_WINDOWS).astype(int).tolist()})] if len(bits) else [])
-        many = pa.array(np.repeat(np.arange(len(rows)), [len(r) for r in rows]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([pa.array([b for r in rows for b in r], pa.binary()), batch.column("lang").take(many)], ["bits", "lang"])
+        for text, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+            bits = presence(text)[0]
+            for at in range(0, len(bits), 256):
+                f = landmarks.features(bits[at : at + 256])
+                own = found.setdefault(name, [0, np.zeros(size), np.zeros((size, size))])
+                own[0] += len(f)
+                own[1] += f.sum(axis=0)
+                own[2] += f.T @ f
+    rows = [(name, n, s.tobytes(), g.tobytes()) for name, (n, s, g) in found.items()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.binary(), pa.binary()))], ["lang", "n", "sums", "grams"])
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on at most `rows` rows of each language that are not held out; None without any."""
     ids = docs.where("lang is not null and doc_id is not null and text is not null").where(~common.held_out()).select("doc_id", "lang")
-    many = ids.groupBy("lang").count().select("lang", F.least(F.lit(1.0), 3.0 * rows / F.col("count")).alias("share"))
+    many = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang", F.least(F.lit(1.0), 3.0 * rows / F.col("count")).alias("share"))
     # about three times the rows wanted pass the hash, so the window below sorts a bounded number
     drawn = ids.join(F.broadcast(many), "lang").where(F.pmod(common.learning_order(), F.lit(1 << 40)) < F.col("share") * (1 << 40))
     order = Window.partitionBy("lang").orderBy(common.learning_order(), "doc_id")
-    picked = drawn.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select("doc_id").distinct()
-    found = docs.where("lang is not null").select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").select("text", "lang").mapInArrow(_bits, "bits binary, lang string").toPandas()
+    picked = drawn.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select("doc_id", "lang", "_r")
+    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"]).select("text", "lang", "_r")
+    texts = common.materialize(texts.repartition(TASKS, F.xxhash64("text")), "language-sample")
+    found = texts.where(F.col("_r") <= 2 * LANDMARKS).select("text", "lang").mapInArrow(_marks, "bits binary, lang string").toPandas()
     if not len(found):
         return None
-    found = found.sort_values(["lang", "bits"], ignore_index=True)
-    bits = np.unpackbits(np.frombuffer(b"".join(found["bits"]), np.uint8).reshape(len(found), -1), axis=1)
-    lang = found["lang"].to_numpy(str)
-    del found
-    # landmarks are the first rows of a language: shuffle by a fixed seed
-    mix = np.random.default_rng(11).permutation(len(bits))
-    return fit(bits[mix], lang[mix])
+    chosen = found.sort_values(["lang", "bits"], ignore_index=True).groupby("lang").sample(frac=1, random_state=11).groupby("lang").head(LANDMARKS)["bits"]
+    landmarks = Landmarks(np.unpackbits(np.frombuffer(b"".join(chosen), np.uint8).reshape(len(chosen), -1), axis=1))
+    parts = texts.select("text", "lang").mapInArrow(lambda it: _sums(it, landmarks), "lang string, n long, sums binary, grams binary").toLocalIterator()
+    size, total = landmarks.root.shape[1], {}
+    for r in sorted(parts, key=lambda r: (r["lang"], r["n"], bytes(r["sums"]))):  # TASKS rows of each language at most, in a fixed order
+        own = total.setdefault(r["lang"], [0, np.zeros(size), np.zeros((size, size))])
+        own[0] += r["n"]
+        own[1] += np.frombuffer(r["sums"])
+        own[2] += np.frombuffer(r["grams"]).reshape(size, size)
+    languages = sorted(total)
+    return solve(landmarks, languages, *(np.array([total[x][k] for x in languages]) for k in range(3)))
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
