@@ -9,11 +9,12 @@ surviving pairs, never the pairs themselves, so a list of n members gives
 fewer than n rows.  The forests' components ("clusters") hold every pair that
 survived anywhere; inside a cluster full shingle sets are compared exactly.
 
-Skip merging: a posting list longer than `LIST_ROWS` is not counted; its
-members are posted again under (first pair, second pair) for every other
-coordinate.  At a similarity of 0.8 two sets share fewer than two coordinates
-with probability below 1e-6, so nothing that the threshold keeps is lost.
-Lists that stay long are compared block by block.
+Skip merging: a posting list longer than `LIST_ROWS` is not counted as it is;
+its members are posted again under the list and each of the 36 neighbouring
+pairs of their min-hash values.  Two sets at a similarity of 0.8 that share the
+list share none of those pairs with probability (1 - 0.64)^36 = 1e-16, so long
+lists lose nothing that short ones keep.  Lists that stay long are compared
+block by block.
 
 Edge cases.  Null, empty or blank text: no shingles, linked with nothing,
 n_shingles 0, kept.  Rows with equal doc_id are one document: each of their
@@ -37,7 +38,7 @@ from . import common
 ROWS, COORDINATES = 3, 24
 #: Of ROWS * COORDINATES = 72 values; six standard deviations below the mean at similarity 0.8.
 MATCHES = 37
-#: Two sets must share two coordinates, so the last one need not be posted.
+#: Coordinates that are posted: at a similarity of 0.8 two sets share none of them with probability (1 - 0.512)^23 = 7e-8.
 PREFIX = COORDINATES - 1
 LIST_ROWS = 3000
 #: Shingles of one block in the exact comparison, 8 bytes each.
@@ -130,16 +131,13 @@ def _forest_of_list(table: pa.Table) -> pa.Table:
     order = np.argsort(rep, kind="stable")
     rep = rep[order]
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)[order]
-    forest, edges, open_ = _Forest(len(rep)), [], np.arange(1, len(rep))
+    forest, edges = _Forest(len(rep)), []
     for i in range(len(rep) - 1):
-        # members already joined with i through an earlier row need no second count
-        rest = open_[open_ > i]
-        if not len(rest) or forest.parts == 1:
+        if forest.parts == 1:
             break
-        hit = rest[(sig[rest] == sig[i]).sum(axis=1) >= MATCHES]
-        for j in hit.tolist():
-            if forest.join(i, j):
-                edges.append((rep[i], rep[j]))
+        for j in np.flatnonzero((sig[i + 1 :] == sig[i]).sum(axis=1) >= MATCHES).tolist():
+            if forest.join(i, i + 1 + j):
+                edges.append((rep[i], rep[i + 1 + j]))
     a, b = zip(*edges, strict=True) if edges else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -195,10 +193,8 @@ def candidate_forest(reps: DataFrame) -> DataFrame:
     lists = _lists(pairs)
     members = common.materialize(pairs.join(lists, "key"), "postings")
     sig = reps.select("rep", "sig")
-    full = reps.select("rep", F.col("coords").alias("_more"))
-    again = (
-        members.where(F.col("m") > LIST_ROWS).select("key", "rep").join(full, "rep").select("rep", F.col("key").alias("_k"), F.explode("_more").alias("_j")).where("_j <> _k").select("rep", F.xxhash64("_k", "_j").alias("key"))
-    )
+    twos = F.transform(F.sequence(F.lit(0), F.lit(ROWS * COORDINATES // 2 - 1)), lambda j: F.xxhash64("key", j, F.substring("sig", 2 * j + 1, F.lit(2))))
+    again = members.where(F.col("m") > LIST_ROWS).select("key", "rep").join(sig, "rep").select("rep", F.explode(twos).alias("key"))
     deep = again.join(_lists(again), "key")
     short = members.where(F.col("m") <= LIST_ROWS).unionByName(deep.where(F.col("m") <= LIST_ROWS))
     long = deep.where(F.col("m") > LIST_ROWS).withColumn("_nb", F.ceil(F.col("m") / (LIST_ROWS // 2)).cast("int")).withColumn("_b", F.pmod(F.hash("rep"), F.col("_nb")))
