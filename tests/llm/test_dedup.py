@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from leafmill.llm import common, embedding_dedup, near_dedup, spotsigs
 
@@ -229,6 +231,35 @@ def test_fingerprints_follow_brute_force(spark):
     assert got[203].fingerprint == got[204].fingerprint != got[202].fingerprint
 
 
+def test_signatures_follow_their_description():
+    """A second version: for each anchor look ahead word by word."""
+    rng = random.Random(6)
+    vocab = "the of and la und river Stone cloud1 tree's house_2 été straße 7".split() + [f"w{i}" for i in range(40)]
+    for _ in range(300):
+        text = "".join(rng.choice(vocab) + rng.choice((" ", ", ", "\n", "-")) for _ in range(rng.randint(0, 40)))
+        words = [w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split()]
+        plain = lambda w: w not in spotsigs.COMMON
+        want = set()
+        for i, w in enumerate(words):
+            if not plain(w) or zlib.crc32(w.encode()) % spotsigs.RARE == 0:
+                chain = [x for x in words[i + 1 :] if plain(x)][: spotsigs.CHAIN]
+                if len(chain) == spotsigs.CHAIN:
+                    want.add(f"{w} {' '.join(chain)}")
+        if words:
+            want.add("^ " + " ".join(([w for w in words if plain(w)] or words)[: spotsigs.CHAIN]))
+        assert spotsigs.signatures(text).tolist() == sorted({xxhash.xxh32_intdigest(x.encode()) for x in want})
+
+
+def test_pruning_changes_no_likeness_above_the_floor():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        pool = np.sort(rng.choice(100_000, rng.integers(2, 3000), replace=False).astype(np.uint32))
+        a, b = (np.sort(rng.choice(pool, rng.integers(1, len(pool) + 1), replace=False)) for _ in range(2))
+        value = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        for floor in (0.0, 0.02, 0.3, 0.5, 0.9):
+            assert spotsigs.likeness(a, b, floor) == pytest.approx(value if value >= floor else 0.0)
+
+
 def test_fingerprints_of_ties_and_nulls(spark):
     rows = [(None, "the a b c"), (5, None), (5, "x"), (5, "the x y z"), (7, "")]
     got = spotsigs.fingerprints(docs(spark, rows)).collect()

@@ -43,7 +43,7 @@ def test_stages_take_effect(spark, folder, tmp_path):
     run = corpus_pipeline.run(spark, folder)
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, run.select(cols).collect())) == sorted(map(tuple, seen[5].select(cols).collect()))
-    assert sum(r.length for r in run.collect()) > 0
+    assert all(r.length == len(r.ids) > 0 for r in run.collect())
 
 
 def test_one_row_of_a_repeated_id(spark, folder):
@@ -54,6 +54,19 @@ def test_one_row_of_a_repeated_id(spark, folder):
     assert sorted([(r.doc_id or 0, r.text) for r in got]) == [(0, "x y"), (0, "x y"), (1, " ".join(long)), (3, "some words")]
 
 
+def test_texts_in_another_language_than_filed_go(spark, folder):
+    rng = random.Random(3)
+    text = lambda lang: " ".join(rng.choices(SAMPLES[lang].split(), k=80))
+    rows = [(i, text(lang), lang) for i in range(240) for lang in (("en", "de", "fr")[i % 3],)]
+    odd = [(1000, text("de"), "en"), (1001, text("fr"), None), (1002, text("en"), "xx"), (1003, text("en") + " " + text("de")[:90], "en"), (None, text("fr"), "de"), (None, text("fr"), "fr"), (1000, text("en"), "en")]
+    docs = spark.createDataFrame([(*r, "s", 1, "x", 0.5) for r in rows + odd], "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, score double")
+    kept = corpus_pipeline.drop_unreadable(spark, docs, folder).collect()
+    assert {r.doc_id for r in kept if r.doc_id is not None and r.doc_id < 240} == set(range(240))
+    assert sorted((r.doc_id or 0, r.lang or "") for r in kept if r.doc_id is None or r.doc_id >= 240) == [(0, "fr"), (1000, "en"), (1001, ""), (1002, "xx"), (1003, "en")]
+    none = corpus_pipeline.drop_unreadable(spark, docs.withColumn("lang", F.lit(None).cast("string")).unionByName(docs.limit(1).withColumn("text", F.lit("12 !"))).where("lang is null or text = '12 !'").withColumn("lang", F.lit(None).cast("string")), folder)
+    assert none.count() == len(rows) + len(odd)
+
+
 def test_empty_input(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):

@@ -330,6 +330,30 @@ def test_language_on_held_out_rows(spark):
     assert language.predict(d.where("false"), model).count() == 0
 
 
+def test_kernel_machine_follows_brute_force(spark):
+    """Margins against the kernel summed n-gram by n-gram and ridge regression on explicit Nystroem features of every window."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(SAMPLES[lang].split(), k=rng.randint(20, 400))), lang) for i in range(60) for lang in (rng.choice(list(SAMPLES)),)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    grams = lambda row: frozenset(np.flatnonzero(row).tolist())
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    use = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 5]
+    windows = [(grams(w), lang) for t, lang in use for w in language.presence(t)[0]]
+    marks = [grams(language.presence(t)[0][zlib.crc32(t.encode()) % len(language.presence(t)[0])]) for t, _ in use]  # fewer than LANDMARKS of each
+    values, vectors = np.linalg.eigh([[kernel(a, b) for b in marks] for a in marks])
+    root = vectors[:, values > 1e-8 * values.max()] / np.sqrt(values[values > 1e-8 * values.max()])
+    phi = np.array([[kernel(w, m) for m in marks] for w, _ in windows]) @ root
+    names = sorted(SAMPLES)
+    share = np.array([1 / sum(x == lang for _, x in windows) for _, lang in windows])
+    y = np.array([[1.0 if lang == x else -1.0 for x in names] for _, lang in windows])
+    gram = (phi * share[:, None]).T @ phi
+    solved = np.linalg.solve(gram + language.RIDGE * np.eye(len(gram)) * len(names) / len(gram), (phi * share[:, None]).T @ y)
+    for text in (SAMPLES["de"], SAMPLES["fr"] + " 12", "quite other words"):
+        bits, length = language.presence(text)
+        want = sum(n * (np.array([kernel(grams(b), m) for m in marks]) @ root @ solved) for b, n in zip(bits, length, strict=True)) / length.sum()
+        assert model.margins([text])[0][0] == pytest.approx(want, abs=1e-3)
+
+
 # --- shards and URLs -----------------------------------------------------------------
 
 
@@ -357,6 +381,33 @@ def test_a_group_larger_than_a_shard_is_spread_evenly(spark):
     assert collections.Counter(collections.Counter(r.shard for r in got).values()) == {25: 8}
 
 
+def test_hubs_go_through_the_propagation(spark):
+    """Groups of 2 to 300 over files laid out in two ways: the same shards, and a cut that pairs counted one by one confirm."""
+    rng = random.Random(5)
+    sizes = [300, 40, 30] + [rng.randint(2, 12) for _ in range(60)]
+    rows = [f"g{g}" for g, n in enumerate(sizes) for _ in range(n)]
+    rows += [f"single {k}" for k in range(900)]
+    rows = list(enumerate(rows))
+    got = sharding.shard_documents(docs(spark, rows)).collect()
+    rng.shuffle(rows)
+    again = sharding.shard_documents(docs(spark, rows).repartition(7)).collect()
+    assert {(r.doc_id, r.shard) for r in got} == {(r.doc_id, r.shard) for r in again}
+    counts = collections.Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    text, shard = dict(rows), {r.doc_id: r.shard for r in got}
+    by = collections.defaultdict(list)
+    for i, t in text.items():
+        by[t].append(i)
+    links = sum(len(v) * (len(v) - 1) // 2 for v in by.values())
+    apart = sum(shard[a] != shard[b] for v in by.values() for k, a in enumerate(v) for b in v[k + 1 :])
+    placed = spark.createDataFrame(list(shard.items()), "node long, shard int")
+    members = spark.createDataFrame([(i, zlib.crc32(t.encode())) for i, t in rows], "node long, hub long")
+    assert tuple(sharding.cut(placed, members).first()) == (links, apart)
+    # the group of 300 needs two shards of about 213 rows; hashing would cut seven links of eight
+    assert apart - 2 * 150 * 150 < 0.02 * links < 7 / 8 * links and apart < 0.55 * links
+    assert sharding.cut(placed, members.where("false")).first().links == 0
+
+
 URLS = [
     ("https://a.org/x", "a.org", "/x", "org/"), ("http://www.example.ORG/es/1?x", "www.example.org", "/es/1", "example.org/es/"), ("http://example.org/en/12#t", "example.org", "/en/12", "example.org/en/1"), ("http://example.org/en/2", "example.org", "/en/2", "org/"),
     ("https://x.com/fr/", "x.com", "/fr/", "com/fr/"), ("https://x.com/DE/1", "x.com", "/DE/1", None), ("https://com/de/1", "com", "/de/1", "com/de/"), ("https://notorg/x", "notorg", "/x", None), ("https://a.org", "a.org", "", None), ("mailto:x", "", "", None), (None, "", "", None), ("", "", "", None),
