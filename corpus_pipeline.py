@@ -6,11 +6,22 @@ writes each stage's rows as Parquet to the shared checkpoint folder and reads
 them back, so a lost executor never costs more than one stage.
 
 Rows that go: texts that the toxicity model rejects (predicted 1), texts
-without a letter (language `und`), and all but one document of each group of
-near duplicates (five-word shingles, similarity 0.8 or more).  Personal data
-is replaced in place, and what is left is packed into sequences of 4096 tokens.
-Models learn only from documents whose id is not held out, out of the
-documents that reach their stage.
+without a letter (language `und`), texts that the language model confidently
+calls another language than the one they are filed under, and all but one
+document of each group of near duplicates (five-word shingles, similarity 0.8
+or more).  Personal data is replaced in place, and what is left is packed into
+sequences of 4096 tokens, with the tokens.  Models learn only from documents
+whose id is not held out, out of the documents that reach their stage.
+
+Edge cases.  Null and empty texts, which have no letter, go at the language
+stage; a text filed under no language stays if it has a letter.  Rows without an
+id are judged by their text, are never taken for near duplicates, and stay.
+Rows of one id are judged each until the near-duplicate stage, which keeps one
+of them, the longest; ties go to the first text, then language and source.  An
+empty table passes every stage, and so does one without labels (nothing is
+toxic) or without known languages (only letterless texts go).  Columns beside
+those of `documents` are dropped by the first stage, so their names cannot
+clash with what a stage adds.
 """
 
 from __future__ import annotations
@@ -20,6 +31,8 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import common, language, near_dedup, packing, pii, toxicity
 
+#: Score from which a predicted language counts against the one that a document is filed under.
+CONFIDENT = 0.9
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -31,10 +44,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unreadable(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the kernel classifier can name; letterless texts go."""
+    """Documents in the language that they are filed under, as far as the kernel classifier can tell; letterless texts go."""
     docs = docs.select(*COLUMNS)
     model = language.train(docs)
-    return language.predict(docs, model).where(F.col("lang_pred") != language.UNKNOWN if model else F.lit(True)).select(*COLUMNS)
+    if model is None:  # no language is known: only letters can be asked for
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    # a language that was never learned cannot be predicted, so it proves nothing
+    foreign = (F.col("lang_pred") != F.col("lang")) & (F.col("score") >= CONFIDENT) & F.col("lang").isin(model.languages)
+    return language.predict(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & ~F.coalesce(foreign, F.lit(False))).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +72,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents with their places in sequences of 4096 tokens."""
-    return packing.pack_documents(docs, keep_ids=False)
+    """Token pieces of the documents, with their tokens, and their places in sequences of 4096 tokens."""
+    return packing.pack_documents(docs)
 
 
 STAGES = [
