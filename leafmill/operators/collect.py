@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .state import orphans
+
 # Payload limits and the statuses of the decision ladder.
 MIN_BYTES, SNIFF_BYTES, HTML_BYTES = 10_000, 1024, 512
 COLLECTIBLE = ("approved", "conditional")
@@ -51,12 +56,15 @@ def resolve_direct(sources: DataFrame) -> DataFrame:
 def best_derivative(files: DataFrame, key: str = "item_id") -> DataFrame:
     """One PDF of each item: the first listed with format Text PDF, else the largest, the first of equals.
 
-    files: key, pos, name, format, size (text).  Items without a PDF give no row.
+    files: key, pos, name, format, size (text).  An item without a PDF has the
+    reason in `error`, which is null otherwise, and no file.
     """
-    pdf = files.where(F.lower("name").endswith(".pdf"))
+    pdf = F.lower("name").endswith(".pdf")
     size = F.coalesce(F.when(F.col("format") == "Text PDF", F.lit(None)).otherwise(F.col("size").try_cast("long")), F.lit(0))
     rank = F.struct((F.col("format").eqNullSafe("Text PDF")).cast("int"), size, -F.col("pos"))
-    return pdf.groupBy(key).agg(F.max_by(F.struct("name", "format", "size"), rank).alias("f")).select(key, "f.*", safe_filename(F.col("f.name")).alias("filename"))
+    error = F.when(F.col("f").isNull(), F.concat(F.lit("no PDF derivative found for archive item "), F.col(key).cast("string")))
+    best = files.groupBy(key).agg(F.max_by(F.when(pdf, F.struct("name", "format", "size")), F.when(pdf, rank)).alias("f"))
+    return best.select(key, "f.*", safe_filename(F.col("f.name")).alias("filename"), error.alias("error"))
 
 
 def absolute(base: Column, href: Column) -> Column:
@@ -82,17 +90,40 @@ def extract_links(pages: DataFrame, suffix: str = r"\.pdf", name_part: str = "pr
 def robots_gate(urls: DataFrame, robots: DataFrame) -> DataFrame:
     """`urls` (url) with allowed and note, from what is known of each host.
 
-    robots: host, http_status (null: unreachable), disallow array<string>.
-    A 404 opens the host; any other failure closes it; else no disallowed path
-    may start the address's path.  Unknown hosts are closed.
+    robots: host, http_status (null: unreachable), rules array<struct<allow
+    boolean, path string>> in the order of the file, as `robots_rules` gives them.
+    A 404 opens the host; any other failure closes it; else the first rule whose
+    path starts the address's path decides, and without one it is open.  Unknown
+    hosts are closed.
     """
     at = urls.withColumns({"host": F.coalesce(F.parse_url("url", F.lit("AUTHORITY")), F.lit("")), "_path": F.coalesce(F.parse_url("url", F.lit("FILE")), F.lit("/"))})
     joined = at.join(robots, "host", "left")
-    banned = F.exists(F.coalesce("disallow", F.array().cast("array<string>")), lambda p: (p != "") & F.col("_path").startswith(p))
+    rule = F.get(F.filter("rules", lambda r: (r["path"] == "*") | F.col("_path").startswith(r["path"])), F.lit(0))
+    banned = ~F.coalesce(rule["allow"], F.lit(True))
     status = F.col("http_status")
     allowed = F.when(status == 404, True).when(status == 200, ~banned).otherwise(False)
     note = F.when(status == 404, "no robots.txt (404): allowed").when(status == 200, "robots.txt fetched and parsed").when(status.isNotNull(), F.concat(F.lit("robots.txt HTTP "), status.cast("string"), F.lit(": treating host as closed to automation"))).otherwise("robots.txt unreachable: treating host as closed to automation")
-    return joined.withColumns({"allowed": allowed, "note": note}).drop("_path", "disallow", "http_status")
+    return joined.withColumns({"allowed": allowed, "note": note}).drop("_path", "rules", "http_status")
+
+
+def robots_rules(files: DataFrame, agent: str) -> DataFrame:
+    """`files` (host, http_status, body) with rules in place of body: what robots.txt says to an agent.
+
+    The group of the first named agent that is part of ours holds, else the group of `*`.
+    """
+    from urllib.robotparser import RobotFileParser
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for body in batch["body"]:
+                parser = RobotFileParser()
+                parser.parse((body or "").splitlines())
+                own = next((e for e in parser.entries if e.applies_to(agent)), parser.default_entry)
+                out.append([{"allow": bool(r.allowance), "path": r.path} for r in own.rulelines] if own else [])
+            yield pd.DataFrame({"host": batch["host"], "http_status": batch["http_status"], "rules": pd.Series(out, dtype=object)})
+
+    return files.select("host", F.col("http_status").cast("int"), "body").mapInPandas(read, "host string, http_status int, rules array<struct<allow: boolean, path: string>>")
 
 
 def eligible(sources: DataFrame) -> DataFrame:
@@ -130,6 +161,29 @@ def manual_intake(files: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+ADOPTED = "adopted by reconciliation: file was placed directly in the source folder (bypassing _inbox); validated and hashed on "
+
+
+def reconcile(files: DataFrame, ledger: DataFrame, sources: DataFrame, now: str) -> DataFrame:
+    """Ledger rows of PDF files in a source's own folder that the ledger does not name, with `ok` false where validation fails.
+
+    files: source_id, name, local_path, content.  Sources of any status are known.
+    """
+    known = sources.select(F.col("id").alias("source_id"), "landing_url", F.coalesce("usage_tag", F.lit(DEFAULT_TAG)).alias("usage_tag"))
+    new = orphans(files.where(F.col("name").endswith(".pdf")), ledger).join(known, "source_id").withColumn("_v", validate_payload(F.col("content")))
+    return new.select(
+        "source_id", F.concat(F.lit("manual-download:"), F.coalesce("landing_url", F.lit("n/a")), F.lit("#"), F.col("name")).alias("url"), F.col("name").alias("filename"), "local_path",
+        F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("size_bytes"), F.lit("application/pdf (reconciled)").alias("content_type"), F.col("_v.detected").alias("detected_type"),
+        "usage_tag", F.lit("manual_intake").alias("status"), F.when(F.col("_v.ok"), F.concat(F.lit(ADOPTED), F.lit(now))).otherwise(F.col("_v.detail")).alias("detail"), F.col("_v.ok").alias("ok"),
+    )
+
+
+def retry_after(attempt: Column, http_status: Column) -> Column:
+    """Seconds to wait before the request is tried again after its attempt (from 1) failed; null: give up."""
+    waits = F.array(*[F.lit(w) for w in RETRY["waits"]])
+    return F.when(F.coalesce(http_status.isin(*RETRY["final"]), F.lit(False)) | (attempt >= RETRY["attempts"]), F.lit(None)).otherwise(F.get(waits, attempt - 1))
+
+
 def registry_flat(sources: DataFrame) -> DataFrame:
     """One line for each source: defaults filled, evidence addresses joined."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import align, answers, browse, classify, collect, ocr, release, segment, state
+from ..sources import derived, readers, writers
 from .fixtures import Fixtures, ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,29 @@ def classify_pages(fx):
     return classified(fx).select("source_id", "doc", "page_num", "classification", "route")
 
 
+USABLE = """case when text_chars >= 200 and alnum_ratio >= 0.55 then concat('text layer usable (', text_chars, ' chars, alnum ', ratio, ')') when text_chars < 200 then concat('text layer too thin (', text_chars, ' chars < 200) -> image/OCR path')
+    else concat('text layer looks garbled (alnum ', ratio, ' < 0.55) -> image/OCR path') end"""
+REASONED = CLASSIFIED + rf""", printed as (select *, printf('%.2f', round(cast(alnum_ratio as decimal(10, 4)), 2)) as ratio, printf('%.4f', ink_ratio) as ink4, printf('%.3f', ink_ratio) as ink3 from classified),
+    said as (select *, {USABLE} as how, substring(head_text, 1, 120) as top from printed)"""
+
+
+@query(REASONED + rf""" select {PAGE}, case
+    when text_chars <= 20 and ink_ratio <= 0.004 then concat('no text (', text_chars, ' chars) and no ink (', ink4, ' <= 0.004)')
+    when regexp_matches(head_text, '(?i)answer\s+key') then concat('header matches answer pattern /answer\s+key/; ', how)
+    when regexp_matches(head_text, '(?i)answer\s+explanations?') then concat('header matches answer pattern /answer\s+explanations?/; ', how)
+    when regexp_matches(head_text, '(?i)scoring\s+your') then concat('header matches answer pattern /scoring\s+your/; ', how)
+    when regexp_matches(top, '(?im)^\s*answers\s*$') then concat('standalone ANSWERS heading at page top; ', how)
+    when regexp_matches(head_text, '(?im)table\s+of\s+contents') and word_count <= 450 then concat('header matches index pattern /table\s+of\s+contents/ with ', word_count, ' words')
+    when regexp_matches(head_text, '(?im)^\s*contents\s*$') and word_count <= 450 then concat('header matches index pattern /^\s*contents\s*$/ with ', word_count, ' words')
+    when regexp_matches(head_text, '(?im)^\s*index\s*$') and word_count <= 450 then concat('header matches index pattern /^\s*index\s*$/ with ', word_count, ' words')
+    when page_num <= 2 and text_chars < 350 then concat('page ', page_num, ' of ', doc_page_count, ' with sparse text (', text_chars, ' chars < 350)')
+    when text_chars >= 150 then concat('substantial text (', text_chars, ' chars); ', how)
+    when ink_ratio >= 0.010 then concat('little text (', text_chars, ' chars) but real ink (', ink3, ') suggests scanned/graphic content; ', how)
+    else concat('near-blank divider: ', text_chars, ' chars, ink ', ink4) end as reason from said""")
+def classification_reasons(fx):
+    return classified(fx).select("source_id", "doc", "page_num", "reason")
+
+
 @query(MEASURED + f" select {PAGE}, {ROUTED} as route from measured")
 def route_pages(fx):
     routed = F.when((F.col("text_chars") >= classify.ROUTE_CHARS) & (F.col("alnum_ratio") >= classify.ROUTE_ALNUM), "text").otherwise("image")
@@ -235,11 +259,9 @@ def skip_reasons(fx):
 
 @query(ctes("exam_pages") + f" select {PAGE}, case when doc_id % 4 = 0 then '' else page_text end as page_text from exam_pages")
 def page_text_lookup(fx):
-    from ..sources.readers import with_text
-
     pages = fx["exam_pages"].withColumn("path", F.concat_ws("/", "source_id", "doc", F.col("page_num").cast("string")))
     files = pages.where("doc_id % 4 <> 0").select("path", F.col("page_text").alias("text"))
-    return with_text(pages.drop("page_text"), files).select("source_id", "doc", "page_num", "page_text")
+    return readers.with_text(pages.drop("page_text"), files).select("source_id", "doc", "page_num", "page_text")
 
 
 _NOISE, _ARABIC, _ROMAN = r"^\s*[.\-_~=·]{4,}\s*$", r"^\s{0,8}(\d{1,3})[.),]\s+(\S.*)$", r"^\s{0,8}([IVX]{1,5})[.)]\s+(\S.*)$"
@@ -489,14 +511,19 @@ checked as (select *, list_filter([case when n > 0 and n < 2 then concat('multip
 gated as (select *, case when len(errors) = 0 then 'include' when usage_tag = 'SOMETHING_ELSE' then 'fatal' else 'quarantine' end as decision, case when usage_tag like 'RESTRICTED%' then 'restricted' else 'public' end as part from checked)"""
 
 
+def stored_items(fx: Fixtures) -> DataFrame:
+    """The bank of items; a release is built from what segmentation stored."""
+    return derived.stored(fx.spark, fx.sf_dir, "question_items", lambda: items(fx))
+
+
 def answer_rows(fx: Fixtures) -> DataFrame:
     key = F.length("stem") + F.col("item_seq")
     picked = F.when(key % 5 == 0, "A").when(key % 5 == 1, "B").when(key % 5 == 2, "E").when(key % 5 == 4, "C")
-    return items(fx).where(key % 3 != 0).select("item_id", picked.alias("correct_choice"), F.lit(None).cast("string").alias("answer_text"), F.lit("").alias("rationale"), F.lit("RW1").alias("answer_block"), F.lit("a").alias("answers_doc"), F.array().cast("array<string>").alias("answer_flags"), (key % 4 != 1).alias("consistent"))
+    return stored_items(fx).where(key % 3 != 0).select("item_id", picked.alias("correct_choice"), F.lit(None).cast("string").alias("answer_text"), F.lit("").alias("rationale"), F.lit("RW1").alias("answer_block"), F.lit("a").alias("answers_doc"), F.array().cast("array<string>").alias("answer_flags"), (key % 4 != 1).alias("consistent"))
 
 
 def merged(fx: Fixtures) -> DataFrame:
-    return release.merge_records(items(fx), answer_rows(fx))
+    return release.merge_records(stored_items(fx), answer_rows(fx))
 
 
 def gated(fx: Fixtures) -> DataFrame:
@@ -510,12 +537,12 @@ def merged_records(fx):
 
 @query(RECORDS + " select item_id, case when answered then picked end as qa_choice, case when answered then 'RW1' end as qa_block from records")
 def items_with_answers(fx):
-    return browse.with_answers(items(fx), answer_rows(fx)).select("item_id", "qa_choice", "qa_block")
+    return browse.with_answers(stored_items(fx), answer_rows(fx)).select("item_id", "qa_choice", "qa_block")
 
 
 @query(RECORDS + f" select item_id, {PAGE}, item_seq, case when answered then picked end as qa_choice from records where kind = 'multiple_choice' and status = 'ok' order by source_id, doc, page_num, item_seq limit 25 offset 25")
 def browse_items(fx):
-    rows = browse.browse_items(items(fx), answer_rows(fx), kind="multiple_choice", status="ok", number=2)
+    rows = browse.browse_items(stored_items(fx), answer_rows(fx), kind="multiple_choice", status="ok", number=2)
     return rows.select("item_id", "source_id", "doc", "page_num", long("item_seq").alias("item_seq"), "qa_choice")
 
 
@@ -627,15 +654,16 @@ def html_link_extract(fx):
     return collect.extract_links(fx["pages"].withColumn("html", html))
 
 
+ROBOTS_TXT = "User-agent: other\nDisallow: /\n\nUser-agent: collector\nAllow: /en/12\nDisallow: /en/1\nDisallow: /de/\nDisallow:\n\nUser-agent: *\nDisallow: /\n"
 ROBOTS = "select distinct host, case length(host) % 4 when 0 then 404 when 1 then 200 when 2 then 503 end as http_status from (select regexp_extract(url, '^[^:]+://([^/?#]*)', 1) as host from pages) q where length(host) % 11 <> 0"
 
 
-@query(f"with r as ({ROBOTS}), u as (select page_id, url, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) as host, regexp_extract(url, '^[^:]+://[^/?#]*(/[^#]*)', 1) as p from pages) select page_id, case when http_status = 404 then true when http_status = 200 then not (p like '/en/1%' or p like '/de/%') else false end as allowed, case when http_status = 404 then 'no robots.txt (404): allowed' when http_status = 200 then 'robots.txt fetched and parsed' when http_status is not null then concat('robots.txt HTTP ', http_status, ': treating host as closed to automation') else 'robots.txt unreachable: treating host as closed to automation' end as note from u left join r using (host)")
+@query(f"with r as ({ROBOTS}), u as (select page_id, url, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) as host, regexp_extract(url, '^[^:]+://[^/?#]*(/[^#]*)', 1) as p from pages) select page_id, case when http_status = 404 then true when http_status = 200 then p like '/en/12%' or not (p like '/en/1%' or p like '/de/%') else false end as allowed, case when http_status = 404 then 'no robots.txt (404): allowed' when http_status = 200 then 'robots.txt fetched and parsed' when http_status is not null then concat('robots.txt HTTP ', http_status, ': treating host as closed to automation') else 'robots.txt unreachable: treating host as closed to automation' end as note from u left join r using (host)")
 def robots_gate(fx):
     host = F.parse_url("url", F.lit("AUTHORITY"))
     n = F.length("host") % 4
-    robots = fx["pages"].select(host.alias("host")).distinct().where(F.length("host") % 11 != 0).withColumns({"http_status": F.when(n == 0, 404).when(n == 1, 200).when(n == 2, 503), "disallow": F.array(F.lit("/en/1"), F.lit("/de/"), F.lit(""))})
-    return collect.robots_gate(fx["pages"].select("page_id", "url"), robots).select("page_id", "allowed", "note")
+    robots = fx["pages"].select(host.alias("host")).distinct().where(F.length("host") % 11 != 0).withColumns({"http_status": F.when(n == 0, 404).when(n == 1, 200).when(n == 2, 503), "body": F.lit(ROBOTS_TXT)})
+    return collect.robots_gate(fx["pages"].select("page_id", "url"), collect.robots_rules(robots, "collector/1.0")).select("page_id", "allowed", "note")
 
 
 @query("select concat('s', p_partkey) as id, concat('https://x.example.org/f/', replace(p_name, ' ', '%20'), '.pdf') as url, concat(replace(p_name, ' ', '_'), '.pdf') as filename from part union all select concat('s', p_partkey), concat('https://x.example.org/g/', p_size, '.pdf'), concat(p_size, '.pdf') from part")
@@ -648,14 +676,14 @@ def resolve_direct(fx):
 DERIVED = "select l_orderkey as item_id, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber as pos, concat('f', l_linenumber, case when l_partkey % 5 = 0 then '.TXT' else '.PDF' end) as name, case when l_suppkey % 6 = 0 then 'Text PDF' else 'Image' end as format, case when l_suppkey % 9 = 1 then 'n/a' else cast(l_partkey % 50 as varchar) end as size from lineitem"
 
 
-@query(f"with d as ({DERIVED}) select item_id, name, format, size, name as filename from d where lower(name) like '%.pdf' qualify row_number() over (partition by item_id order by (format = 'Text PDF') desc, case when format = 'Text PDF' then 0 else coalesce(try_cast(size as bigint), 0) end desc, pos) = 1")
+@query(f"with d as ({DERIVED}), best as (select item_id, name, format, size from d where lower(name) like '%.pdf' qualify row_number() over (partition by item_id order by (format = 'Text PDF') desc, case when format = 'Text PDF' then 0 else coalesce(try_cast(size as bigint), 0) end desc, pos) = 1) select i.item_id, name, format, size, name as filename, case when name is null then concat('no PDF derivative found for archive item ', i.item_id) end as error from (select distinct item_id from d) i left join best using (item_id)")
 def resolve_best_derivative(fx):
     li = fx["lineitem"]
     files = li.select(
         F.col("l_orderkey").alias("item_id"), (F.col("l_partkey") * 1000000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("pos"), F.concat(F.lit("f"), F.col("l_linenumber"), F.when(F.col("l_partkey") % 5 == 0, ".TXT").otherwise(".PDF")).alias("name"),
         F.when(F.col("l_suppkey") % 6 == 0, "Text PDF").otherwise("Image").alias("format"), F.when(F.col("l_suppkey") % 9 == 1, "n/a").otherwise((F.col("l_partkey") % 50).cast("string")).alias("size"),
     )
-    return collect.best_derivative(files).select("item_id", "name", "format", "size", "filename")
+    return collect.best_derivative(files).select("item_id", "name", "format", "size", "filename", "error")
 
 
 SEED = ctes("sources_seed")
@@ -668,7 +696,12 @@ def sources(fx: Fixtures) -> DataFrame:
 
 @query(SEED + " select id, name, publisher, status from sources_seed")
 def scan_seed_sources(fx):
-    return sources(fx).select("id", "name", "publisher", "status")
+    """Seed documents, one for each publisher, written as JSON and read by the reader."""
+    path = derived.folder(fx.spark)
+    fields = F.struct("id", "name", "publisher", "source_type", "status", "usage_tag", "priority", "decision_reason", "license", "evidence")
+    docs = sources(fx).groupBy("publisher").agg(F.to_json(F.struct(F.lit("2024-01-01").alias("vetting_date"), F.collect_list(fields).alias("sources"))).alias("value"))
+    docs.repartition("publisher").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return readers.seed_sources(fx.spark, path).select("id", "name", "publisher", "status")
 
 
 @query(SEED + " select id, name, publisher, source_type, status, coalesce(usage_tag, 'DO_NOT_COLLECT') as usage_tag, coalesce(priority, '') as priority, decision_reason, '' as publication_year, concat('https://l.example.org/', s_suppkey) as landing_url, concat('https://e.example.org/', s_suppkey, ' | https://e.example.org/', s_suppkey + 1) as evidence_urls, '2024-01-01' as vetting_date, 'l' as license from sources_seed")
@@ -720,3 +753,28 @@ def manual_intake(fx):
     n = F.col("doc_id")
     files = fx["payloads"].select(F.concat(F.lit("src-"), n % 30).alias("folder"), F.concat(F.lit("f "), n, F.when(n % 10 == 3, ".txt").otherwise(".pdf")).alias("name"), F.encode("payload", "UTF-8").alias("content"))
     return collect.manual_intake(files, sources(fx))
+
+
+@query(SEED + ctes("payloads").replace("with ", ", ", 1) + PAYLOAD + " select s.id as source_id, concat('manual-download:https://l.example.org/', s_suppkey, '#', doc_id, '.pdf') as url, concat('data/raw/', s.id, '/', doc_id, '.pdf') as local_path, sha256(payload) as sha256, cast(size as bigint) as size_bytes, coalesce(usage_tag, 'DO_NOT_COLLECT') as usage_tag, detected = 'pdf' and size >= 10000 as ok from typed join sources_seed s on s.id = concat('src-', doc_id % 30) where doc_id % 8 <> 0")
+def orphan_adoption(fx):
+    """Files of source folders; the ledger names an eighth of them, with the separators of another system."""
+    folder, name = F.concat(F.lit("src-"), F.col("doc_id") % 30), F.concat(F.col("doc_id").cast("string"), F.lit(".pdf"))
+    files = fx["payloads"].select("doc_id", folder.alias("source_id"), name.alias("name"), F.concat_ws("/", F.lit("data/raw"), folder, name).alias("local_path"), F.encode("payload", "UTF-8").alias("content"))
+    ledger = files.where("doc_id % 8 = 0").select(F.replace("local_path", F.lit("/"), F.lit("\\")).alias("local_path"))
+    return collect.reconcile(files.drop("doc_id"), ledger, sources(fx), "2024-01-01T00:00:00Z").select("source_id", "url", "local_path", "sha256", "size_bytes", "usage_tag", "ok")
+
+
+@query(CLASSIFIED + " select source_id, doc, cast(page_num as varchar) as page_num, classification, route, cast(text_chars as varchar) as text_chars, case when width_pt > height_pt then 'landscape' else 'portrait' end as orientation, usage_tag from classified")
+def page_index_export(fx):
+    """The page index as CSV, read back."""
+    path = derived.folder(fx.spark)
+    writers.export(classified(fx).withColumn("orientation", classify.orientation(F.col("width_pt"), F.col("height_pt"))), "pages", path)
+    return fx.spark.read.csv(path, header=True, escape='"', multiLine=True).select("source_id", "doc", "page_num", "classification", "route", "text_chars", "orientation", "usage_tag")
+
+
+@query(LATEST + " select source_id, status, sha256, cast(size_bytes as varchar) as size_bytes, url, local_path from latest")
+def ledger_export(fx):
+    """The ledger as CSV, read back."""
+    path = derived.folder(fx.spark)
+    writers.export(latest(fx), "ledger", path)
+    return fx.spark.read.csv(path, header=True, escape='"', multiLine=True).select("source_id", "status", "sha256", "size_bytes", "url", "local_path")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +68,49 @@ INK_BELOW, MARGIN = 200, 0.05
 
 def ink_ratio(gray: bytes, width: int, height: int, stride: int) -> float:
     """Share of ink in the middle of a grayscale raster."""
-    import numpy as np
-
     image = np.frombuffer(gray, np.uint8)[: stride * height].reshape(height, stride)
     inner = image[int(height * MARGIN) : int(height * (1 - MARGIN)), int(width * MARGIN) : int(width * (1 - MARGIN))]
     return float((inner < INK_BELOW).mean()) if inner.size else 0.0
+
+
+def ink_density(gray: Column, width: Column, height: Column, stride: Column) -> Column:
+    """Column of `ink_ratio` over rasters; null where the raster is."""
+
+    @F.pandas_udf("double")
+    def density(g: pd.Series, w: pd.Series, h: pd.Series, s: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else ink_ratio(bytes(x), int(a), int(b), int(c)) for x, a, b, c in zip(g, w, h, s, strict=True)], dtype="float64")
+
+    return density(gray, width, height, stride)
+
+
+def page_assets(pages: DataFrame, render: Callable[[bytes, int], tuple[bytes, bytes]], folder: str) -> DataFrame:
+    """`pages` (source_id, doc, page_num, content) as rows of files: path, content of each page's image and thumbnail, by an adapter.
+
+    No raster library is bundled; a writer puts the rows where they belong.
+    """
+
+    def assets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for source, doc, page, content in zip(batch["source_id"], batch["doc"], batch["page_num"], batch["content"], strict=True):
+                for kind, data in zip(("pages", "thumbs"), render(bytes(content), int(page)), strict=True):
+                    rows.append((f"{folder}/{kind}/{source}/{doc}/page_{int(page):04d}.png", data))
+            yield pd.DataFrame(rows, columns=["path", "content"])
+
+    return pages.select("source_id", "doc", "page_num", "content").mapInPandas(assets, "path string, content binary")
+
+
+def recognise(images: DataFrame, engine: Callable[[bytes], tuple[str, str]]) -> DataFrame:
+    """`images` (source_id, doc, page_num, content) with text and tsv of a recognition engine behind an adapter; error where it fails."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for content in batch["content"]:
+                try:
+                    rows.append((*engine(bytes(content)), None))
+                except RuntimeError as failed:  # what an adapter raises for a page that its engine refuses
+                    rows.append((None, None, str(failed)[:200]))
+            yield batch[["source_id", "doc", "page_num"]].assign(text=[r[0] for r in rows], tsv=[r[1] for r in rows], error=[r[2] for r in rows])
+
+    return images.select("source_id", "doc", F.col("page_num").cast("long"), "content").mapInPandas(run, "source_id string, doc string, page_num long, text string, tsv string, error string")

@@ -2,32 +2,56 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import release
 
+#: Records of one part file: a part is digested as one value, so it has to fit in a task.
+PART_RECORDS = 200_000
+
+# Columns and order of the exports.
+EXPORTS = {
+    "registry": (("id", "name", "publisher", "source_type", "status", "usage_tag", "priority", "license", "decision_reason", "publication_year", "landing_url", "evidence_urls", "vetting_date"), ("id",)),
+    "ledger": (("source_id", "filename", "status", "usage_tag", "sha256", "size_bytes", "detected_type", "content_type", "url", "local_path", "retrieved_at", "last_verified_at", "detail"), ("source_id", "filename")),
+    "pages": (("source_id", "doc", "page_num", "classification", "route", "reason", "text_chars", "word_count", "alnum_ratio", "ink_ratio", "orientation", "usage_tag", "image_path", "thumb_path", "text_path", "rendered_at"), ("source_id", "doc", "page_num")),
+    "ocr_quality": (("source_id", "doc", "page_num", "quality_flag", "mean_conf", "word_count", "text_chars", "engine", "engine_version", "dpi", "psm", "ocr_path", "created_at"), ("mean_conf",)),
+    "segmentation": (("source_id", "doc", "page_num", "items", "extraction_source", "skipped_reason"), ("source_id", "doc", "page_num")),
+    "alignment": (("source_id", "test_doc", "answers_doc", "question_items", "answer_pages", "answer_entries", "matched", "match_rate_pct", "unmatched_questions", "orphan_answers", "inconsistent"), ("source_id", "test_doc")),
+}
+
 
 def rebuild(df: DataFrame, path: str) -> None:
     """Replace a derived table."""
     df.write.mode("overwrite").parquet(path)
 
 
-def csv_export(df: DataFrame, path: str, columns: list[str], order: list[str]) -> None:
-    """One CSV file with a header, also for no rows; arrays become JSON."""
-    flat = [F.to_json(c).alias(c) if dict(df.dtypes)[c].startswith(("array", "struct", "map")) else F.col(c) for c in columns]
-    rows = df.orderBy(*order).select(*flat)
+def csv_export(df: DataFrame, path: str, columns: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...]) -> None:
+    """CSV with a header, in ordered parts (one where the rows are few), also for no rows; arrays become JSON.
+
+    Columns that `df` lacks are empty.
+    """
+    types = dict(df.dtypes)
+    flat = [F.lit(None).cast("string").alias(c) if c not in types else F.to_json(c).alias(c) if types[c].startswith(("array", "struct", "map")) else F.col(c) for c in columns]
+    rows = df.orderBy(*[c for c in order if c in types]).select(*flat)
     if rows.isEmpty():
         df.sparkSession.createDataFrame([(",".join(columns),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     else:
-        rows.coalesce(1).write.mode("overwrite").csv(path, header=True)
+        rows.write.mode("overwrite").csv(path, header=True)
+
+
+def export(df: DataFrame, name: str, path: str) -> None:
+    """One of the fixed exports (`EXPORTS`)."""
+    csv_export(df, path, *EXPORTS[name])
 
 
 def jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines that keep nulls; mode append adds to a log."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    df.write.mode(mode).option("ignoreNullFields", "false").option("maxRecordsPerFile", PART_RECORDS).json(path)
 
 
 class GateError(RuntimeError):
@@ -37,40 +61,58 @@ class GateError(RuntimeError):
 def write_release(records: DataFrame, path: str, version: str, built_at: str) -> dict:
     """Write questions by partition, excluded items, statistics and the manifest; all or nothing.
 
-    `records` come from `merge_records`.  Fatal records are counted before anything is written.
+    `records` come from `merge_records`.  Fatal records are counted before
+    anything is written.  Everything goes to a folder beside `path`, which takes
+    the place of an earlier release by a rename when it is complete; a failure
+    before that leaves the earlier release as it was.
     """
     spark = records.sparkSession
     gated = release.gate(release.validate(records)).persist()
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     try:
         count = {r["decision"]: r["n"] for r in gated.groupBy("decision").agg(F.count(F.lit(1)).alias("n")).collect()}
         if count.get("fatal"):
             raise GateError(f"{count['fatal']} records fail the gate")
         extra = ("errors", "warnings", "decision")
         included = gated.where("decision = 'include'").withColumn("partition", release.partition_for(F.col("usage_tag")))
-        included.drop(*extra).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("partition").json(f"{path}/questions")
-        excluded = gated.where("decision = 'quarantine'").withColumn("_exclusion_reasons", F.col("errors")).drop(*extra)
-        jsonl(excluded, f"{path}/excluded")
-        statistics = release.stats(included).persist()
-        text_file(spark, f"{path}/STATS.md", markdown_stats(statistics, f"Release {version}, built {built_at}"))
-        text_file(spark, f"{path}/SCHEMA.md", markdown_schema(included.drop(*extra), "Fields of a record"))
-        if included.where("partition = 'restricted'").limit(1).count():
-            text_file(spark, f"{path}/questions/partition=restricted/_RESTRICTED.txt", RESTRICTED_MARK)
-        statistics.orderBy("stat", F.desc("n"), "first_item").coalesce(1).write.mode("overwrite").json(f"{path}/stats")
+        included.drop(*extra).write.option("ignoreNullFields", "false").option("maxRecordsPerFile", PART_RECORDS).partitionBy("partition").json(f"{staging}/questions")
+        jsonl(gated.where("decision = 'quarantine'").withColumn("_exclusion_reasons", F.col("errors")).drop(*extra), f"{staging}/excluded")
+        statistics = release.stats(included)
+        jsonl(statistics.orderBy("stat", F.desc("n"), "first_item"), f"{staging}/stats")
+        statistics = spark.read.schema(statistics.schema).json(f"{staging}/stats")
+        small = [text_file(spark, staging, "STATS.md", markdown_stats(statistics, f"Release {version}, built {built_at}")), text_file(spark, staging, "SCHEMA.md", markdown_schema(included.drop(*extra), "Fields of a record"))]
+        by = {r["value"]: r["n"] for r in statistics.where("stat = 'by_partition'").collect()}
+        if "restricted" in by:
+            small.append(text_file(spark, staging, "questions/partition=restricted/_RESTRICTED.txt", RESTRICTED_MARK))
         warned = {r["warning"]: r["n"] for r in release.warning_counts(gated).collect()}
+        answered = statistics.where("stat = 'answered_items'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        about = {
+            "version": version, "built_at": built_at, "included": count.get("include", 0), "quarantined": count.get("quarantine", 0), "warnings": warned,
+            "counts": {"public": by.get("public", 0), "restricted": by.get("restricted", 0), "answered": answered},
+        }
+        done = manifest(spark, staging, about, small)
+        text_file(spark, staging, "manifest.json", json.dumps(done, sort_keys=True, indent=1))
+        replace_folder(spark, staging, path)
+    except BaseException:
+        delete_folder(spark, staging)
+        raise
     finally:
         gated.unpersist()
-    done = manifest(spark, path, {"version": version, "built_at": built_at, "included": count.get("include", 0), "quarantined": count.get("quarantine", 0), "warnings": warned})
-    spark.createDataFrame([(json.dumps(done, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
     return done
 
 
 #: Text of the file that marks a partition which must not leave the house.
 RESTRICTED_MARK = "These items come from sources whose licence does not allow redistribution. Keep this partition internal.\n"
+#: Rows of one statistic in the Markdown file; the JSON lines have them all.
+MARKDOWN_ROWS = 500
 
 
 def markdown_stats(statistics: DataFrame, title: str) -> str:
-    """The statistics as Markdown tables, one for each statistic; a few rows for each."""
-    rows = statistics.orderBy("stat", F.desc("n"), "first_item").collect()
+    """The statistics as Markdown tables, the largest rows of each."""
+    from pyspark.sql import Window
+
+    nth = F.row_number().over(Window.partitionBy("stat").orderBy(F.desc("n"), "first_item"))
+    rows = statistics.withColumn("_nth", nth).where(F.col("_nth") <= MARKDOWN_ROWS).orderBy("stat", "_nth").collect()
     lines = [f"# {title}"]
     for stat in dict.fromkeys(r["stat"] for r in rows):
         lines += ["", f"## {stat.replace('_', ' ')}", "", "| Value | Items |", "|---|--:|", *(f"| {r['value']} | {r['n']} |" for r in rows if r["stat"] == stat)]
@@ -81,20 +123,50 @@ def markdown_schema(df: DataFrame, title: str) -> str:
     return "\n".join([f"# {title}", "", "| Field | Type |", "|---|---|", *(f"| {f.name} | {f.dataType.simpleString()} |" for f in df.schema)]) + "\n"
 
 
-def text_file(spark: SparkSession, path: str, text: str) -> None:
-    """One small file, written through Spark's file systems."""
+def _path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    out.write(bytearray(text.encode("utf-8")))
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def text_file(spark: SparkSession, folder: str, name: str, text: str) -> dict:
+    """One small file, written through Spark's file systems; its line of the manifest."""
+    data = text.encode("utf-8")
+    target, fs = _path(spark, f"{folder}/{name}")
+    out = fs.create(target, True)
+    out.write(bytearray(data))
     out.close()
+    return {"path": name, "bytes": len(data), "sha256": hashlib.sha256(data).hexdigest()}
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder `new` in the place of `path`; what was there is kept aside until that is done."""
+    source, fs = _path(spark, new)
+    target, _ = _path(spark, path)
+    aside, _ = _path(spark, f"{new}.before")
+    before = fs.exists(target)
+    if before and not fs.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(source, target):
+        if before:
+            fs.rename(aside, target)
+        raise OSError(f"cannot put a release at {path}")
+    if before:
+        fs.delete(aside, True)
 
 
 def artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256 of the part files below a folder."""
+    """path (below the folder), bytes, sha256 of the part files; each holds PART_RECORDS records at most."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def manifest(spark: SparkSession, path: str, about: dict) -> dict:
-    rows = artifacts(spark, path).where("path not like '%/manifest/%'").orderBy("path").collect()  # a row for each file written
-    return about | {"artifacts": [r.asDict() for r in rows]}
+def manifest(spark: SparkSession, path: str, about: dict, small: list[dict]) -> dict:
+    """`about` with every file of the release: the part files, and the small files written beside them."""
+    rows = [r.asDict() for r in artifacts(spark, path).collect()]  # a row for each file written
+    return about | {"artifacts": sorted(rows + small, key=lambda r: r["path"])}

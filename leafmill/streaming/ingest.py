@@ -9,39 +9,73 @@ from pyspark.sql import functions as F
 
 from ..operators import state
 
+#: Parts of the state by a hash of the keys; a batch rewrites those that it touches.
+BUCKETS = 256
 
-def ingest(spark: SparkSession, source: str, schema: str, state_path: str, checkpoint: str, keys: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+
+def ingest(spark: SparkSession, source: str, schema: str, state_path: str, checkpoint: str, keys: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS) -> None:
     """Read what is new below `source` (Parquet), upsert it into the state below `state_path` and stop.
 
     The stream's checkpoint remembers which files are done, so running twice
-    adds nothing.  Each batch writes a new version of the state, numbered by
-    the batch; `current` reads the last complete one, and a batch that is
-    repeated after a failure overwrites its own version alone.
+    adds nothing.  Each batch writes a new version, numbered by the batch, of
+    the buckets that its keys fall into; `current` reads the last complete
+    version of every bucket, and a batch that is repeated after a failure
+    overwrites its own version alone.  Of each bucket the last two versions
+    stay, older ones are removed.  `buckets` must not change in the life of a state.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
+        place = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         new = (prepare(batch) if prepare else batch).withColumn("batch", F.lit(number).cast("long"))
-        stored = current(spark, state_path, below=number)
+        touched = [r["b"] for r in new.select(place.alias("b")).distinct().collect()]  # `buckets` numbers at most
+        if not touched:
+            return
+        stored = current(spark, state_path, number, set(touched))
         # a key twice in one batch: the largest row wins, whatever the order of the files
         rest = sorted(c for c in new.columns if c not in (*keys, "batch"))
         rows = new if stored is None else stored.unionByName(new)
-        state.upsert(rows, keys, ["batch", *rest]).write.mode("overwrite").parquet(f"{state_path}/v={number}")
+        out = state.upsert(rows, keys, ["batch", *rest]).withColumn("bucket", place)
+        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{state_path}/v={number}")
+        _remove_old(spark, state_path)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _folder(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers n of the folders `name`=n below `path`."""
+    root, fs = _folder(spark, path)
+    named = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n[len(name) + 1 :]) for n in named if n.startswith(f"{name}="))
+
+
 def versions(spark: SparkSession, state_path: str) -> list[int]:
     """Numbers of the complete versions."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(state_path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    named = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")]
-    return sorted(int(p.getName()[2:]) for p in named if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-
-def current(spark: SparkSession, state_path: str, below: int | None = None) -> DataFrame | None:
-    """The last complete version (below a number), or None."""
-    found = [v for v in versions(spark, state_path) if below is None or v < below]
-    return spark.read.parquet(f"{state_path}/v={found[-1]}") if found else None
+    return [v for v in _numbered(spark, state_path, "v") if _folder(spark, state_path)[1].exists(_folder(spark, f"{state_path}/v={v}/_SUCCESS")[0])]
+
+
+def _buckets(spark: SparkSession, state_path: str, below: int | None = None) -> dict[int, list[int]]:
+    """The complete versions of each bucket, oldest first."""
+    found: dict[int, list[int]] = {}
+    for v in versions(spark, state_path):
+        for b in _numbered(spark, f"{state_path}/v={v}", "bucket") if below is None or v < below else ():
+            found.setdefault(b, []).append(v)
+    return found
+
+
+def _remove_old(spark: SparkSession, state_path: str) -> None:
+    for b, found in _buckets(spark, state_path).items():
+        for v in found[:-2]:
+            old, fs = _folder(spark, f"{state_path}/v={v}/bucket={b}")
+            fs.delete(old, True)
+
+
+def current(spark: SparkSession, state_path: str, below: int | None = None, buckets: set[int] | None = None) -> DataFrame | None:
+    """The last complete version (below a number) of every bucket, or of those named; None where there is none."""
+    paths = [f"{state_path}/v={v[-1]}/bucket={b}" for b, v in sorted(_buckets(spark, state_path, below).items()) if buckets is None or b in buckets]
+    return spark.read.parquet(*paths) if paths else None
