@@ -10,7 +10,7 @@ without a letter (language `und`), texts that the language model confidently
 calls another language than the one they are filed under, and all but one
 document of each group of near duplicates (five-word shingles, similarity 0.8
 or more).  Personal data is replaced in place, and what is left is packed into
-sequences of 4096 tokens, with the tokens.  Models learn only from documents
+sequences of 4096 tokens.  Models learn only from documents
 whose id is not held out, out of the documents that reach their stage.
 
 Edge cases.  Null and empty texts, which have no letter, go at the language
@@ -72,8 +72,11 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the documents, with their tokens, and their places in sequences of 4096 tokens."""
-    return packing.pack_documents(docs)
+    """Token pieces of the documents and their places in sequences of 4096 tokens: an index of the corpus, without the tokens.
+
+    With the tokens (`pack_documents(docs)`) they would be shuffled twice, which is beyond the disk of a stage.
+    """
+    return packing.pack_documents(docs, keep_ids=False)
 
 
 STAGES = [

@@ -43,7 +43,7 @@ def test_stages_take_effect(spark, folder, tmp_path):
     run = corpus_pipeline.run(spark, folder)
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, run.select(cols).collect())) == sorted(map(tuple, seen[5].select(cols).collect()))
-    assert all(r.length == len(r.ids) > 0 for r in run.collect())
+    assert all(r.length > 0 for r in run.collect())
 
 
 def test_one_row_of_a_repeated_id(spark, folder):
