@@ -14,7 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: dict[tuple[str, str, str], tuple[SparkSession, str, object]] = {}
+_made: dict[tuple[str, str, str], tuple[str, object]] = {}
+_paths: list[tuple[SparkSession, str]] = []
 
 
 def folder(spark: SparkSession) -> str:
@@ -24,7 +25,9 @@ def folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="leafmill-")
-    return f"{named.rstrip('/')}/derived-{uuid.uuid4().hex}"
+    path = f"{named.rstrip('/')}/derived-{uuid.uuid4().hex}"
+    _paths.append((spark, path))
+    return path
 
 
 def stored(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -33,14 +36,14 @@ def stored(spark: SparkSession, source: str, name: str, build: Callable[[], Data
     if key not in _made:
         df, path = build(), folder(spark)
         df.write.parquet(path)
-        _made[key] = (spark, path, df.schema)
-    _, path, schema = _made[key]
+        _made[key] = (path, df.schema)
+    path, schema = _made[key]
     return spark.read.schema(schema).parquet(path)
 
 
 @atexit.register
 def _clean() -> None:
-    for spark, path, _ in _made.values():
+    for spark, path in _paths:
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -41,7 +41,7 @@ def csv_export(df: DataFrame, path: str, columns: list[str] | tuple[str, ...], o
     if rows.isEmpty():
         df.sparkSession.createDataFrame([(",".join(columns),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     else:
-        rows.write.mode("overwrite").csv(path, header=True)
+        rows.write.mode("overwrite").csv(path, header=True, escape='"')  # quotes are doubled
 
 
 def export(df: DataFrame, name: str, path: str) -> None:

@@ -1,5 +1,6 @@
 """Release gate, sinks, collection checks, recognised text, state and streaming."""
 
+import hashlib
 import json
 import os
 
@@ -76,6 +77,30 @@ def test_release_is_written_whole_or_not_at_all(spark, tmp_path):
     assert not os.path.exists(tmp_path / "bad")
 
 
+def test_a_release_takes_the_place_of_the_one_before(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    writers.write_release(records(spark, {}, {}), path, "1.0.0", "now")
+    done = writers.write_release(records(spark, {}, {"usage_tag": "RESTRICTED_X"}, {"choices": ["A) 1"]}), path, "1.1.0", "now")
+    listed = {a["path"]: a for a in done["artifacts"]}
+    here = {os.path.relpath(os.path.join(d, f), path) for d, _, files in os.walk(path) for f in files if not f.startswith((".", "_SUCCESS")) and f != "manifest.json"}
+    assert set(listed) == here and {"STATS.md", "SCHEMA.md", "questions/partition=restricted/_RESTRICTED.txt"} <= here
+    for name, a in listed.items():
+        data = (tmp_path / "r" / name).read_bytes()
+        assert (a["bytes"], a["sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
+    assert json.loads((tmp_path / "r/manifest.json").read_text()) == done and done["counts"] == {"public": 1, "restricted": 1, "answered": 0}
+    monkeypatch.setattr(writers, "manifest", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        writers.write_release(records(spark, {}), path, "1.2.0", "now")
+    assert json.loads((tmp_path / "r/manifest.json").read_text())["version"] == "1.1.0" and [p.name for p in tmp_path.iterdir()] == ["r"]
+
+
+def test_digests_do_not_depend_on_order(spark):
+    rows = [(f"i{k}", "ab"[k % 2]) for k in range(500)]
+    one, two = (sorted(map(tuple, release.digests(spark.createDataFrame(r, "item_id string, p string").repartition(3), "p", "item_id").collect())) for r in (rows, rows[::-1]))
+    assert one == two and [r[1] for r in one] == [250, 250]
+    assert one != sorted(map(tuple, release.digests(spark.createDataFrame(rows[:-1], "item_id string, p string"), "p", "item_id").collect()))
+
+
 def test_stats(spark):
     rows = records(spark, {}, {"usage_tag": "RESTRICTED_X"}, {"kind": "unknown"}, answers=[(2, "A")])
     got = {(r.stat, r.value): (r.n, r.first_item) for r in release.stats(rows).collect()}
@@ -92,6 +117,52 @@ def test_csv_export_of_nothing_has_a_header(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "b")).collect()] == ["x,y"]
 
 
+@pytest.mark.parametrize("name", sorted(writers.EXPORTS))
+def test_fixed_exports(spark, tmp_path, name):
+    columns, order = writers.EXPORTS[name]
+    some = [c for c in columns if c != columns[-1]]  # the last column is not known here
+    df = spark.createDataFrame([tuple(f'{c} {k}, "x"' for c in some) for k in (2, 1)], ", ".join(f"{c} string" for c in some))
+    writers.export(df, name, str(tmp_path / "a"))
+    got = spark.read.csv(str(tmp_path / "a"), header=True, escape='"')
+    assert got.columns == list(columns) and [r[0] for r in got.collect()] == [f'{columns[0]} {k}, "x"' for k in (1, 2)]
+    writers.export(df.where("false"), name, str(tmp_path / "b"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "b")).collect()] == [",".join(columns)]
+
+
+ROBOTS = "User-agent: collector\nAllow: /a/b\nDisallow: /a\n\nUser-agent: *\nDisallow: /\n"
+
+
+def test_robots(spark):
+    files = spark.createDataFrame([("x.org", 200, ROBOTS), ("y.org", 404, None), ("z.org", 503, None), ("e.org", 200, "")], "host string, http_status int, body string")
+    urls = spark.createDataFrame([(u,) for u in ("https://x.org/a/b1", "https://x.org/a/c", "https://x.org/c", "https://y.org/a", "https://z.org/a", "https://n.org/", "https://e.org/a")], "url string")
+    got = {r.url: r.allowed for r in collect.robots_gate(urls, collect.robots_rules(files, "collector/1.0")).collect()}
+    assert [got[f"https://{u}"] for u in ("x.org/a/b1", "x.org/a/c", "x.org/c", "y.org/a", "z.org/a", "n.org/", "e.org/a")] == [True, False, True, True, False, False, True]
+    other = {r.url: r.allowed for r in collect.robots_gate(urls, collect.robots_rules(files, "else/2")).collect()}
+    assert not other["https://x.org/c"] and other["https://e.org/a"]
+
+
+def test_orphans_are_adopted_after_validation(spark):
+    good = b"%PDF-1.4" + b"x" * 10_000
+    files = spark.createDataFrame([("a", "1.pdf", "data/raw/a/1.pdf", bytearray(good)), ("a", "2.pdf", "data/raw/a/2.pdf", bytearray(good)), ("a", "3.pdf", "data/raw/a/3.pdf", bytearray(b"<html>")), ("a", "n.txt", "data/raw/a/n.txt", bytearray(good)), ("b", "1.pdf", "data/raw/b/1.pdf", bytearray(good))], "source_id string, name string, local_path string, content binary")
+    ledger = spark.createDataFrame([("data\\raw\\a\\1.pdf",), (None,)], "local_path string")
+    sources = spark.createDataFrame([("a", "https://l", None)], "id string, landing_url string, usage_tag string")
+    got = {r.filename: r for r in collect.reconcile(files, ledger, sources, "2024").collect()}
+    assert set(got) == {"2.pdf", "3.pdf"} and got["2.pdf"].ok and not got["3.pdf"].ok
+    assert (got["2.pdf"].url, got["2.pdf"].usage_tag, got["2.pdf"].sha256) == ("manual-download:https://l#2.pdf", "DO_NOT_COLLECT", hashlib.sha256(good).hexdigest())
+    assert got["2.pdf"].detail.endswith("validated and hashed on 2024") and "HTML page" in got["3.pdf"].detail
+
+
+def test_archive_items_without_a_pdf(spark):
+    files = spark.createDataFrame([("i", 1, "a.txt", "Text PDF", "9"), ("j", 1, "b.pdf", "Image", "3"), ("j", 2, "c.PDF", "Image", "30"), ("k", 1, "d.pdf", "Image", "50"), ("k", 2, "e.pdf", "Text PDF", "1")], "item_id string, pos int, name string, format string, size string")
+    got = {r.item_id: (r.filename, r.error) for r in collect.best_derivative(files).collect()}
+    assert got == {"i": (None, "no PDF derivative found for archive item i"), "j": ("c.PDF", None), "k": ("e.pdf", None)}
+
+
+def test_retries(spark):
+    rows = spark.createDataFrame([(1, 500), (2, None), (3, 500), (1, 404), (1, 403)], "n int, s int").select(collect.retry_after(F.col("n"), F.col("s"))).collect()
+    assert [r[0] for r in rows] == [5, 10, None, None, None]
+
+
 PAYLOADS = [
     (b"%PDF-1.7 rest", "pdf"), (b"  <!DOCTYPE html><html>", "html"), (b"\n\t<HTML>", "html"), (b"text then <html> tag", "html"), (b'{"a": 1}', "json"), (b" [1]", "json"), (b"\x00\x01\x02", "unknown"), (b"", "unknown"),
 ]
@@ -133,6 +204,12 @@ def test_state(spark):
     assert state.pending(new, old, ["k", "j"]).count() == 1 and state.pending(new, old, ["k", "j"], force=True).count() == 2
 
 
+def test_neighbours_over_gaps(spark):
+    pages = spark.createDataFrame([("s", "d", n) for n in (1, 2, 4, 7, 8)] + [("s", "e", 3)], "source_id string, doc string, page_num int")
+    got = {(r.doc, r.page_num): (r.has_prev, r.has_next) for r in browse.neighbours(pages).collect()}
+    assert got == {("d", 1): (False, True), ("d", 2): (True, False), ("d", 4): (False, False), ("d", 7): (False, True), ("d", 8): (True, False), ("e", 3): (False, False)}
+
+
 def test_browse(spark):
     df = spark.range(100).select(F.col("id").alias("n"), F.lit("s").alias("source_id"))
     for number, first in ((0, 0), (1, 0), (2, 48), (3, 96), (9, 96)):
@@ -156,6 +233,19 @@ def test_files(spark, tmp_path):
     pages = readers.pdf_pages(spark, str(tmp_path / "inbox"), lambda b: iter([(1, 612.0, 792.0, b.decode(), 0.5)])).collect()
     assert [(r.page_num, r.page_text) for r in pages] == [(1, "%PDF-1")]
     assert readers.ink_ratio(bytes([0] * 50 + [255] * 50), 10, 10, 10) == pytest.approx(0.5, abs=0.1)
+    gray = spark.createDataFrame([(bytearray([0] * 50 + [255] * 50), 10), (None, 10)], "g binary, n int").select(readers.ink_density(F.col("g"), F.col("n"), F.col("n"), F.col("n"))).collect()
+    assert gray[0][0] == pytest.approx(0.5, abs=0.1) and gray[1][0] is None
+    images = spark.createDataFrame([("s", "d", 1, bytearray(b"ok")), ("s", "d", 2, bytearray(b"bad"))], "source_id string, doc string, page_num int, content binary")
+
+    def engine(content):
+        if content == b"bad":
+            raise RuntimeError("engine failed")
+        return "text", "tsv"
+
+    read = {r.page_num: (r.text, r.tsv, r.error) for r in readers.recognise(images, engine).collect()}
+    assert read == {1: ("text", "tsv", None), 2: (None, None, "engine failed")}
+    files = {r.path: bytes(r.content) for r in readers.page_assets(images, lambda b, n: (b, b[:1]), "data").collect()}
+    assert files == {"data/pages/s/d/page_0001.png": b"ok", "data/thumbs/s/d/page_0001.png": b"o", "data/pages/s/d/page_0002.png": b"bad", "data/thumbs/s/d/page_0002.png": b"b"}
     assert readers.table_or_empty(spark, "no_such_table", "a int").count() == 0
 
 
@@ -170,3 +260,9 @@ def test_incremental_ingest(spark, tmp_path):
     run()
     assert {(r.k, r.v) for r in ingest.current(spark, kept).collect()} == {("a", 1), ("b", 2), ("c", 1)}
     assert len(ingest.versions(spark, kept)) == 2
+    for n in range(3, 6):
+        spark.createDataFrame([("b", n)], schema).write.mode("append").parquet(source)
+        run()
+    assert {(r.k, r.v) for r in ingest.current(spark, kept).collect()} == {("a", 1), ("b", 5), ("c", 1)}
+    many = ingest._buckets(spark, kept)
+    assert all(len(v) <= 2 for v in many.values()) and len(many) <= 3
