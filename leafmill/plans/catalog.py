@@ -67,7 +67,7 @@ PAGE = "source_id, doc, page_num"
 
 @query(MEASURED + f" select {PAGE}, text_chars, word_count, alnum_ratio, head_text from measured")
 def text_stats(fx):
-    return measured(fx).select("source_id", "doc", "page_num", "text_chars", "word_count", "alnum_ratio", "head_text")
+    return classify.text_stats(fx["pages_raw"]).select("source_id", "doc", "page_num", "text_chars", "word_count", "alnum_ratio", "head_text")
 
 
 @query(CLASSIFIED + f" select {PAGE}, classification, route from classified")
@@ -101,7 +101,7 @@ def classification_reasons(fx):
 @query(MEASURED + f" select {PAGE}, {ROUTED} as route from measured")
 def route_pages(fx):
     routed = F.when((F.col("text_chars") >= classify.ROUTE_CHARS) & (F.col("alnum_ratio") >= classify.ROUTE_ALNUM), "text").otherwise("image")
-    return measured(fx).select("source_id", "doc", "page_num", routed.alias("route"))
+    return classify.text_stats(fx["pages_raw"]).select("source_id", "doc", "page_num", routed.alias("route"))
 
 
 @query(ctes("pages_raw") + f" select {PAGE}, case when width_pt > height_pt then 'landscape' else 'portrait' end as orientation from pages_raw")

@@ -95,6 +95,12 @@ def relations(spark: bool) -> dict[str, str]:
 TABLES = ("documents", "events", "pages", "supplier", "nation", "orders", "lineitem", "part")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A table that comes in fewer splits than there are cores, dealt over the cores: its rows cost far more than their move."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 class Fixtures:
     """The relations as lazy DataFrames over one data folder."""
 
@@ -106,7 +112,8 @@ class Fixtures:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
             if name not in self._sql:
-                self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._made[name] = spread(table) if name == "documents" else table
             else:
                 text = self._sql[name]
                 known = [k for k in (*TABLES, *self._sql) if k != name and _reads(text, k)]
