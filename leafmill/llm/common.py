@@ -11,13 +11,16 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one bucket of a distributed ranking; a window task never sorts more in expectation.
 RANK_BUCKET_ROWS = 20_000
+#: Shares that the rows of a key are dealt into before they meet a value of the whole key.
+SHARES = 64
 
 _scratch: list[tuple[SparkSession, str]] = []
 
@@ -130,22 +133,34 @@ def ranked(df: DataFrame, keys: list[str], classes: list[str], order: list[str],
     return b.join(starts, cond).withColumn(out, (F.col("_start") + F.col("_r")).cast("long")).drop("_b", "_r", "_start", *[f"_k_{c}" for c in part])
 
 
+def beside(df: DataFrame, key: str, spread: str, part: Column, whole: Callable[[str], Column], out: str) -> DataFrame:
+    """`df` with the column `out`: an aggregate of all rows of the row's `key`.
+
+    Rows of a key are dealt by a hash of `spread`: `part` aggregates each share and `whole` combines a key's
+    shares, so no task reads more than a share of a key's rows, or more than SHARES rows of a key.  Rows
+    without a key are left out.
+    """
+    dealt = df.withColumn("_s", F.pmod(F.xxhash64(spread), F.lit(SHARES)).cast("int"))
+    shares = dealt.groupBy(key, "_s").agg(part.alias("_p"))
+    shares = shares.withColumn(out, whole("_p").over(Window.partitionBy(key))).drop("_p")
+    return dealt.join(shares, [key, "_s"]).drop("_s")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, component) for every node of `edges` (a long, b long); component is the smallest node reachable.
 
-    Alternating large-star and small-star steps: every step is a partial-
-    aggregated minimum and one equi-join, so a hub costs no oversized group,
-    and the number of steps is logarithmic in the longest chain.  Each round is
+    Alternating large-star and small-star steps: every step is a minimum over
+    a node's neighbours, whose shares lie in several tasks (`beside`), so a hub
+    costs no oversized group and no oversized join partition; the number of
+    steps is logarithmic in the longest chain.  Each round is
     checkpointed to the shared folder.  An empty input gives an empty result.
     """
     e = checkpointed(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(max_rounds):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
-        small = large.join(low, F.col("u") == F.col("w")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        large = beside(both, "u", "v", F.min("v"), F.min, "m").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v").distinct()
+        small = beside(large, "u", "v", F.min("v"), F.min, "m").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         e = checkpointed(small.where("u <> v").distinct())
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:

@@ -1,18 +1,24 @@
-"""Near-duplicate vectors by random-hyperplane buckets.
-
-A pass gives every vector a word of random-hyperplane bits; the vectors of a
-label that share the first bits of it are a bucket, and all pairs of a bucket
-are compared by exact cosine.  Bits and passes follow the largest label, so
-that a pair at the threshold shares a bucket in no pass with a probability of
-at most `MISS`, however the vectors lie.  Equal vectors are one vector with a
-count beforehand.  A pass passes on a spanning forest of the pairs it
-verified; the union of all passes gives components.  Inside a component every
-pair is then compared exactly, in blocks, so all links are counted.
-
-Dense cones (vectors close to each other, but mostly below the threshold) make
-buckets that no number of bits foresees.  Buckets of more than `CROWD` are
-measured beforehand and compared block against block; where a label's crowded
-buckets hold more pairs than the label itself, the label is compared as one.
+"""Near-duplicate vectors by sorted projection passes.
+
+A pass gives every vector a word of random-hyperplane bits and orders the
+vectors of each label lexicographically by their words.  A window runs over
+this order: each vector is compared by exact cosine with its neighbours as
+long as they agree in the first bits, which is with CROWD - 1 others at most.
+Bits and passes follow the largest label, so that a pair at the threshold
+shares a window in no pass with a probability of at most `MISS`, however the
+vectors lie.  Equal vectors are one vector with a count beforehand.  A pass
+passes on a spanning forest of the pairs it verified; the union of all passes
+gives components.  Inside a component every pair is then compared exactly, in
+blocks, so all links are counted.
+
+Windows of a fixed number of neighbours lose links where vectors crowd: of
+641,500 links of a dense label (mean cosine 0.96) windows of 24 left 260
+unfound.  Hence the end of a window where the first bits change, and an exact
+way for the rest: dense cones (vectors close to each other, but mostly below
+the threshold) make runs longer than the window.  Runs of more than `CROWD`
+are measured beforehand and compared block against block; where a label's
+crowded runs hold more pairs than the label itself, the label is compared as
+one.
 
 Edge cases.  Vectors that are null, empty, zero or hold null or non-finite
 values, and rows with a null label or vec_id, link with nothing: n_links 0, component_id their own vec_id, kept true.  Vectors of
@@ -38,7 +44,7 @@ from .near_dedup import _Forest
 #: Twice the vectors that a bucket of evenly spread ones has at most.
 WINDOW = 24
 BITS = 62
-#: Columns of a bucket.
+#: Columns of a run of neighbours that agree in the first bits (a bucket).
 BUCKET = ["pass", "label", "size", "prefix"]
 MISS = 1e-7
 BLOCK = 2000
@@ -181,7 +187,7 @@ def _links(keyed: DataFrame, cosine: float, cut: int) -> DataFrame:
         )
         heaps = dealt.join(keyed.select("rep", "unit"), "rep").groupBy(*BUCKET, "tile").applyInArrow(lambda key, t: _block_links(t, cosine), "a long, b long")
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = thin.repartition(parts, *BUCKET).sortWithinPartitions(*BUCKET, "rep").select("rep", "unit", *BUCKET)
+    order = thin.repartition(parts, *BUCKET).sortWithinPartitions(*BUCKET, "key", "rep").select("rep", "unit", *BUCKET)
     edges = order.mapInArrow(lambda it: _buckets(it, cosine), "a long, b long")
     return edges if heaps is None else edges.unionByName(heaps)
 

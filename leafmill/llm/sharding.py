@@ -61,13 +61,16 @@ def propagate(nodes: DataFrame, members: DataFrame, shards: int = SHARDS, rounds
     members: node long, hub long; a node may have several hubs.  seed: what the draws of a node depend on.
     """
     quota = nodes.count() / shards
-    members = members.join(members.groupBy("hub").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "hub").select("node", "hub", "many")
+    members = common.beside(members.select("node", "hub"), "hub", "node", F.count(F.lit(1)), F.sum, "many").where("many > 1")
+    share = F.when(F.col("many") > common.SHARES, F.pmod(F.xxhash64("node"), F.lit(common.SHARES)).cast("int")).otherwise(0)
+    members = members.select("node", "hub", "many", share.alias("share"))
     members = common.materialize(members, "links")
     state = nodes.select("node", "seed", F.pmod(F.xxhash64("seed"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).cast("long").alias("tied"))
     for turn in range(rounds):
-        votes = members.join(state.select("node", "shard"), "node").groupBy("hub").agg(_vector("shard", shards).alias("v"))
+        votes = members.join(state.select("node", "shard"), "node").groupBy("hub").agg(_vector("shard", shards).alias("v"), F.max("share").alias("last"))
+        votes = votes.select("hub", "v", F.explode(F.sequence(F.lit(0), "last")).alias("share"))  # a large hub's votes, once for each share of its members
         # equal counts: every member of a hub prefers the same shard
-        heard = members.join(votes, "hub").groupBy("node").agg(
+        heard = members.join(votes, ["hub", "share"]).groupBy("node").agg(
             F.array(*[F.sum(F.get("v", F.lit(s))) for s in range(shards)]).alias("sum"), F.max(F.struct("many", "hub")).alias("main")
         )
         full = common.checkpointed(state.join(heard, "node", "left").select("node", "seed", "shard", "tied", "sum", "main"))

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from leafmill.llm import common, embedding_dedup, near_dedup, spotsigs
 
@@ -134,6 +135,19 @@ def test_components(spark):
     assert common.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_value_of_a_whole_key(spark):
+    """A hot key, keys of one row, a null key, and no rows."""
+    rows = [(1, i) for i in range(1000)] + [(k, k) for k in range(2, 40)] + [(None, 5)]
+    df = spark.createDataFrame(rows, "hub long, node long")
+    count = lambda d: common.beside(d, "hub", "node", F.count(F.lit(1)), F.sum, "many")
+    got = count(df).collect()
+    assert sorted((r.hub, r.node, r.many) for r in got) == sorted((h, n, 1000 if h == 1 else 1) for h, n in rows if h is not None)
+    assert count(df.where("false")).count() == 0
+    star = [(10_000, i) for i in range(3000)] + [(9_000, 10_000)]
+    found = common.connected_components(spark.createDataFrame(star, "a long, b long"))
+    assert found.count() == 3002 and {r.component for r in found.select("component").distinct().collect()} == {0}
+
+
 def test_vectors_follow_brute_force(spark):
     rng = np.random.default_rng(0)
     rows = []
