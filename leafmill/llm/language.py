@@ -153,14 +153,17 @@ def _sums(batches: Iterator[pa.RecordBatch], landmarks: Landmarks) -> Iterator[p
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
-    """Fit on at most `rows` rows of each language that are not held out; None without any."""
+    """Fit on at most `rows` rows of each language that are not held out; None without any.
+
+    Of rows that share an id and a language the first text is learned from, so a repeated id adds no rows.
+    """
     ids = docs.where("lang is not null and doc_id is not null and text is not null").where(~common.held_out()).select("doc_id", "lang")
     many = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang", F.least(F.lit(1.0), 3.0 * rows / F.col("count")).alias("share"))
     # about three times the rows wanted pass the hash, so the window below sorts a bounded number
-    drawn = ids.join(F.broadcast(many), "lang").where(F.pmod(common.learning_order(), F.lit(1 << 40)) < F.col("share") * (1 << 40))
+    drawn = ids.join(F.broadcast(many), "lang").where(F.pmod(common.learning_order(), F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("doc_id", "lang").distinct()
     order = Window.partitionBy("lang").orderBy(common.learning_order(), "doc_id")
     picked = drawn.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select("doc_id", "lang", "_r")
-    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"]).select("text", "lang", "_r")
+    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"]).groupBy("doc_id", "lang", "_r").agg(F.min("text").alias("text"))
     texts = common.materialize(texts.repartition(TASKS, F.xxhash64("text")), "language-sample")
     found = texts.where(F.col("_r") <= 2 * LANDMARKS).select("text", "lang").mapInArrow(_marks, "bits binary, lang string").toPandas()
     if not len(found):

@@ -172,9 +172,13 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine | None:
-    """Fit on at most `rows` labelled rows that are not held out; None if there are none."""
+    """Fit on at most `rows` labelled rows that are not held out; None if there are none.
+
+    Of documents that share an id the first text is learned from, so a repeated id adds no rows.
+    """
     sample = common.bounded_sample(labels.where("toxic is not null and doc_id is not null").where(~common.held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")), rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic").mapInArrow(_terms, "terms array<int>, toxic int").toPandas()
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    found = texts.select("text", "toxic").mapInArrow(_terms, "terms array<int>, toxic int").toPandas()
     texts, y = [np.array(t, np.int32) for t in found["terms"]], found["toxic"].to_numpy(float)
     del found
     if not sum(map(len, texts)):

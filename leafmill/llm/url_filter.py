@@ -92,8 +92,8 @@ class Model:
 
 def train(spark: SparkSession, labelled: tuple[tuple[str, int], ...] = LABELLED) -> Model:
     """Fit on a small table of (url, 0 or 1); its rows are the only ones that meet in one place."""
-    values = ", ".join(f"({k}, '{u}', {y})" for k, (u, y) in enumerate(labelled))
-    rows = spark.sql(f"select * from values {values} as t(k, url, y)").select("k", F.col("y").cast("double").alias("y"), features(host(F.col("url")), path(F.col("url"))).alias("x"))
+    table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(u).alias("url"), F.lit(y).alias("y")) for k, (u, y) in enumerate(labelled)])
+    rows = spark.range(1).select(F.inline(table)).select("k", F.col("y").cast("double").alias("y"), features(host(F.col("url")), path(F.col("url"))).alias("x"))
     one = rows.agg(F.array_sort(F.collect_list(F.struct("k", "y", "x"))).alias("t"))
     gram = "transform(t, a -> transform(t, b -> size(array_intersect(a.x, b.x)) / sqrt(size(a.x) * size(b.x))))"
     # coefficients c and intercept b move by the residual of each row; the intercept is not decayed

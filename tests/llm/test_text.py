@@ -282,6 +282,8 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(a == b for a, b in out) / len(out) > 0.95
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
     assert got[5003].predicted == 1 and got[5000].score == got[5001].score == got[5002].score < 0.5
+    again = toxicity.train(d.unionByName(d).unionByName(d.where("doc_id = 3")), labels)  # repeated rows teach nothing new
+    assert np.array_equal(again.w, model.w) and np.array_equal(again.v, model.v)
     assert toxicity.train(d, labels.where("false")) is None
     assert {r.score for r in toxicity.score(d, None).collect()} == {0.0}
     assert toxicity.score(docs(spark, []), model).count() == 0
@@ -325,6 +327,9 @@ def test_language_on_held_out_rows(spark):
     assert all(got[i].lang_pred == lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0)
     assert [got[i].lang_pred for i in (900, 901, 902, 903, None, 904)] == ["und", "und", "und", "fr", "de", "en"]
     assert all(0 <= r.score <= 1 for r in got.values())
+    again = language.train(d.unionByName(d).unionByName(d.where("doc_id = 3")))  # repeated rows teach nothing new
+    assert {r.doc_id: r.lang_pred for r in language.predict(d, again).collect()} == {i: r.lang_pred for i, r in got.items()}
+    assert all(r.score == pytest.approx(got[r.doc_id].score, abs=1e-6) for r in language.predict(d, again).collect())
     assert language.train(d.where("lang is null")) is None
     assert {r.lang_pred for r in language.predict(d, None).collect()} == {"und"}
     assert language.predict(d.where("false"), model).count() == 0
@@ -431,6 +436,12 @@ def test_url_rules(spark):
     assert {r.page_id: r.rule for r in url_filter.apply_rules(parts, many).collect()} == {i: u[3] for i, u in enumerate(URLS)}
 
 
+def test_url_table_with_quotes(spark):
+    model = url_filter.train(spark, (("http://casino.example.net/it's", 1), ("http://news.example.net/a\\b\"c", 0)))
+    got = url_filter.judge(spark.createDataFrame([(1, "http://casino.example.net/it's"), (2, "http://news.example.net/a\\b\"c")], "page_id long, url string"), model).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "allow"}
+
+
 def test_url_model_on_other_urls(spark):
     other = [("http://mega-casino.example.net/slots/free", "block"), ("https://blog.example.net/en/5512", "allow"), ("http://xxx-teen.example.net/adult", "block"), ("https://example.net/login", "block"), ("https://www.news.example.net/2020/01/economy", "allow"), ("http://ads-track.example.net/banner", "block"), ("https://essays.example.net/books/55", "allow"), ("http://sex-chat.example.net/live", "block")]
     got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(other)], "page_id long, url string")).collect()}
