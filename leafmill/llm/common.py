@@ -47,10 +47,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _scratch.append((spark, path))
+    scratch(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, path: str) -> None:
+    """Remove the folder `path` when the session's process ends."""
+    _scratch.append((spark, path))
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _scratch:
