@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, embedding_dedup, language, near_dedup, packing, pii, segmentation, sharding, spotsigs, token_files, toxicity, url_filter
+from . import common, embedding_dedup, language, near_dedup, packing, pii, segmentation, sharding, spotsigs, token_files, toxicity, url_filter, whitening
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,12 +52,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(common.documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op4_sampled_segmentation, op5_spotsigs, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op9_sharding, op10_url_filter, op13_token_files)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_minhash_near_dedup, op4_sampled_segmentation, op5_spotsigs, op6_toxicity, op7_embedding_near_dedup, op8_language_id, op9_sharding, op10_url_filter, op11_embedding_whitening, op13_token_files)}
 
 
 #: Smallest node reachable over edges (x, y), given both ways, from every node of `nodes` (node).
