@@ -25,30 +25,45 @@ def block_label(text: Column) -> Column:
     return F.when(head.rlike(SECTION), F.concat(prefix, digit))
 
 
-def parse_answers(pages: DataFrame, keys: tuple[str, ...], text: str = "page_text") -> DataFrame:
-    """One row for each entry of a page, without an exchange: keys, entry_seq, block_label, number_label, correct_choice, answer_text, rationale, flags."""
+def sections(pages: DataFrame, keys: tuple[str, ...], text: str = "page_text") -> DataFrame:
+    """One row for each page: keys, block_label, _entries: an array of entries, parsed within the row (see `entries_of`)."""
     lines = F.transform(t.lines(F.coalesce(F.col(text), F.lit(""))), lambda x: F.struct(x.alias("line"), x.rlike(HEAD).alias("head")))
     rows = pages.select(*keys, block_label(F.col(text)).alias("block_label"), lines.alias("_lines"))
     rows = rows.withColumn("_heads", F.array_compact(F.transform("_lines", lambda x, i: F.when(x["head"], i))))
     whole, heads = F.col("_lines"), F.col("_heads")
     said = lambda some: F.array_join(F.transform(F.filter(some, lambda x: t.strip(x["line"]) != ""), lambda x: x["line"]), "\n")
-    entry = F.transform(heads, lambda h, k: F.struct(
-        (k + 1).alias("entry_seq"), F.regexp_extract(F.get(whole, h)["line"], HEAD, 1).alias("number_label"),
+    raw = F.transform(heads, lambda h, k: F.struct(
+        (k + 1).cast("int").alias("entry_seq"), F.regexp_extract(F.get(whole, h)["line"], HEAD, 1).alias("number_label"),
         said(F.slice(whole, h + 2, F.coalesce(F.get(heads, k + 1), F.size(whole)) - h - 1)).alias("body"),
     ))
-    # the outer form: `explode` itself would add a filter that computes the array once more
-    got = rows.select(*keys, "block_label", F.explode_outer(entry).alias("x")).where("x is not null").select(*keys, "block_label", "x.*")
-    best, correct, said = (F.col("body").rlike(p) for p in (BEST, CORRECT, CORRECT_TEXT))
-    choice = F.when(best, F.upper(F.regexp_extract("body", BEST, 1))).when(correct, F.upper(F.regexp_extract("body", CORRECT, 1)))
-    free = ~best & ~correct
-    flags = F.array_compact(F.array(
-        F.when(free & said, "spr_text_answer"), F.when(free & said & F.coalesce(F.col("block_label").startswith("M"), F.lit(False)), "verify_math_typography"), F.when(free & ~said, "no_answer_found"),
+    found = F.transform("_raw", lambda x: F.struct(
+        x["entry_seq"].alias("entry_seq"), x["number_label"].alias("number_label"), t.collapse(x["body"]).alias("flat"),
+        F.regexp_extract(x["body"], BEST, 1).alias("best"), F.regexp_extract(x["body"], CORRECT, 1).alias("correct"), F.regexp_extract(x["body"], CORRECT_TEXT, 1).alias("said"),
     ))
-    return got.select(
-        *keys, F.col("entry_seq").cast("int").alias("entry_seq"), "block_label", "number_label", choice.alias("correct_choice"),
-        F.when(free & said, t.strip(F.regexp_extract("body", CORRECT_TEXT, 1))).alias("answer_text"),
-        F.substring(t.collapse("body"), 1, RATIONALE_CHARS).alias("rationale"), flags.alias("flags"),
-    )
+
+    def entry(x: Column) -> Column:  # no group of a form that matches is empty
+        best, correct, said = (x[c] != "" for c in ("best", "correct", "said"))
+        free = ~best & ~correct
+        maths = F.coalesce(F.col("block_label").startswith("M"), F.lit(False))
+        flags = F.array_compact(F.array(F.when(free & said, "spr_text_answer"), F.when(free & said & maths, "verify_math_typography"), F.when(free & ~said, "no_answer_found")))
+        return F.struct(
+            x["entry_seq"].alias("entry_seq"), x["number_label"].alias("number_label"), F.when(best, F.upper(x["best"])).when(correct, F.upper(x["correct"])).alias("correct_choice"),
+            F.when(free & said, t.strip(x["said"])).alias("answer_text"), F.substring(x["flat"], 1, RATIONALE_CHARS).alias("rationale"), flags.alias("flags"),
+        )
+
+    return rows.withColumn("_raw", raw).withColumn("_found", found).select(*keys, "block_label", F.transform("_found", entry).alias("_entries"))
+
+
+def entries_of(pages: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The entries of `sections`: keys, entry_seq, block_label, number_label, correct_choice, answer_text, rationale, flags."""
+    # the outer form: `explode` itself would add a filter that computes the array once more
+    got = pages.select(*keys, "block_label", F.explode_outer("_entries").alias("x")).where("x is not null")
+    return got.select(*keys, "x.entry_seq", "block_label", "x.number_label", "x.correct_choice", "x.answer_text", "x.rationale", "x.flags")
+
+
+def parse_answers(pages: DataFrame, keys: tuple[str, ...], text: str = "page_text") -> DataFrame:
+    """One row for each entry of a page, without an exchange (see `entries_of`)."""
+    return entries_of(sections(pages, keys, text), keys)
 
 
 def assign_blocks(numbers: DataFrame, keys: tuple[str, ...], order: str = "pos", number: str = "num") -> DataFrame:
@@ -62,20 +77,22 @@ def assign_blocks(numbers: DataFrame, keys: tuple[str, ...], order: str = "pos",
 def answer_blocks(entries: DataFrame, doc: tuple[str, ...], page: str = "page_num") -> DataFrame:
     """`entries` with block_index: pages with entries whose labels follow each other unchanged share a block.
 
-    Null labels are equal to each other.
+    Null labels are equal to each other.  The entries of a page share its label, so runs of
+    entries are runs of pages, and the entries are parsed and exchanged once.
     """
-    pages = entries.groupBy(*doc, page).agg(F.first("block_label").alias("_label"))
-    w = Window.partitionBy(*doc).orderBy(page)
-    new = ~F.col("_label").eqNullSafe(F.lag("_label").over(w)) & (F.row_number().over(w) > 1)
-    runs = pages.withColumn("_new", new.cast("int")).withColumn("block_index", F.sum("_new").over(w).cast("int")).select(*doc, page, "block_index")
-    return entries.join(runs, [*doc, page])
+    w = Window.partitionBy(*doc).orderBy(page, "entry_seq")
+    new = ~F.col("block_label").eqNullSafe(F.lag("block_label").over(w)) & (F.row_number().over(w) > 1)
+    return entries.withColumn("_new", new.cast("int")).withColumn("block_index", F.sum("_new").over(w).cast("int")).drop("_new")
 
 
-def first_entries(blocks: DataFrame, doc: tuple[str, ...], page: str = "page_num") -> DataFrame:
+def first_entries(blocks: DataFrame, doc: tuple[str, ...], page: str = "page_num", every: bool = False) -> DataFrame:
     """The first entry of each number in each block, with canon_pos: its place (from 0) in the document's canonical sequence.
 
     A number keeps the place of its first entry, as the blocks are tables in order of insertion.
+    With `every` later entries of a number stay, without a place.
     """
     once = Window.partitionBy(*doc, "block_index", "number_label").orderBy(page, "entry_seq")
     line = Window.partitionBy(*doc).orderBy("block_index", page, "entry_seq")
-    return blocks.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n").withColumn("canon_pos", F.row_number().over(line) - 1)
+    first = F.col("_n") == 1
+    marked = blocks.withColumn("_n", F.row_number().over(once)).withColumn("canon_pos", F.when(first, F.sum(first.cast("int")).over(line).cast("int") - 1)).drop("_n")
+    return marked if every else marked.where("canon_pos is not null")

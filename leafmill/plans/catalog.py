@@ -387,8 +387,12 @@ def entries(fx: Fixtures) -> DataFrame:
     return answers.parse_answers(fx["answer_pages"], ("pair", "page_num"))
 
 
+def blocked(fx: Fixtures) -> DataFrame:
+    return answers.answer_blocks(entries(fx), ("pair",))
+
+
 def canon(fx: Fixtures) -> DataFrame:
-    return answers.first_entries(answers.answer_blocks(entries(fx), ("pair",)), ("pair",))
+    return answers.first_entries(blocked(fx), ("pair",))
 
 
 @query(LABELLED + " select pair, page_num, block_label from labelled")
@@ -403,7 +407,7 @@ def parse_answers(fx):
 
 @query(BLOCKS + " select pair, page_num, entry_seq, block_index, number_label from blocks")
 def answer_blocks(fx):
-    return answers.answer_blocks(entries(fx), ("pair",)).select("pair", "page_num", long("entry_seq").alias("entry_seq"), long("block_index").alias("block_index"), "number_label")
+    return blocked(fx).select("pair", "page_num", long("entry_seq").alias("entry_seq"), long("block_index").alias("block_index"), "number_label")
 
 
 @query(BLOCKS + " select pair, block_index, canon_pos, number_label, correct_choice from canon")
@@ -421,8 +425,12 @@ def assign_blocks(fx):
     return answers.assign_blocks(numbers, ("key",))
 
 
+def folded(fx: Fixtures) -> DataFrame:
+    return align.fold(fx["align_items"].withColumn("choices", offered()), answers.first_entries(blocked(fx), ("pair",), every=True), ("pair",))
+
+
 def aligned(fx: Fixtures) -> DataFrame:
-    return align.align(fx["align_items"], canon(fx), ("pair",))
+    return align.matches(folded(fx), ("pair",))
 
 
 #: The matcher as a recursive query: one step for each item, with the cursor and the lock-in search.
@@ -466,7 +474,7 @@ select pair, cast(question_items as bigint) as question_items, cast(answer_pages
 
 @query(REPORT)
 def alignment_report(fx):
-    return align.report(fx["align_items"], fx["answer_pages"], entries(fx), canon(fx), checked_answers(fx), ("pair",))
+    return align.report(folded(fx), fx["answer_pages"].select("pair"), ("pair",))
 
 
 CHOICES = "case when pair % 3 = 0 then ['A) x', 'B) y'] when pair % 3 = 1 then ['A) x', 'B) y', 'C) z', 'D) w'] else [] end"
@@ -476,13 +484,9 @@ def offered(c: str = "pair") -> Column:
     return F.when(F.col(c) % 3 == 0, F.array(F.lit("A) x"), F.lit("B) y"))).when(F.col(c) % 3 == 1, F.array(*map(F.lit, ("A) x", "B) y", "C) z", "D) w")))).otherwise(F.array().cast("array<string>"))
 
 
-def checked_answers(fx: Fixtures) -> DataFrame:
-    return aligned(fx).withColumn("consistent", align.consistent(F.col("correct_choice"), offered()))
-
-
 @query(ALIGNED + f", o as (select a.pair, item_id, correct_choice, list_transform({CHOICES.replace('pair', 'a.pair')}, lambda x: trim(split_part(x, ')', 1))) as letters from aligned a join canon using (pair, canon_pos)) select pair, item_id, correct_choice, correct_choice is null or len(letters) = 0 or list_contains(letters, correct_choice) as consistent from o")
 def answer_consistency(fx):
-    return checked_answers(fx).where("canon_pos is not null").select("pair", "item_id", "correct_choice", "consistent")
+    return aligned(fx).where("canon_pos is not null").select("pair", "item_id", "correct_choice", "consistent")
 
 
 @query(ALIGNED + " select pair, a.item_id, a.number_label, block_label as answer_block, correct_choice, answer_text, substring(rationale, 1, 400) as answer_rationale, flags as answer_flags from aligned a join canon using (pair, canon_pos)")
@@ -500,6 +504,39 @@ def doc_pairs(fx):
     return align.doc_pairs(fx["documents"].select(F.col("source").alias("source_id"), name.alias("doc")))
 
 
+#: The stage over whole documents: real items of test documents against answer pages of their answers documents.
+STAGE_PAGES = f"""qa_pairs as (select distinct t.source_id, t.doc as test_doc, a.doc as answers_doc from qa_pages t join qa_pages a on a.source_id = t.source_id and a.doc = replace(t.doc, '-digital', '-answers-digital') where regexp_matches(t.doc, '^sat-practice-test-[0-9]+-digital$')),
+qa_items as (select concat(s.source_id, ':', s.doc, ':p', printf('%04d', s.page_num), ':', cast(s.item_seq as bigint)) as item_id, s.*, concat(s.source_id, '/', s.doc) as pair from seg_items s join qa_pairs p on p.source_id = s.source_id and p.test_doc = s.doc),
+answer_pages as (select concat(q.source_id, '/', p.test_doc) as pair, cast(page_num as int) as page_num, doc_id, page_text from qa_pages q join qa_pairs p on p.source_id = q.source_id and p.answers_doc = q.doc where classification = 'answer_key'),
+align_items as (select pair, row_number() over (partition by pair order by page_num, item_seq) as item_pos, item_id, number_label from qa_items where not contains(flags, 'short_stem'))"""
+STAGED = ALIGNED.replace(ctes("answer_pages", "align_items").replace("with ", "with recursive ", 1), ctes("qa_pages").replace("with ", "with recursive ", 1) + seg_sql("qa_pages") + ", " + STAGE_PAGES) + """,
+agreed as (select a.pair, a.item_id, c.correct_choice, block_label, answer_text, rationale, c.flags, c.correct_choice is null or i.n = 0 or list_contains(list_transform(i.choice_list, lambda x: trim(split_part(x, ')', 1))), c.correct_choice) as consistent
+    from aligned a join canon c using (pair, canon_pos) join qa_items i on i.item_id = a.item_id)"""
+
+
+def staged(fx: Fixtures) -> DataFrame:
+    pages = fx["qa_pages"]
+    items = segment.question_items(pages.withColumns({"extraction_source": F.lit("text_layer"), "ocr_mean_conf": F.lit(None).cast("double")}))
+    return align.stage(items, pages)
+
+
+@query(STAGED + " select item_id, answers_doc, block_label as answer_block, correct_choice, answer_text, substring(rationale, 1, 400) as answer_rationale, flags as answer_flags, consistent from agreed join qa_pairs on pair = concat(source_id, '/', test_doc)")
+def align_stage(fx):
+    return align.qa_alignment(staged(fx)).withColumn("answer_flags", piped("answer_flags"))
+
+
+@query(STAGED + """, q as (select p.*, concat(source_id, '/', test_doc) as pair from qa_pairs p), i as (select pair, count(*) as n from align_items group by 1), e as (select pair, count(*) as n from entries group by 1), c as (select pair, count(*) as n from canon group by 1),
+    k as (select pair, count(*) as n from answer_pages group by 1), m as (select pair, count(canon_pos) as hit, count(*) - count(canon_pos) as miss from aligned group by 1), w as (select pair, count(*) filter (not consistent) as n from agreed group by 1)
+    select source_id, test_doc, answers_doc, coalesce(i.n, 0) as question_items, coalesce(k.n, 0) as answer_pages, coalesce(e.n, 0) as answer_entries, coalesce(hit, 0) as matched, cast(round_even(100.0 * coalesce(hit, 0) / greatest(coalesce(i.n, 0), 1), 0) as bigint) as match_rate_pct,
+    coalesce(miss, 0) as unmatched_questions, coalesce(c.n, 0) - coalesce(hit, 0) as orphan_answers, coalesce(w.n, 0) as inconsistent from q left join i using (pair) left join e using (pair) left join c using (pair) left join k using (pair) left join m using (pair) left join w using (pair)""")
+def align_stage_report(fx):
+    """The report of the stage, as its CSV export has it."""
+    keys = ("source_id", "test_doc", "answers_doc")
+    rows = staged(fx)
+    pages = rows.select(*keys, F.explode(F.array_repeat(F.lit(1), F.col("answer_pages").cast("int"))).alias("_")).drop("_")
+    return align.report(rows, pages, keys).where("test_doc is not null").select(*writers.EXPORTS["alignment"][0])
+
+
 # --- release -------------------------------------------------------------------
 
 ANSWERED = "(length(stem) + item_seq) % 3 <> 0"

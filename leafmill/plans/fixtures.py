@@ -57,6 +57,7 @@ def relations(spark: bool) -> dict[str, str]:
         when (doc_id + #i) % 9 = 0 then concat('The correct answer is ', #i * 3, '. It follows from the table.')
         when (doc_id + #i) % 2 = 0 then concat('Choice ', {letter}, ' is the best answer because  the passage says so.')
         else concat('The correct answer is choice ', {letter}, '.') end)""")
+    answer = f"concat(case doc_id % 4 when 0 then 'READING AND WRITING: MODULE 1' when 1 then 'Reading  and writing : module 2' when 2 then 'MATH: MODULE 1' else 'Answers' end, {NL}, {entry})"
     return {
         "pages_raw": f"""select source as source_id, concat(lang, '-', cast(cast(floor(doc_id / 50) as bigint) as string)) as doc, cast(doc_id % 50 + 1 as bigint) as page_num, doc_id, text,
             case doc_id % 10 when 0 then concat('ANSWER KEY', {NL}, text) when 1 then concat('CONTENTS', {NL}, substring(text, 1, 300)) when 2 then concat('ANSWERS', {NL}, text)
@@ -74,8 +75,11 @@ def relations(spark: bool) -> dict[str, str]:
             cast(case doc_id % 5 when 0 then 91.5 when 1 then 65.5 when 2 then 41.5 else 0.0 end as double) as mean_conf, cast(doc_id % 97 as bigint) as word_count
             from exam_pages where route = 'image' and doc_id % 9 <> 4""",
         "answer_pages": f"""select cast(floor(doc_id / 2) as bigint) as pair, cast(doc_id % 2 + 1 as int) as page_num, doc_id,
-            concat(case doc_id % 4 when 0 then 'READING AND WRITING: MODULE 1' when 1 then 'Reading  and writing : module 2' when 2 then 'MATH: MODULE 1' else 'Answers' end, {NL}, {entry}) as page_text
+            {answer} as page_text
             from documents""",
+        "qa_pages": f"""select concat('s', cast(group_no % 4 as string)) as source_id, case when group_no % 6 = 5 and doc_id % 5 = 4 then 'notes' else concat('sat-practice-test-', cast(group_no as string), case when doc_id % 5 = 4 then '-answers-digital' else '-digital' end) end as doc,
+            cast(doc_id % 40 + 1 as bigint) as page_num, doc_id, case when doc_id % 5 = 4 then {answer} else page_text end as page_text, case when doc_id % 5 <> 4 or doc_id % 7 = 0 then 'content' else 'answer_key' end as classification, usage_tag
+            from (select doc_id, cast(floor(doc_id / 40) as bigint) as group_no, page_text, usage_tag from exam_pages) t""",
         "align_items": f"""select cast(floor(doc_id / 2) as bigint) as pair, cast(doc_id % 2 * 1000 + i * 2 + k as int) as item_pos,
             concat('p', cast(doc_id as string), ':', cast(i as string), ':', cast(k as string)) as item_id, case when k = 1 then '2' when (doc_id + i) % 19 = 0 then 'IV' else cast(i as string) end as number_label
             from ({d.each("documents", "5 + doc_id % 23", "doc_id, i")}) t cross join (select 0 as k union all select 1 as k) u

@@ -86,18 +86,18 @@ def test_fixed_alignments(spark):
         assert [found[p][i] for i in numeric] == model.align([labels[i] for i in numeric], c)
         assert set(found[p]) == set(numeric)
     # entries of numbers that came before, and two pages of each pair
-    entries = canon.select("pair").unionByName(canon.where("pair = 1").select("pair"))
+    entries = canon.unionByName(canon.where("pair = 1").withColumn("canon_pos", F.lit(None).cast("int")))
     pages = spark.createDataFrame([(p,) for p in range(len(FIXED)) for _ in range(2)], "pair int")
-    found = align.align(items, canon, ("pair",)).withColumn("consistent", F.col("item_id") != "1:0")
-    rep = {r.pair: r for r in align.report(items, pages, entries, canon, found, ("pair",)).collect()}
+    offered = items.withColumn("choices", F.when(F.col("item_id") == "1:0", F.array(F.lit("B) x"))).otherwise(F.array(F.lit("A) x"))))
+    rep = {r.pair: r for r in align.report(align.fold(offered, entries, ("pair",)), pages, ("pair",)).collect()}
     assert (rep[1].matched, rep[1].unmatched_questions, rep[1].orphan_answers, rep[1].match_rate_pct) == (2, 1, 1, 67)
     assert (rep[1].answer_pages, rep[1].answer_entries, rep[1].inconsistent, rep[0].inconsistent) == (2, 6, 1, 0)
     assert rep[2].question_items == 3 and rep[6].matched == 0 and rep[6].orphan_answers == 0
     every = [r for p, r in rep.items() if p is not None]
     for name in ("question_items", "answer_pages", "answer_entries", "matched", "unmatched_questions", "orphan_answers", "inconsistent"):
         assert rep[None][name] == sum(r[name] for r in every)
-    nothing = items.where("false")
-    assert align.report(nothing, pages.where("false"), entries.where("false"), canon.where("false"), found.where("false"), ("pair",)).collect()[0].matched == 0
+    nothing = align.fold(offered.where("false"), entries.where("false"), ("pair",))
+    assert align.report(nothing, pages.where("false"), ("pair",)).collect()[0].matched == 0
 
 
 def test_random_alignments_follow_the_model(spark):
