@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as t
 from .state import orphans
 
 # Payload limits and the statuses of the decision ladder.
@@ -87,6 +85,33 @@ def extract_links(pages: DataFrame, suffix: str = r"\.pdf", name_part: str = "pr
     return out.where(F.lower("filename").contains(name_part)).select("page_id", "link", "filename")
 
 
+def unquoted(x: Column) -> Column:
+    """Percent escapes decoded as UTF-8; what is no escape stays as it is."""
+    return F.try_url_decode(F.regexp_replace(F.replace(x, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def quoted(x: Column) -> Column:
+    """Everything but letters, digits and _.-~/ as percent escapes."""
+    out = F.url_encode(x)
+    for theirs, ours in (("+", "%20"), ("%2F", "/"), ("%7E", "~"), ("*", "%2A")):
+        out = F.replace(out, F.lit(theirs), F.lit(ours))
+    return out
+
+
+def _tidy(path: Column) -> Column:
+    """A path without an empty fragment, query or parameter part."""
+    out = F.regexp_replace(path, "(?s)^([^#]*)#$", "$1")
+    out = F.regexp_replace(out, r"(?s)^([^?#]*)\?(#|$)", "$1$2")
+    return F.regexp_replace(out, "(?s)^((?:[^?#]*/)?[^;?#/]*);([?#]|$)", "$1$2")
+
+
+def robots_path(url: Column) -> Column:
+    """What rules are held against: an address without scheme and host, its escapes in one spelling; / where nothing is left."""
+    rest = F.regexp_extract(unquoted(url), r"(?s)^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?(.*)$", 1)
+    path = quoted(_tidy(rest))
+    return F.when(path == "", F.lit("/")).otherwise(path)
+
+
 def robots_gate(urls: DataFrame, robots: DataFrame) -> DataFrame:
     """`urls` (url) with allowed and note, from what is known of each host.
 
@@ -94,14 +119,13 @@ def robots_gate(urls: DataFrame, robots: DataFrame) -> DataFrame:
     boolean, path string>> in the order of the file, as `robots_rules` gives them.
     A 404 opens the host; any other failure closes it; else the first rule whose
     path starts the address's path decides, and without one it is open.  Unknown
-    hosts are closed.
+    hosts, and addresses that are null or name none, are closed.
     """
-    at = urls.withColumns({"host": F.coalesce(F.parse_url("url", F.lit("AUTHORITY")), F.lit("")), "_path": F.coalesce(F.parse_url("url", F.lit("FILE")), F.lit("/"))})
-    joined = at.join(robots, "host", "left")
-    rule = F.get(F.filter("rules", lambda r: (r["path"] == "*") | F.col("_path").startswith(r["path"])), F.lit(0))
-    banned = ~F.coalesce(rule["allow"], F.lit(True))
+    at = urls.withColumns({"host": F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")), "_path": robots_path(F.col("url"))})
+    joined = at.join(robots.where("host <> ''"), "host", "left")
+    rule = F.get(F.filter("rules", lambda r: F.col("_path").startswith(r["path"])), F.lit(0))
     status = F.col("http_status")
-    allowed = F.when(status == 404, True).when(status == 200, ~banned).otherwise(False)
+    allowed = F.when(status == 404, True).when(status == 200, F.coalesce(rule["allow"], F.lit(True))).otherwise(False)
     note = F.when(status == 404, "no robots.txt (404): allowed").when(status == 200, "robots.txt fetched and parsed").when(status.isNotNull(), F.concat(F.lit("robots.txt HTTP "), status.cast("string"), F.lit(": treating host as closed to automation"))).otherwise("robots.txt unreachable: treating host as closed to automation")
     return joined.withColumns({"allowed": allowed, "note": note}).drop("_path", "rules", "http_status")
 
@@ -109,21 +133,35 @@ def robots_gate(urls: DataFrame, robots: DataFrame) -> DataFrame:
 def robots_rules(files: DataFrame, agent: str) -> DataFrame:
     """`files` (host, http_status, body) with rules in place of body: what robots.txt says to an agent.
 
-    The group of the first named agent that is part of ours holds, else the group of `*`.
+    A group is a run of agent lines with the rules after it, up to an empty line or the next agent; it
+    counts if it has a rule.  The first group that names a part of our agent holds, else the first for `*`.
+    An empty Disallow allows all.  Paths are spelled as `robots_path` spells addresses.
     """
-    from urllib.robotparser import RobotFileParser
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for body in batch["body"]:
-                parser = RobotFileParser()
-                parser.parse((body or "").splitlines())
-                own = next((e for e in parser.entries if e.applies_to(agent)), parser.default_entry)
-                out.append([{"allow": bool(r.allowance), "path": r.path} for r in own.rulelines] if own else [])
-            yield pd.DataFrame({"host": batch["host"], "http_status": batch["http_status"], "rules": pd.Series(out, dtype=object)})
-
-    return files.select("host", F.col("http_status").cast("int"), "body").mapInPandas(read, "host string, http_status int, rules array<struct<allow: boolean, path: string>>")
+    name = agent.split("/")[0].lower()
+    kinds = {"user-agent": "agent", "allow": "rule", "disallow": "rule", "crawl-delay": "delay", "request-rate": "delay"}
+
+    def line(x: Column) -> Column:
+        said = t.strip(F.substring_index(x, "#", 1))
+        key = F.lower(t.strip(F.substring_index(said, ":", 1)))
+        known = F.create_map(*[F.lit(v) for kv in kinds.items() for v in kv])
+        value = unquoted(t.strip(F.regexp_extract(said, "(?s)^[^:]*:(.*)$", 1)))
+        kind = F.when(x == "", "end").when(said.contains(":"), F.try_element_at(known, key))
+        path = quoted(_tidy(value))
+        return F.struct(kind.alias("kind"), value.alias("agent"), ((key == "allow") | (value == "")).alias("allow"), path.alias("path"))
+
+    rows = files.select("host", F.col("http_status").cast("int").alias("http_status"), F.filter(F.transform(t.lines(F.coalesce("body", F.lit(""))), line), lambda x: x["kind"].isNotNull()).alias("_lines"))
+    lines = F.col("_lines")
+    opens = F.array_compact(F.transform(lines, lambda x, i: F.when((x["kind"] == "agent") & ~F.coalesce(F.get(lines, i - 1)["kind"] == "agent", F.lit(False)), i)))
+    rows = rows.withColumn("_opens", opens)
+    whole = F.transform("_opens", lambda o, k: F.slice(lines, o + 1, F.coalesce(F.get(F.col("_opens"), k + 1), F.size(lines)) - o))
+    rows = rows.withColumn("_groups", whole)
+    cut = F.transform("_groups", lambda g: F.slice(g, 1, F.coalesce(F.nullif(F.array_position(F.transform(g, lambda x: x["kind"]), "end"), F.lit(0)) - 1, F.size(g)).cast("int")))
+    rows = rows.withColumn("_groups", F.filter(cut, lambda g: F.exists(g, lambda x: x["kind"].isin("rule", "delay"))))
+    every = lambda g: F.exists(g, lambda x: (x["kind"] == "agent") & (x["agent"] == "*"))
+    ours = lambda g: ~every(g) & F.exists(g, lambda x: (x["kind"] == "agent") & F.contains(F.lit(name), F.lower(x["agent"])))
+    group = F.coalesce(F.get(F.filter("_groups", ours), F.lit(0)), F.get(F.filter("_groups", every), F.lit(0)))
+    rules = F.transform(F.filter("_group", lambda x: x["kind"] == "rule"), lambda x: F.struct(x["allow"].alias("allow"), x["path"].alias("path")))
+    return rows.withColumn("_group", group).select("host", "http_status", F.coalesce(rules, F.array().cast("array<struct<allow: boolean, path: string>>")).alias("rules"))
 
 
 def eligible(sources: DataFrame) -> DataFrame:

@@ -73,10 +73,10 @@ def gate(validated: DataFrame) -> DataFrame:
 
 
 def stats(included: DataFrame) -> DataFrame:
-    """Long table (stat, value, n, first_item) over included records, in one pass.
+    """Long table (stat, value, n, first_seen, first_item) over included records, in one pass.
 
-    Within a statistic rows rank by n descending, then by the first item in
-    item order, which stands for the order of first sight.
+    Within a statistic rows rank by n descending, then by the order of first sight: `first_seen` is the
+    smallest place (source, document, page, number on the page) of an item that counts, `first_item` its id.
     """
     answered = F.col("answer").isNotNull()
     rows = (
@@ -85,23 +85,33 @@ def stats(included: DataFrame) -> DataFrame:
         ("answer_consistency_failures", F.lit("all"), answered & ~F.col("answer.consistent")), ("answered_by_doc", F.when(answered, F.col("doc")).otherwise(UNANSWERED), F.lit(True)),
     )
     each = F.array_compact(F.array(*[F.when(holds, F.struct(F.lit(stat).alias("stat"), value.cast("string").alias("value"))) for stat, value, holds in rows]))
-    return included.select("item_id", F.explode(each).alias("s")).groupBy("s.stat", "s.value").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("first_item"))
+    at = F.struct("source_id", "doc", F.col("page_num").cast("long").alias("page_num"), F.col("item_seq").cast("long").alias("item_seq"))
+    seen = F.min(F.struct("at", "item_id"))
+    out = included.select(at.alias("at"), "item_id", F.explode(each).alias("s")).groupBy("s.stat", "s.value").agg(F.count(F.lit(1)).alias("n"), seen.alias("_first"))
+    return out.select("stat", "value", "n", F.col("_first.at").alias("first_seen"), F.col("_first.item_id").alias("first_item"))
 
 
-#: Hexadecimal digits of an id's hash that name its bucket: 4096 buckets.
-BUCKET_DIGITS = 3
+#: Hexadecimal digits of an id's hash that name its bucket at least, and the ids that a bucket holds about; digests meet by DIGITS digits at a time.
+DIGITS, BUCKET_IDS = 3, 20_000
 
 
 def digests(rows: DataFrame, by: str, key: str) -> DataFrame:
     """by, items, sha256: one digest of the ids of each group, whatever their order.
 
-    Ids fall into buckets by their own hash; each bucket's sorted ids are
-    digested, then the 4096 digests in order, so no task holds a whole group.
+    Ids fall into buckets by their own hash, more of them the more ids there are;
+    each bucket's sorted ids are digested, then the digests of 4096 buckets that
+    share a prefix, in order, and so on, so no task ever holds a whole group.
     """
-    bucket = F.substring(F.sha2(F.col(key), 256), 1, BUCKET_DIGITS).alias("_bucket")
-    small = rows.groupBy(by, bucket).agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(key)), "\n"), 256).alias("_digest"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bucket", "_digest"))), lambda x: x["_digest"]), "\n")
-    return small.groupBy(by).agg(F.sum("n").alias("items"), F.sha2(joined, 256).alias("sha256"))
+    digits = DIGITS
+    many = rows.count()
+    while BUCKET_IDS * 16**digits < many:
+        digits += DIGITS
+    level = rows.groupBy(by, F.substring(F.sha2(F.col(key), 256), 1, digits).alias("_bucket")).agg(F.count(F.lit(1)).alias("items"), F.sha2(F.array_join(F.array_sort(F.collect_list(key)), "\n"), 256).alias("sha256"))
+    while digits:
+        digits -= DIGITS
+        joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_bucket", "sha256"))), lambda x: x["sha256"]), "\n")
+        level = level.withColumn("_prefix", F.substring("_bucket", 1, digits)).groupBy(by, "_prefix").agg(F.sum("items").alias("items"), F.sha2(joined, 256).alias("sha256")).withColumnRenamed("_prefix", "_bucket")
+    return level.select(by, "items", "sha256")
 
 
 def warning_counts(validated: DataFrame) -> DataFrame:

@@ -599,7 +599,7 @@ def release_partition(fx):
 
 
 STATS = RECORDS + ", inc as (select * from gated where decision = 'include'), stat as (" + " union all ".join(
-    f"select '{s}' as stat, cast({k} as varchar) as value, count(*) as n, min(item_id) as first_item from inc where {w} group by 1, 2"
+    f"select '{s}' as stat, cast({k} as varchar) as value, count(*) as n, arg_min(item_id, struct_pack(a := source_id, b := doc, c := page_num, d := item_seq)) as first_item from inc where {w} group by 1, 2"
     for s, k, w in (("total_items", "'all'", "true"), ("by_partition", "part", "true"), ("by_source", "source_id", "true"), ("by_kind", "kind", "true"), ("by_status", "status", "true"), ("by_extraction_source", "extraction_source", "true"),
                     ("answered_items", "'all'", "answered"), ("answer_consistency_failures", "'all'", "answered and not consistent"), ("answered_by_doc", "case when answered then doc else '_unanswered' end", "true"))
 ) + ")"
@@ -607,7 +607,7 @@ STATS = RECORDS + ", inc as (select * from gated where decision = 'include'), st
 
 @query(STATS + " select * from stat")
 def release_stats(fx):
-    return release.stats(gated(fx).where("decision = 'include'"))
+    return release.stats(gated(fx).where("decision = 'include'")).drop("first_seen")
 
 
 @query(STATS + " select value as doc, n from stat where stat = 'answered_by_doc' order by 1")
@@ -691,16 +691,22 @@ def html_link_extract(fx):
     return collect.extract_links(fx["pages"].withColumn("html", html))
 
 
-ROBOTS_TXT = "User-agent: other\nDisallow: /\n\nUser-agent: collector\nAllow: /en/12\nDisallow: /en/1\nDisallow: /de/\nDisallow:\n\nUser-agent: *\nDisallow: /\n"
+#: Rules and addresses spell one path in several ways; some addresses are no valid URL.
+ROBOTS_TXT = "User-agent: other\nDisallow: /\n\nUser-agent: someone\nUser-agent: collector\nAllow: /en/12\nDisallow: /%65n/1\nDisallow: /d%65/\nAllow: /%C3%BCber/1\nDisallow: /\u00fcber/\nDisallow: /%c3%bcber%20x/\nDisallow:\n\nUser-agent: *\nDisallow: /\n"
 ROBOTS = "select distinct host, case length(host) % 4 when 0 then 404 when 1 then 200 when 2 then 503 end as http_status from (select regexp_extract(url, '^[^:]+://([^/?#]*)', 1) as host from pages) q where length(host) % 11 <> 0"
+ADDRESSES = "select page_id, url from pages union all select page_id, concat(regexp_extract(url, '^[^:]+://[^/?#]*', 0), '/%C3%BCber/', page_id) from pages union all select page_id, concat(regexp_extract(url, '^[^:]+://[^/?#]*', 0), '/\u00fcber x/', page_id) from pages"
 
 
-@query(f"with r as ({ROBOTS}), u as (select page_id, url, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) as host, regexp_extract(url, '^[^:]+://[^/?#]*(/[^#]*)', 1) as p from pages) select page_id, case when http_status = 404 then true when http_status = 200 then p like '/en/12%' or not (p like '/en/1%' or p like '/de/%') else false end as allowed, case when http_status = 404 then 'no robots.txt (404): allowed' when http_status = 200 then 'robots.txt fetched and parsed' when http_status is not null then concat('robots.txt HTTP ', http_status, ': treating host as closed to automation') else 'robots.txt unreachable: treating host as closed to automation' end as note from u left join r using (host)")
+@query(f"""with r as ({ROBOTS}), a as ({ADDRESSES}), u as (select page_id, url, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) as host, replace(regexp_extract(url, '^[^:]+://[^/?#]*(/[^#]*)', 1), '%C3%BC', '\u00fc') as p from a)
+select page_id, url, case when http_status = 404 then true when http_status = 200 then p like '/en/12%' or p like '/\u00fcber/1%' or not (p like '/en/1%' or p like '/de/%' or p like '/\u00fcber/%' or p like '/\u00fcber x/%') else false end as allowed,
+    case when http_status = 404 then 'no robots.txt (404): allowed' when http_status = 200 then 'robots.txt fetched and parsed' when http_status is not null then concat('robots.txt HTTP ', http_status, ': treating host as closed to automation') else 'robots.txt unreachable: treating host as closed to automation' end as note from u left join r using (host)""")
 def robots_gate(fx):
-    host = F.parse_url("url", F.lit("AUTHORITY"))
+    origin = F.regexp_extract("url", "^[^:]+://[^/?#]*", 0)
+    host = F.regexp_extract("url", "^[^:]+://([^/?#]*)", 1)
     n = F.length("host") % 4
     robots = fx["pages"].select(host.alias("host")).distinct().where(F.length("host") % 11 != 0).withColumns({"http_status": F.when(n == 0, 404).when(n == 1, 200).when(n == 2, 503), "body": F.lit(ROBOTS_TXT)})
-    return collect.robots_gate(fx["pages"].select("page_id", "url"), collect.robots_rules(robots, "collector/1.0")).select("page_id", "allowed", "note")
+    address = F.explode(F.array("url", F.concat(origin, F.lit("/%C3%BCber/"), "page_id"), F.concat(origin, F.lit("/\u00fcber x/"), "page_id"))).alias("url")
+    return collect.robots_gate(fx["pages"].select("page_id", address), collect.robots_rules(robots, "collector/1.0")).select("page_id", "url", "allowed", "note")
 
 
 @query("select concat('s', p_partkey) as id, concat('https://x.example.org/f/', replace(p_name, ' ', '%20'), '.pdf') as url, concat(replace(p_name, ' ', '_'), '.pdf') as filename from part union all select concat('s', p_partkey), concat('https://x.example.org/g/', p_size, '.pdf'), concat(p_size, '.pdf') from part")

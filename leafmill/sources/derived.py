@@ -8,13 +8,14 @@ takes nothing with it.  They are removed when the session's process ends.
 from __future__ import annotations
 
 import atexit
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: dict[tuple[str, str, str], tuple[str, object]] = {}
+_made: dict[tuple[str, str, str, str], tuple[str, object]] = {}
 _paths: list[tuple[SparkSession, str]] = []
 
 
@@ -30,9 +31,23 @@ def folder(spark: SparkSession) -> str:
     return path
 
 
+def inputs(spark: SparkSession, source: str) -> str:
+    """A digest of the paths, sizes and times of the files below `source`."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(source)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen, found = hashlib.sha256(), []
+    if fs.exists(root):
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    seen.update("\n".join(sorted(found)).encode())
+    return seen.hexdigest()
+
+
 def stored(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table `name` derived from the tables at `source`, built on first use in a session."""
-    key = (spark.sparkContext.applicationId, source, name)
+    """The table `name` derived from the tables at `source`, built on first use in a session and again when files there change."""
+    key = (spark.sparkContext.applicationId, source, name, inputs(spark, source))
     if key not in _made:
         df, path = build(), folder(spark)
         df.write.parquet(path)

@@ -78,7 +78,7 @@ def write_release(records: DataFrame, path: str, version: str, built_at: str) ->
         included.drop(*extra).write.option("ignoreNullFields", "false").option("maxRecordsPerFile", PART_RECORDS).partitionBy("partition").json(f"{staging}/questions")
         jsonl(gated.where("decision = 'quarantine'").withColumn("_exclusion_reasons", F.col("errors")).drop(*extra), f"{staging}/excluded")
         statistics = release.stats(included)
-        jsonl(statistics.orderBy("stat", F.desc("n"), "first_item"), f"{staging}/stats")
+        jsonl(statistics.orderBy("stat", F.desc("n"), "first_seen"), f"{staging}/stats")
         statistics = spark.read.schema(statistics.schema).json(f"{staging}/stats")
         small = [text_file(spark, staging, "STATS.md", markdown_stats(statistics, f"Release {version}, built {built_at}")), text_file(spark, staging, "SCHEMA.md", markdown_schema(included.drop(*extra), "Fields of a record"))]
         by = {r["value"]: r["n"] for r in statistics.where("stat = 'by_partition'").collect()}
@@ -111,7 +111,7 @@ def markdown_stats(statistics: DataFrame, title: str) -> str:
     """The statistics as Markdown tables, the largest rows of each."""
     from pyspark.sql import Window
 
-    nth = F.row_number().over(Window.partitionBy("stat").orderBy(F.desc("n"), "first_item"))
+    nth = F.row_number().over(Window.partitionBy("stat").orderBy(F.desc("n"), "first_seen"))  # Spark keeps the first rows of each task before it exchanges them
     rows = statistics.withColumn("_nth", nth).where(F.col("_nth") <= MARKDOWN_ROWS).orderBy("stat", "_nth").collect()
     lines = [f"# {title}"]
     for stat in dict.fromkeys(r["stat"] for r in rows):
