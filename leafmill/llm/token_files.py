@@ -201,10 +201,10 @@ def shards(spark: SparkSession, path: str) -> DataFrame:
     """The shards at `path`; `start` counts from the first of all ids."""
     found = spark.read.schema(SHARDS).parquet(path)
     total, starts = 0, []
-    for r in found.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():  # a row for each task that wrote
+    for r in found.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():  # a row for each task that wrote, so 16 bytes for a range of documents
         starts.append((r["part"], total))
         total += r["n"]
-    return found.join(spark.createDataFrame(starts, "part int, _before long"), "part").withColumn("start", F.col("start") + F.col("_before")).drop("_before")
+    return found.join(F.broadcast(spark.createDataFrame(starts, "part int, _before long")), "part").withColumn("start", F.col("start") + F.col("_before")).drop("_before")
 
 
 def _documents(batches: Iterator[pa.RecordBatch], keep_ids: bool) -> Iterator[pa.RecordBatch]:
