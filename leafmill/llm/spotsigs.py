@@ -8,10 +8,11 @@ of them, so it hardly counts.  A fingerprint is the sorted set of a text's
 hashed signatures in hexadecimal; its likeness to another is their Jaccard
 similarity.
 
-Comparison is pruned: sets are partitioned by length, and sets of partitions
-too far apart for a likeness of `at_least` are not compared; counting goes by
-ranges of hashes and stops once the rest cannot reach it.  A likeness below
-`FLOOR` counts as 0.
+Comparison for a threshold is pruned: sets are partitioned by length, and sets of
+partitions too far apart for a likeness of `at_least` are not compared; counting
+goes by ranges of hashes and stops once the rest cannot reach it.  So
+`fingerprints` decides whether texts are near (`NEAR`); the likeness that it
+returns besides is counted whole, however small it is.
 
 `near_pairs` joins a whole table: equal sets are one set, sets are partitioned
 by length so that only neighbouring partitions can hold pairs, and within them
@@ -44,8 +45,8 @@ from . import common
 CHAIN = 2
 #: One word in so many is an anchor by its hash.
 RARE = 16
-#: A likeness below this counts as 0; elements that are counted between two looks at the bound.
-FLOOR, RANGE = 0.02, 256
+#: Likeness from which texts are near; elements that are counted between two looks at the bound.
+NEAR, RANGE = 0.5, 256
 #: Common words of four languages.
 COMMON = frozenset(
     "the of and to in a is that it was for on are as with his they at be this have from or had by not but what all were we when your can said there "
@@ -113,19 +114,19 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
-_OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edited_is_near boolean, next_is_near boolean"
 
 
 def _row(doc_id, text: str, sigs: np.ndarray, next_text: str, next_sigs: np.ndarray) -> tuple:
     new = edited(text, next_text)
     other = signatures(new)
-    return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(sigs), fingerprint(other), likeness(sigs, other, FLOOR), likeness(sigs, next_sigs, FLOOR)
+    return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(sigs), fingerprint(other), likeness(sigs, other), likeness(sigs, next_sigs), likeness(sigs, other, NEAR) > 0, likeness(sigs, next_sigs, NEAR) > 0
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_()]
     names = [c.split()[0] for c in _OUT.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 7, types, strict=True)], names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 9, types, strict=True)], names)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -242,6 +242,7 @@ def test_fingerprints_follow_brute_force(spark):
         sets = [set(x.tolist()) for x in (a, b, c)]
         assert r.near_edited == pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0)
         assert r.near_next == pytest.approx(len(sets[0] & sets[2]) / len(sets[0] | sets[2]) if sets[0] | sets[2] else 1.0)
+        assert (r.edited_is_near, r.next_is_near) == (r.near_edited >= spotsigs.NEAR, r.near_next >= spotsigs.NEAR)
     assert got[203].fingerprint == got[204].fingerprint != got[202].fingerprint
 
 
