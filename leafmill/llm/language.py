@@ -13,12 +13,15 @@ languages, so a batch of windows is scored by one matrix product.
 
 Training reads a bounded number of rows (`TRAIN_ROWS` of each language; of more
 than `LANGUAGES` languages the most frequent ones), whole, with all their
-windows.  A window's features depend on the landmarks alone, so tasks turn the
-rows' windows into features and add them up to the normal equations of the
-ridge regression: the driver gets landmarks and sums, never rows.
-
-
-Edge cases.  Null, empty and letterless texts, and all texts if nothing can be
+windows.  There are `LANDMARKS` landmarks of each language, fewer of each where
+that would be more than `MARKS` in all.  A window's features depend on the landmarks
+alone, so the windows of each language are counted, then each task turns its rows'
+windows into features and adds them up, each by one over its language's number, to
+one matrix of at most MARKS x MARKS: the normal equations of the ridge regression.
+Tasks' rows of that matrix meet by their place; the driver gets landmarks and one
+sum, never rows.
+
+Edge cases.  Null, empty and letterless texts (numbers and number signs are no letters), and all texts if nothing can be
 learned, are `und` with score 0.  A null lang or doc_id is not learned from.
 Ties go to the alphabetically first language.  Extra columns are ignored.
 """
@@ -31,6 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,11 +48,13 @@ RIDGE = 1e-2
 WINDOW = 512
 #: Languages that are learned at most.
 LANGUAGES = 200
+#: Landmarks of all languages together.
+MARKS = 2000
 UNKNOWN = "und"
 #: Parts that the sample is learned in.
 TASKS = 16
 
-_letter = re.compile(r"[^\W\d_]").search
+_letter = regex.compile(r"\p{L}").search
 _other = re.compile(r"[\W\d_]+")
 _K = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 _SHIFT = np.uint32(32 - 13)
@@ -112,17 +119,23 @@ class Model:
         return out, many > 0
 
 
-def solve(landmarks: Landmarks, languages: list[str], many: np.ndarray, sums: np.ndarray, grams: np.ndarray) -> Model:
-    """One-versus-rest ridge regression from each language's number of windows, sum of features and sum of their outer products.
+def solve(landmarks: Landmarks, languages: list[str], mean: np.ndarray, gram: np.ndarray) -> Model:
+    """One-versus-rest ridge regression from each language's mean feature, and the sum over languages of their mean outer products.
 
     Every language weighs the same, however many windows it has.
     """
-    mean, gram = sums / many[:, None], (grams / many[:, None, None]).sum(axis=0)
     y = 2 * np.eye(len(languages)) - 1
     solved = np.linalg.solve(gram + RIDGE * np.eye(len(gram)) * len(languages) / len(gram), mean.T @ y)
     return Model(languages, landmarks.marks @ (landmarks.root @ solved))
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many windows each text has."""
+    for batch in batches:
+        many = [-(-len(_other.sub(" ", f" {t.lower()} ")) // WINDOW) if t and _letter(t) else 0 for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(many, pa.int64())], ["lang", "n"])
+
+
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One window of each text, which one by the text itself, as packed bits."""
     for batch in batches:
@@ -135,21 +148,31 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array(lang, pa.string())], ["bits", "lang"])
 
 
-def _sums(batches: Iterator[pa.RecordBatch], landmarks: Landmarks) -> Iterator[pa.RecordBatch]:
-    """Of each language the number of windows, and the sums of features and of their outer products."""
+def _sums(batches: Iterator[pa.RecordBatch], landmarks: Landmarks, many: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """Rows of sums over the windows of the task, each divided by its language's number: features by language, then outer products of all."""
     size = landmarks.root.shape[1]
-    found: dict[str, list] = {}
+    names = sorted(many)
+    mean, gram = np.zeros((len(names), size)), np.zeros((size, size))
+    place = {x: i for i, x in enumerate(names)}
     for batch in batches:
         for text, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
             bits = presence(text)[0]
             for at in range(0, len(bits), 256):
                 f = landmarks.features(bits[at : at + 256])
-                own = found.setdefault(name, [0, np.zeros(size), np.zeros((size, size))])
-                own[0] += len(f)
-                own[1] += f.sum(axis=0)
-                own[2] += f.T @ f
-    rows = [(name, n, s.tobytes(), g.tobytes()) for name, (n, s, g) in found.items()]
-    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.binary(), pa.binary()))], ["lang", "n", "sums", "grams"])
+                mean[place[name]] += f.sum(axis=0) / many[name]
+                gram += f.T @ (f / many[name])
+    part = TaskContext.get().partitionId()
+    rows = np.concatenate([mean, gram])
+    for at in range(0, len(rows), 256):
+        some = rows[at : at + 256]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + len(some), dtype=np.int32)), pa.array([part] * len(some), pa.int32()), pa.array([r.tobytes() for r in some], pa.binary())], ["place", "part", "sums"])
+
+
+def _meet(rows: pa.Table) -> pa.Table:
+    """The sum of all tasks' rows of one place, in the order of tasks."""
+    rows = rows.sort_by("part")
+    total = np.sum([np.frombuffer(b.as_py()) for b in rows.column("sums")], axis=0)
+    return pa.table({"place": rows.column("place").slice(0, 1), "part": rows.column("part").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
@@ -168,17 +191,16 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     found = texts.where(F.col("_r") <= 2 * LANDMARKS).select("text", "lang").mapInArrow(_marks, "bits binary, lang string").toPandas()
     if not len(found):
         return None
-    chosen = found.sort_values(["lang", "bits"], ignore_index=True).groupby("lang").sample(frac=1, random_state=11).groupby("lang").head(LANDMARKS)["bits"]
+    each = max(1, min(LANDMARKS, MARKS // found["lang"].nunique()))
+    chosen = found.sort_values(["lang", "bits"], ignore_index=True).groupby("lang").sample(frac=1, random_state=11).groupby("lang").head(each)["bits"]
     landmarks = Landmarks(np.unpackbits(np.frombuffer(b"".join(chosen), np.uint8).reshape(len(chosen), -1), axis=1))
-    parts = texts.select("text", "lang").mapInArrow(lambda it: _sums(it, landmarks), "lang string, n long, sums binary, grams binary").toLocalIterator()
-    size, total = landmarks.root.shape[1], {}
-    for r in sorted(parts, key=lambda r: (r["lang"], r["n"], bytes(r["sums"]))):  # TASKS rows of each language at most, in a fixed order
-        own = total.setdefault(r["lang"], [0, np.zeros(size), np.zeros((size, size))])
-        own[0] += r["n"]
-        own[1] += np.frombuffer(r["sums"])
-        own[2] += np.frombuffer(r["grams"]).reshape(size, size)
-    languages = sorted(total)
-    return solve(landmarks, languages, *(np.array([total[x][k] for x in languages]) for k in range(3)))
+    sample = texts.select("text", "lang")
+    windows = sample.mapInArrow(_windows, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0").collect()  # a row for each language
+    many = {r["lang"]: r["n"] for r in windows}
+    schema = "place int, part int, sums binary"
+    met = sample.mapInArrow(lambda it: _sums(it, landmarks, many), schema).groupBy("place").applyInArrow(_meet, schema).collect()  # (MARKS + languages) x MARKS numbers
+    rows_ = np.stack([np.frombuffer(r["sums"]) for r in sorted(met, key=lambda r: r["place"])])
+    return solve(landmarks, sorted(many), rows_[: len(many)], rows_[len(many) :])
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:

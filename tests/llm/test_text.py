@@ -335,6 +335,23 @@ def test_language_on_held_out_rows(spark):
     assert language.predict(d.where("false"), model).count() == 0
 
 
+def test_many_languages_and_number_signs(spark, monkeypatch):
+    """80 languages are learned in one matrix of bounded size; signs that are numbers are no letters."""
+    monkeypatch.setattr(language, "MARKS", 240)
+    rng = random.Random(8)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    tongues = {f"l{k:02d}": ["".join(rng.choices(rng.sample(alphabet, 9), k=rng.randint(3, 8))) for _ in range(40)] for k in range(80)}
+    rows = [(i, " ".join(rng.choices(tongues[lang], k=60)), lang) for i, lang in enumerate(list(tongues) * 8)]
+    odd = [(9000 + i, t, None) for i, t in enumerate(("½ ²", "①", "ⅷ", "3 ½ %", "a ½"))]
+    d = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    model = language.train(d)
+    assert len(model.languages) == 80
+    got = {r.doc_id: r.lang_pred for r in language.predict(d, model).collect()}
+    held = [(i, lang) for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i] == lang for i, lang in held) > 0.9 * len(held)
+    assert [got[9000 + i] for i in range(4)] == ["und"] * 4 and got[9004] != "und"
+
+
 def test_kernel_machine_follows_brute_force(spark):
     """Margins against the kernel summed n-gram by n-gram and ridge regression on explicit Nystroem features of every window."""
     rng = random.Random(4)
