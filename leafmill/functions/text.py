@@ -49,4 +49,26 @@ def alnum_ratio(x: Column | str) -> Column:
 
 
 def fixed(x: Column | str, places: int) -> Column:
-    return F.format_string(f"%.{places}f", col(x))
+    """A double with so many places, rounded half to even by the binary value itself, as C and Python print it.
+
+    The fraction is taken apart as a whole number of 2^-62, which holds it exactly from 2^-10 on; what a smaller one
+    has below that only says that it is above a tie.  Magnitudes from 2^63 on are null.
+    """
+    v = F.abs(col(x))
+    whole = F.floor(v)
+    scaled = (v - whole) * float(1 << 62)
+    n = scaled.cast("long")
+    product = n.cast("decimal(19,0)") * F.lit(10**places).cast("decimal(10,0)")
+    one = F.lit(1 << 62).cast("decimal(19,0)")
+    rest = product % one
+    quotient = ((product - rest) / one).cast("long")
+    twice = rest * 2
+    odd = ((quotient if places else whole) % 2) == 1
+    up = (twice > one) | ((twice == one) & (odd | (scaled > n)))
+    last = quotient + up.cast("long")
+    carried = last >= 10**places
+    head = (whole + carried.cast("long")).cast("string")
+    tail = F.lpad(F.when(carried, F.lit(0)).otherwise(last).cast("string"), places, "0")
+    text = F.concat(head, F.lit("."), tail) if places else head
+    sign = F.when((col(x) < 0) | F.startswith(col(x).cast("string"), F.lit("-")), "-").otherwise("")
+    return F.when(F.isnan(col(x)), "nan").when(v == float("inf"), F.concat(sign, F.lit("inf"))).when(v < float(1 << 63), F.concat(sign, text))

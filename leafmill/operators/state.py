@@ -26,6 +26,19 @@ def pending(wanted: DataFrame, done: DataFrame, keys: list[str], force: bool = F
     return wanted if force else wanted.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def pending_files(wanted: DataFrame, done: DataFrame, keys: list[str], paths: list[str], files: DataFrame, force: bool = False) -> DataFrame:
+    """Wanted rows that are not done with all their files: a row whose file has vanished is due again.
+
+    done: keys and the columns `paths`, each a path of `files` (path); null is a file that is not there, and ''
+    one that need not be (a blank page's text is an empty file, which a listing of Spark passes over).
+    """
+    if force:
+        return wanted
+    whole = done.select(*keys, F.explode(F.array(*paths)).alias("path")).join(files.select("path").distinct().withColumn("_there", F.lit(True)), "path", "left")
+    kept = whole.groupBy(*keys).agg(F.bool_and(F.coalesce("_there", F.col("path") == "", F.lit(False))).alias("_all")).where("_all").select(*keys)
+    return wanted.join(kept, keys, "left_anti")
+
+
 def verified(ledger: DataFrame, files: DataFrame, key: str = "local_path") -> DataFrame:
     """Ledger rows with verified: whether the file is there with the recorded SHA-256."""
     found = files.select(key, F.sha2("content", 256).alias("_sha"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import align, answers, browse, classify, collect, ocr, release, segment, state
 from ..sources import derived, readers, writers
+from ..streaming import ingest
 from .fixtures import Fixtures, ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,7 +78,7 @@ def classify_pages(fx):
 
 USABLE = """case when text_chars >= 200 and alnum_ratio >= 0.55 then concat('text layer usable (', text_chars, ' chars, alnum ', ratio, ')') when text_chars < 200 then concat('text layer too thin (', text_chars, ' chars < 200) -> image/OCR path')
     else concat('text layer looks garbled (alnum ', ratio, ' < 0.55) -> image/OCR path') end"""
-REASONED = CLASSIFIED + rf""", printed as (select *, printf('%.2f', round(cast(alnum_ratio as decimal(10, 4)), 2)) as ratio, printf('%.4f', ink_ratio) as ink4, printf('%.3f', ink_ratio) as ink3 from classified),
+REASONED = CLASSIFIED + rf""", printed as (select *, printf('%.2f', alnum_ratio) as ratio, printf('%.4f', ink_ratio) as ink4, printf('%.3f', ink_ratio) as ink3 from classified),
     said as (select *, {USABLE} as how, substring(head_text, 1, 120) as top from printed)"""
 
 
@@ -626,6 +627,62 @@ def release_manifest(fx):
     return release.digests(rows, "partition", "item_id")
 
 
+@query(RECORDS + " select part as partition, cast(sum(n) as bigint) as items, cast(sum(n) as bigint) as manifest_items, sha256(string_agg(digest, chr(10) order by bucket)) as sha256, 0 as bad_files from (select part, substring(sha256(item_id), 1, 3) as bucket, count(*) as n, sha256(string_agg(item_id, chr(10) order by item_id)) as digest from gated where decision = 'include' group by 1, 2) group by 1")
+def release_build(fx):
+    """A release built, published, read back file by file and held against its manifest; records that would stop it are left out."""
+    root = derived.folder(fx.spark)
+    rows = merged(fx).where("usage_tag <> 'SOMETHING_ELSE'")
+    writers.publish_release(rows, root, "1.0.0", "2024-01-01T00:00:00Z")
+    folder = writers.current_release(fx.spark, root)
+    counts = fx.spark.read.schema("counts struct<public: long, restricted: long>").json(f"{folder}/manifest.json", multiLine=True)
+    told = counts.select(F.explode(F.create_map(F.lit("public"), "counts.public", F.lit("restricted"), "counts.restricted")).alias("partition", "manifest_items"))
+    bad = writers.verify_release(fx.spark, folder).agg(F.count_if(F.col("status") != "ok").cast("int").alias("bad_files"))
+    questions = fx.spark.read.schema("item_id string, partition string").json(f"{folder}/questions")
+    return release.digests(questions, "partition", "item_id").join(told, "partition").crossJoin(bad)  # one row
+
+
+@query(ctes("exam_pages") + f" select {PAGE} from exam_pages where route = 'image' and (doc_id % 4 <> 0 or doc_id % 8 = 0)")
+def pending_files(fx):
+    """Pages are done if their row and both files are there; of every other done page the text has vanished."""
+    root = derived.folder(fx.spark)
+    place = lambda kind: F.concat_ws("/", F.lit(kind), "source_id", "doc", F.format_string("page_%04d", "page_num"))
+    pages = fx["exam_pages"].where("route = 'image'").select("source_id", "doc", "page_num", "doc_id", place("images").alias("image_path"), place("text").alias("text_path"))
+    done = pages.where("doc_id % 4 = 0")
+    there = done.select(F.explode(F.array("image_path", F.when(F.col("doc_id") % 8 != 0, F.col("text_path")))).alias("path")).where("path is not null")
+    there.withColumn("value", F.lit("x")).write.partitionBy("path").text(f"{root}/data")
+    files = readers.listing(fx.spark, f"{root}/data").select(F.try_url_decode(F.regexp_extract("path", "^path=([^/]*)/", 1)).alias("path"))
+    return state.pending_files(pages.select("source_id", "doc", "page_num"), done, ["source_id", "doc", "page_num"], ["image_path", "text_path"], files)
+
+
+ROUTING = "source_id string, doc string, page long, classification string, route string, reason string, stats struct<text_chars: long, word_count: long, alnum_ratio: double, ink_ratio: double, orientation: string>"
+
+
+@query(CLASSIFIED + " select source_id, doc, page_num as page, classification, route, text_chars, case when width_pt > height_pt then 'landscape' else 'portrait' end as orientation, case when doc_id % 2 = 0 then '1' else '2' end as batch from classified")
+def routing_log(fx):
+    """Two batches of decisions appended to the log: the second fails half way, is repeated, and is repeated once more."""
+    path = derived.folder(fx.spark)
+    stats = F.struct("text_chars", "word_count", "alnum_ratio", "ink_ratio", classify.orientation(F.col("width_pt"), F.col("height_pt")).alias("orientation"))
+    rows = classified(fx).select("doc_id", "source_id", "doc", F.col("page_num").alias("page"), "classification", "route", "reason", stats.alias("stats"))
+    batches = {b: rows.where(F.col("doc_id") % 2 == r).drop("doc_id") for b, r in (("1", 0), ("2", 1))}
+    writers.append_log(batches["1"], path, "1")
+    writers.stage_log(batches["2"], path, "2")
+    for b in ("2", "2", "1"):
+        writers.append_log(batches[b], path, b)
+    return writers.read_log(fx.spark, path, ROUTING).select("source_id", "doc", "page", "classification", "route", "stats.text_chars", "stats.orientation", "batch")
+
+
+RASTER = "(8 + doc_id % 3 * 4)", "(12 + doc_id % 2)"
+
+
+@query(f"with r as (select doc_id, {RASTER[0]} as h, {RASTER[1]} as w, array_to_string(list_transform(range(8), lambda i: sha256(concat(text, i))), '') as hex from documents where text is not null), p as (select doc_id, cast(floor(w * 0.05) as bigint) as x0, cast(floor(w * 0.95) as bigint) as x1, cast(floor(h * 0.05) as bigint) as y0, cast(floor(h * 0.95) as bigint) as y1, hex from r) select doc_id, list_sum(list_transform(range(y0, y1), lambda y: list_sum(list_transform(range(x0, x1), lambda x: case when cast(concat('0x', substring(hex, 32 * y + 2 * x + 1, 2)) as int) < 200 then 1 else 0 end)))) / ((y1 - y0) * (x1 - x0)) as ink_ratio from p")
+def ink_density(fx):
+    """Ink in rasters of several shapes, with a stride of 16, whose pixels are digests of the texts."""
+    gray = F.unhex(F.concat(*[F.sha2(F.concat("text", F.lit(str(i))), 256) for i in range(8)]))
+    n = F.col("doc_id")
+    rows = fx["documents"].where("text is not null").select("doc_id", gray.alias("gray"), (12 + n % 2).alias("width"), (8 + n % 3 * 4).alias("height"), F.lit(16).alias("stride"))
+    return rows.select("doc_id", readers.ink_density(F.col("gray"), F.col("width"), F.col("height"), F.col("stride")).alias("ink_ratio"))
+
+
 # --- collection -----------------------------------------------------------------
 
 LATEST = ctes("ledger_rows") + ", latest as (select * from ledger_rows qualify row_number() over (partition by source_id, url order by batch desc, page_id desc) = 1)"
@@ -640,6 +697,19 @@ def ledger_upsert(fx):
     return latest(fx).select("source_id", "url", "sha256", "size_bytes", "status", "page_id")
 
 
+@query(LATEST + " select source_id, url, sha256, size_bytes, status, page_id from latest")
+def ingest_state(fx):
+    """The ledger fed to a stream as two sets of files, once each, and once more without any; the state read back."""
+    root = derived.folder(fx.spark)
+    rows = fx["ledger_rows"].select("source_id", "url", "sha256", "size_bytes", "status", "page_id", "batch")
+    schema = "source_id string, url string, sha256 string, size_bytes long, status string, page_id long"
+    for number in (1, 2, None):
+        if number:
+            rows.where(F.col("batch") == number).drop("batch").write.mode("append").parquet(f"{root}/in")
+        ingest.ingest(fx.spark, f"{root}/in", schema, f"{root}/state", f"{root}/mark", ["source_id", "url"], order=("page_id",))
+    return ingest.current(fx.spark, f"{root}/state").select("source_id", "url", "sha256", "size_bytes", "status", "page_id")
+
+
 @query(LATEST + " select source_id, url, status from latest where status in ('collected', 'verified', 'manual_intake') and local_path is not null and size_bytes <> 0")
 def filter_ledgered_docs(fx):
     return latest(fx).where(F.col("status").isin("collected", "verified", "manual_intake") & F.col("local_path").isNotNull() & (F.col("size_bytes") != 0)).select("source_id", "url", "status")

@@ -58,49 +58,134 @@ class GateError(RuntimeError):
     """A record fails a check that no quarantine covers; nothing is written."""
 
 
-def write_release(records: DataFrame, path: str, version: str, built_at: str) -> dict:
-    """Write questions by partition, excluded items, statistics and the manifest; all or nothing.
+def build_release(records: DataFrame, folder: str, version: str, built_at: str) -> dict:
+    """Write questions by partition, excluded items, statistics and the manifest to a new folder; the manifest.
 
     `records` come from `merge_records`.  Fatal records are counted before
-    anything is written.  Everything goes to a folder beside `path`, which takes
-    the place of an earlier release by a rename when it is complete; a failure
-    before that leaves the earlier release as it was.
+    anything is written; a failure after that removes the folder.
     """
     spark = records.sparkSession
     gated = release.gate(release.validate(records)).persist()
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     try:
         count = {r["decision"]: r["n"] for r in gated.groupBy("decision").agg(F.count(F.lit(1)).alias("n")).collect()}
         if count.get("fatal"):
             raise GateError(f"{count['fatal']} records fail the gate")
         extra = ("errors", "warnings", "decision")
         included = gated.where("decision = 'include'").withColumn("partition", release.partition_for(F.col("usage_tag")))
-        included.drop(*extra).write.option("ignoreNullFields", "false").option("maxRecordsPerFile", PART_RECORDS).partitionBy("partition").json(f"{staging}/questions")
-        jsonl(gated.where("decision = 'quarantine'").withColumn("_exclusion_reasons", F.col("errors")).drop(*extra), f"{staging}/excluded")
+        included.drop(*extra).write.option("ignoreNullFields", "false").option("maxRecordsPerFile", PART_RECORDS).partitionBy("partition").json(f"{folder}/questions")
+        jsonl(gated.where("decision = 'quarantine'").withColumn("_exclusion_reasons", F.col("errors")).drop(*extra), f"{folder}/excluded")
         statistics = release.stats(included)
-        jsonl(statistics.orderBy("stat", F.desc("n"), "first_seen"), f"{staging}/stats")
-        statistics = spark.read.schema(statistics.schema).json(f"{staging}/stats")
-        small = [text_file(spark, staging, "STATS.md", markdown_stats(statistics, f"Release {version}, built {built_at}")), text_file(spark, staging, "SCHEMA.md", markdown_schema(included.drop(*extra), "Fields of a record"))]
+        jsonl(statistics.orderBy("stat", F.desc("n"), "first_seen"), f"{folder}/stats")
+        statistics = spark.read.schema(statistics.schema).json(f"{folder}/stats")
+        small = [text_file(spark, folder, "STATS.md", markdown_stats(statistics, f"Release {version}, built {built_at}")), text_file(spark, folder, "SCHEMA.md", markdown_schema(included.drop(*extra), "Fields of a record"))]
         by = {r["value"]: r["n"] for r in statistics.where("stat = 'by_partition'").collect()}
         if "restricted" in by:
-            small.append(text_file(spark, staging, "questions/partition=restricted/_RESTRICTED.txt", RESTRICTED_MARK))
+            small.append(text_file(spark, folder, "questions/partition=restricted/_RESTRICTED.txt", RESTRICTED_MARK))
         warned = {r["warning"]: r["n"] for r in release.warning_counts(gated).collect()}
         answered = statistics.where("stat = 'answered_items'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         about = {
             "version": version, "built_at": built_at, "included": count.get("include", 0), "quarantined": count.get("quarantine", 0), "warnings": warned,
             "counts": {"public": by.get("public", 0), "restricted": by.get("restricted", 0), "answered": answered},
         }
-        done = manifest(spark, staging, about, small)
-        text_file(spark, staging, "manifest.json", json.dumps(done, sort_keys=True, indent=1))
-        replace_folder(spark, staging, path)
+        done = manifest(spark, folder, about, small)
+        text_file(spark, folder, "manifest.json", json.dumps(done, sort_keys=True, indent=1))
     except BaseException:
-        delete_folder(spark, staging)
+        delete_folder(spark, folder)
         raise
     finally:
         gated.unpersist()
     return done
 
 
+def write_release(records: DataFrame, path: str, version: str, built_at: str) -> dict:
+    """`build_release` in a folder beside `path`, which then takes the place of an earlier release by renames; all or nothing.
+
+    Between two renames there is no release at `path`; where readers must never see that, use `publish_release`.
+    """
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    done = build_release(records, staging, version, built_at)
+    try:
+        replace_folder(records.sparkSession, staging, path)
+    except BaseException:
+        delete_folder(records.sparkSession, staging)
+        raise
+    return done
+
+
+#: The file that names the release that holds.
+POINTER = "CURRENT"
+
+
+def publish_release(records: DataFrame, root: str, version: str, built_at: str) -> str:
+    """`build_release` in a folder of its own below `root`, made the current release by one pointer file; the folder.
+
+    The pointer is written under another name and renamed over the old one, so a reader finds the
+    release before or this one, whole, at any moment; earlier releases stay until they are expired.
+    """
+    name = f"release-{version}-{uuid.uuid4().hex}"
+    build_release(records, f"{root}/{name}", version, built_at)
+    put_text(records.sparkSession, f"{root}/{POINTER}", name)
+    return f"{root}/{name}"
+
+
+def current_release(spark: SparkSession, root: str) -> str | None:
+    """The folder of the release that holds; None before the first."""
+    return f"{root}/{read_text(spark, f'{root}/{POINTER}')}" if POINTER in names(spark, root) else None
+
+
+def expire_releases(spark: SparkSession, root: str) -> None:
+    """Remove every release below `root` but the current one."""
+    current = current_release(spark, root)
+    for name in names(spark, root):
+        if name.startswith("release-") and f"{root}/{name}" != current:
+            delete_folder(spark, f"{root}/{name}")
+
+
+def verify_release(spark: SparkSession, folder: str) -> DataFrame:
+    """path, status of every file that is in the release or in its manifest: ok, changed, missing or unlisted.
+
+    Files are read and digested in tasks; the manifest is a line for each of them.
+    """
+    listed = spark.read.schema("artifacts array<struct<path: string, bytes: long, sha256: string>>").json(f"{folder}/manifest.json", multiLine=True).select(F.explode("artifacts").alias("a")).select("a.*")
+    found = artifacts(spark, folder, "[!.]*").where("path <> 'manifest.json'")
+    # Spark's readers pass over names that begin with an underscore: those are marks, a handful of lines each
+    marks = [r["path"] for r in listed.where(F.element_at(F.split("path", "/"), -1).startswith("_")).select("path").collect()]
+    there = [(m, read_text(spark, f"{folder}/{m}").encode()) for m in marks if m.rsplit("/", 1)[-1] in names(spark, f"{folder}/{m}".rsplit("/", 1)[0])]
+    found = found.unionByName(spark.createDataFrame([(m, len(data), hashlib.sha256(data).hexdigest()) for m, data in there], found.schema))
+    both = listed.withColumnsRenamed({"bytes": "_bytes", "sha256": "_sha"}).join(found, "path", "full")
+    same = (F.col("bytes") == F.col("_bytes")) & (F.col("sha256") == F.col("_sha"))
+    return both.select("path", F.when(F.col("sha256").isNull(), "missing").when(F.col("_sha").isNull(), "unlisted").when(same, "ok").otherwise("changed").alias("status"))
+
+
+def stage_log(rows: DataFrame, path: str, batch: str) -> str:
+    """Write the rows of a batch beside the log at `path`, where no reader looks; the folder."""
+    staged = f"{path}/_{batch}-{uuid.uuid4().hex}"
+    jsonl(rows, staged)
+    return staged
+
+
+def append_log(rows: DataFrame, path: str, batch: str) -> bool:
+    """Append the rows of `batch` to the JSON lines at `path`, once: a batch that is there already is left as it is (False).
+
+    The rows are written aside and come in by one rename, so a failure leaves nothing that `read_log`
+    sees and a repeated batch adds nothing.
+    """
+    spark = rows.sparkSession
+    if f"batch={batch}" in names(spark, path):
+        return False
+    staged = stage_log(rows, path, batch)
+    source, fs = _path(spark, staged)
+    if not fs.rename(source, _path(spark, f"{path}/batch={batch}")[0]):
+        delete_folder(spark, staged)
+        return False
+    return True
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all appended batches, with `batch` as text."""
+    return spark.read.schema(f"{schema}, batch string").option("basePath", path).json(f"{path}/batch=*")
+
+
 #: Text of the file that marks a partition which must not leave the house.
 RESTRICTED_MARK = "These items come from sources whose licence does not allow redistribution. Keep this partition internal.\n"
 #: Rows of one statistic in the Markdown file; the JSON lines have them all.
@@ -138,6 +223,35 @@ def text_file(spark: SparkSession, folder: str, name: str, text: str) -> dict:
     return {"path": name, "bytes": len(data), "sha256": hashlib.sha256(data).hexdigest()}
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    target, fs = _path(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    target, fs = _path(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written under another name and renamed over the one before."""
+    folder, name = path.rsplit("/", 1)
+    aside = f".{name}-{uuid.uuid4().hex}"
+    text_file(spark, folder, aside, text)
+    jvm = spark._jvm
+    source = jvm.org.apache.hadoop.fs.Path(f"{folder}/{aside}")
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri() if source.toUri().getScheme() else source.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(source, jvm.org.apache.hadoop.fs.Path(path), over)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)
@@ -159,9 +273,9 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
         fs.delete(aside, True)
 
 
-def artifacts(spark: SparkSession, path: str) -> DataFrame:
-    """path (below the folder), bytes, sha256 of the part files; each holds PART_RECORDS records at most."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+def artifacts(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+    """path (below the folder), bytes, sha256 of the files of that pattern; a part file holds PART_RECORDS records at most."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     name = path.rstrip("/").rsplit("/", 1)[-1]
     return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 

@@ -1,27 +1,37 @@
-"""Incremental ingestion: new files are upserted into keyed state, once each."""
+"""Incremental ingestion: new files are upserted into keyed state, once each.
+
+A state is a folder: `v=<batch>/bucket=<b>` holds the rows of a bucket as a
+batch left them, and `index/<batch>` says, for every bucket, which version is
+its last.  A batch writes its buckets first and its index last, under another
+name that is then renamed, so a reader sees a whole batch or none of it; nobody
+lists version folders, however many batches there were.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import state
+from ..sources import writers
 
 #: Parts of the state by a hash of the keys; a batch rewrites those that it touches.
 BUCKETS = 256
 
 
-def ingest(spark: SparkSession, source: str, schema: str, state_path: str, checkpoint: str, keys: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS) -> None:
+def ingest(spark: SparkSession, source: str, schema: str, state_path: str, checkpoint: str, keys: list[str], prepare: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS, order: tuple[str, ...] = ()) -> None:
     """Read what is new below `source` (Parquet), upsert it into the state below `state_path` and stop.
 
     The stream's checkpoint remembers which files are done, so running twice
     adds nothing.  Each batch writes a new version, numbered by the batch, of
-    the buckets that its keys fall into; `current` reads the last complete
-    version of every bucket, and a batch that is repeated after a failure
-    overwrites its own version alone.  Of each bucket the last two versions
-    stay, older ones are removed.  `buckets` must not change in the life of a state.
+    the buckets that its keys fall into; a batch that is repeated after a failure
+    starts from the index before it and overwrites its own version and index alone.
+    Two indexes stay; what only older ones name is removed.  Of rows of one key in
+    one batch the largest by `order`, then by all columns, wins.  `buckets` must
+    not change in the life of a state.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -30,52 +40,54 @@ def ingest(spark: SparkSession, source: str, schema: str, state_path: str, check
         touched = [r["b"] for r in new.select(place.alias("b")).distinct().collect()]  # `buckets` numbers at most
         if not touched:
             return
-        stored = current(spark, state_path, number, set(touched))
+        before = _index(spark, state_path, number)
+        stored = _read(spark, state_path, {b: v for b, v in before.items() if b in set(touched)})
         # a key twice in one batch: the largest row wins, whatever the order of the files
-        rest = sorted(c for c in new.columns if c not in (*keys, "batch"))
+        rest = sorted(c for c in new.columns if c not in (*keys, "batch", *order))
         rows = new if stored is None else stored.unionByName(new)
-        out = state.upsert(rows, keys, ["batch", *rest]).withColumn("bucket", place)
+        out = state.upsert(rows, keys, ["batch", *order, *rest]).withColumn("bucket", place)
         out.write.mode("overwrite").partitionBy("bucket").parquet(f"{state_path}/v={number}")
+        _put_index(spark, state_path, number, {**before, **dict.fromkeys(touched, number)})
         _remove_old(spark, state_path)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _folder(spark: SparkSession, path: str):
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
-
+def versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Numbers of the batches whose indexes are there: two at most once a batch is done."""
+    return sorted(int(n) for n in writers.names(spark, f"{state_path}/index") if n.isdigit())
 
-def _numbered(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Numbers n of the folders `name`=n below `path`."""
-    root, fs = _folder(spark, path)
-    named = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-    return sorted(int(n[len(name) + 1 :]) for n in named if n.startswith(f"{name}="))
 
+def _index(spark: SparkSession, state_path: str, below: int | None = None) -> dict[int, int]:
+    """Bucket -> version in the last index, or the last below a number."""
+    found = [n for n in versions(spark, state_path) if below is None or n < below]
+    return {int(b): v for b, v in json.loads(writers.read_text(spark, f"{state_path}/index/{found[-1]}")).items()} if found else {}
 
-def versions(spark: SparkSession, state_path: str) -> list[int]:
-    """Numbers of the complete versions."""
-    return [v for v in _numbered(spark, state_path, "v") if _folder(spark, state_path)[1].exists(_folder(spark, f"{state_path}/v={v}/_SUCCESS")[0])]
 
-
-def _buckets(spark: SparkSession, state_path: str, below: int | None = None) -> dict[int, list[int]]:
-    """The complete versions of each bucket, oldest first."""
-    found: dict[int, list[int]] = {}
-    for v in versions(spark, state_path):
-        for b in _numbered(spark, f"{state_path}/v={v}", "bucket") if below is None or v < below else ():
-            found.setdefault(b, []).append(v)
-    return found
+def _put_index(spark: SparkSession, state_path: str, number: int, index: dict[int, int]) -> None:
+    writers.put_text(spark, f"{state_path}/index/{number}", json.dumps(index, sort_keys=True))
 
 
 def _remove_old(spark: SparkSession, state_path: str) -> None:
-    for b, found in _buckets(spark, state_path).items():
-        for v in found[:-2]:
-            old, fs = _folder(spark, f"{state_path}/v={v}/bucket={b}")
-            fs.delete(old, True)
+    """Drop indexes but the last two, and the buckets and versions that only those name."""
+    *old, last, now = [-1, -1, *versions(spark, state_path)]
+    kept = {(b, v) for n in (last, now) if n >= 0 for b, v in json.loads(writers.read_text(spark, f"{state_path}/index/{n}")).items()}
+    alive = {v for _, v in kept}
+    for n in (n for n in old if n >= 0):
+        for b, v in json.loads(writers.read_text(spark, f"{state_path}/index/{n}")).items():
+            if v not in alive:
+                writers.delete_folder(spark, f"{state_path}/v={v}")
+            elif (b, v) not in kept:
+                writers.delete_folder(spark, f"{state_path}/v={v}/bucket={b}")
+        writers.delete_folder(spark, f"{state_path}/index/{n}")
+
+
+def _read(spark: SparkSession, state_path: str, index: dict[int, int]) -> DataFrame | None:
+    paths = [f"{state_path}/v={v}/bucket={b}" for b, v in sorted(index.items())]
+    return spark.read.parquet(*paths) if paths else None
 
 
-def current(spark: SparkSession, state_path: str, below: int | None = None, buckets: set[int] | None = None) -> DataFrame | None:
-    """The last complete version (below a number) of every bucket, or of those named; None where there is none."""
-    paths = [f"{state_path}/v={v[-1]}/bucket={b}" for b, v in sorted(_buckets(spark, state_path, below).items()) if buckets is None or b in buckets]
-    return spark.read.parquet(*paths) if paths else None
+def current(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """The last version of every bucket; None where there is none."""
+    return _read(spark, state_path, _index(spark, state_path))

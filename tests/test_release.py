@@ -335,5 +335,103 @@ def test_incremental_ingest(spark, tmp_path):
         spark.createDataFrame([("b", n)], schema).write.mode("append").parquet(source)
         run()
     assert {(r.k, r.v) for r in ingest.current(spark, kept).collect()} == {("a", 1), ("b", 5), ("c", 1)}
-    many = ingest._buckets(spark, kept)
-    assert all(len(v) <= 2 for v in many.values()) and len(many) <= 3
+    assert len(ingest.versions(spark, kept)) == 2
+    # only versions that one of the last two indexes names are left, and no emptied folders
+    alive = {v for n in ingest.versions(spark, kept) for v in ingest._index(spark, kept, n + 1).values()}
+    assert {int(p.name[2:]) for p in (tmp_path / "state").glob("v=*")} == alive
+    # a batch that wrote its version but no index is not seen
+    spark.createDataFrame([("a", 99, 9)], "k string, v int, batch long").write.partitionBy("k").parquet(f"{kept}/v=99")
+    assert {(r.k, r.v) for r in ingest.current(spark, kept).collect()} == {("a", 1), ("b", 5), ("c", 1)}
+
+
+def test_a_repeated_batch_starts_from_the_index_before_it(spark, tmp_path):
+    import shutil
+
+    source, kept, mark = (str(tmp_path / n) for n in ("in", "state", "mark"))
+    run = lambda: ingest.ingest(spark, source, "k string, v int", kept, mark, ["k"], prepare=lambda b: b.groupBy("k").agg(F.sum("v").cast("int").alias("v")))
+    for v in (1, 2):
+        spark.createDataFrame([("a", v)], "k string, v int").write.mode("append").parquet(source)
+        run()
+    last = max((tmp_path / "mark/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()  # as if the process had died before the stream noted the batch
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    shutil.rmtree(tmp_path / "none", ignore_errors=True)
+    run()
+    assert [(r.k, r.v) for r in ingest.current(spark, kept).collect()] == [("a", 2)]
+
+
+def test_published_releases(spark, tmp_path, monkeypatch):
+    """The pointer names a whole release at any time; verification finds every change."""
+    root = str(tmp_path / "pub")
+    assert writers.current_release(spark, root) is None
+    one = writers.publish_release(records(spark, {}, {"usage_tag": "RESTRICTED_X"}), root, "1", "now")
+    assert writers.current_release(spark, root) == one
+    monkeypatch.setattr(writers, "put_text", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        writers.publish_release(records(spark, {}), root, "2", "now")
+    monkeypatch.undo()
+    assert writers.current_release(spark, root) == one
+    with pytest.raises(writers.GateError):
+        writers.publish_release(records(spark, {"kind": "x"}), root, "2", "now")
+    two = writers.publish_release(records(spark, {}, {"usage_tag": "RESTRICTED_X"}), root, "3", "now")
+    assert writers.current_release(spark, root) == two and os.path.exists(one)
+    writers.expire_releases(spark, root)
+    assert not os.path.exists(one) and os.path.exists(two) and len([n for n in os.listdir(root) if n.startswith("release-")]) == 1
+    status = lambda: {r.path: r.status for r in writers.verify_release(spark, two).collect()}
+    assert set(status().values()) == {"ok"} and "questions/partition=restricted/_RESTRICTED.txt" in status()
+    os.remove(f"{two}/questions/partition=restricted/_RESTRICTED.txt")
+    with open(f"{two}/STATS.md", "a") as f:
+        f.write("more")
+    for crc in (f"{two}/.STATS.md.crc", f"{two}/.SCHEMA.md.crc"):
+        os.path.exists(crc) and os.remove(crc)
+    os.remove(f"{two}/SCHEMA.md")
+    with open(f"{two}/added.txt", "w") as f:
+        f.write("x")
+    odd = {p: s for p, s in status().items() if s != "ok"}
+    assert odd == {"questions/partition=restricted/_RESTRICTED.txt": "missing", "STATS.md": "changed", "SCHEMA.md": "missing", "added.txt": "unlisted"}
+
+
+def test_log_batches_come_in_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "a string")
+    assert writers.append_log(rows("x", None), path, "1")
+    writers.stage_log(rows("y"), path, "2")  # died before the rename
+    assert sorted((r.a or "", r.batch) for r in writers.read_log(spark, path, "a string").collect()) == [("", "1"), ("x", "1")]
+    assert writers.append_log(rows("y"), path, "2") and not writers.append_log(rows("z"), path, "2")
+    assert sorted(r.a or "" for r in writers.read_log(spark, path, "a string").collect()) == ["", "x", "y"]
+
+
+def test_pages_without_their_files_are_due_again(spark):
+    wanted = spark.createDataFrame([(i,) for i in range(5)], "k int")
+    done = spark.createDataFrame([(0, "a0", "t0"), (1, "a1", "t1"), (2, "a2", None), (3, "gone", "gone"), (4, "a2", "")], "k int, image string, text string")
+    files = spark.createDataFrame([(p,) for p in ("a0", "t0", "a1", "a2", "a0")], "path string")
+    due = lambda **x: sorted(r.k for r in state.pending_files(wanted, done, ["k"], ["image", "text"], files, **x).collect())
+    assert due() == [1, 2, 3] and due(force=True) == [0, 1, 2, 3, 4]
+
+
+def test_listing_reads_no_content(spark, tmp_path):
+    (tmp_path / "d/e").mkdir(parents=True)
+    (tmp_path / "d/e/a.bin").write_bytes(b"12345")
+    (tmp_path / "d/b.bin").write_bytes(b"")
+    got = readers.listing(spark, str(tmp_path / "d"))
+    assert sorted((r.path, r.bytes) for r in got.collect()) == [("e/a.bin", 5)]
+    assert "content" not in got._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+
+
+def test_ink_density_of_stacked_rasters(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(readers, "STACK_BYTES", 1000)
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(60):
+        w, h = int(rng.integers(1, 25)), int(rng.integers(1, 30))
+        s = w + int(rng.integers(0, 4))
+        rows.append((i, bytearray(rng.integers(0, 256, h * s, dtype=np.uint8).tobytes()), w, h, s))
+    rows += [(90, None, 3, 3, 3), (91, bytearray(b"12"), 3, 3, 3), (92, bytearray(b""), 0, 0, 0)]
+    df = spark.createDataFrame(rows, "i int, g binary, w int, h int, s int")
+    got = {r.i: r.d for r in df.select("i", readers.ink_density(F.col("g"), F.col("w"), F.col("h"), F.col("s")).alias("d")).collect()}
+    for i, g, w, h, s in rows[:60]:
+        inner = [g[y * s + x] < 200 for y in range(int(h * 0.05), int(h * 0.95)) for x in range(int(w * 0.05), int(w * 0.95))]
+        assert got[i] == pytest.approx(sum(inner) / len(inner) if inner else 0.0)
+    assert got[90] is None and got[91] is None and got[92] == 0.0
