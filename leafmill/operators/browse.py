@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,48 @@ def page_of(df: DataFrame, order: list[str], number: int, size: int) -> DataFram
     return df.orderBy(*order).offset((min(max(1, number), pages) - 1) * size).limit(size)
 
 
+def beyond(order: list[str], key: tuple, inclusive: bool = False) -> Column:
+    """True for rows after `key` in ascending order of the columns `order`, nulls first; a disjunction of comparisons that a scan can use."""
+    terms = []
+    for i, (c, v) in enumerate(zip(order, key, strict=True)):
+        same = [F.col(d).isNull() if w is None else F.col(d) == F.lit(w) for d, w in zip(order[:i], key[:i], strict=True)]
+        terms.append(reduce(and_, same, F.col(c).isNotNull() if v is None else F.col(c) > F.lit(v)))
+    if inclusive:
+        terms.append(reduce(and_, [F.col(c).isNull() if v is None else F.col(c) == F.lit(v) for c, v in zip(order, key, strict=True)]))
+    return reduce(or_, terms)
+
+
+def seek(df: DataFrame, order: list[str], after: tuple | None, size: int, inclusive: bool = False) -> DataFrame:
+    """The `size` rows after the key `after` (the first ones without): a filter and a top-k, whatever the number of rows before."""
+    return (df if after is None else df.where(beyond(order, after, inclusive))).orderBy(*order).limit(size)
+
+
+def page_index(df: DataFrame, order: list[str], size: int, path: str) -> DataFrame:
+    """(page, and the columns `order`): the first key of every page of `size` rows, pages from 1.
+
+    The keys alone are sorted and written to `path` once, each with its place in its part; parts are
+    counted, so nothing is numbered in one task.  `order` has to be unique.
+    """
+    spark = df.sparkSession
+    df.select(*order).orderBy(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    keys = spark.read.parquet(path).withColumns({"_part": F.shiftright("_at", 33), "_nth": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    total, starts = 0, []
+    for r in keys.groupBy("_part").count().orderBy("_part").collect():  # a row for each part of the sort
+        starts.append((r["_part"], total))
+        total += r["count"]
+    placed = keys.join(F.broadcast(spark.createDataFrame(starts, "_part long, _before long")), "_part").withColumn("_place", F.col("_before") + F.col("_nth"))
+    return placed.where(F.col("_place") % size == 0).select((F.floor(F.col("_place") / size) + 1).alias("page"), *order)
+
+
+def page_by_index(df: DataFrame, index: DataFrame, order: list[str], number: int, size: int) -> DataFrame:
+    """Page `number` of the rows that `index` was made of; numbers out of range mean the first or last page."""
+    last = index.agg(F.max("page")).first()[0]
+    if last is None:
+        return df.limit(0)
+    start = index.where(F.col("page") == min(max(1, number), last)).first()
+    return seek(df, order, tuple(start[c] for c in order), size, inclusive=True)
+
+
 def browse_pages(pages: DataFrame, source: str | None = None, classification: str | None = None, route: str | None = None, number: int = 1) -> DataFrame:
     return page_of(pages.where(where_all(source_id=(source, None), classification=(classification, CLASSES), route=(route, ROUTES))), ["source_id", "doc", "page_num"], number, PAGES_SIZE)
 

@@ -158,6 +158,25 @@ def page_by_key(fx):
     return fx["pages_raw"].where("source_id = 'src2' and doc = 'en-0' and page_num = 3").select("source_id", "doc", "page_num", "doc_id")
 
 
+def kept_pages(fx: Fixtures) -> DataFrame:
+    """Classified pages as a stored table, bucketed by document."""
+    rows = classified(fx).select("source_id", "doc", "page_num", "classification", "route")
+    return writers.keyed_table(rows, derived.table_name(), "doc", ["source_id", "doc", "page_num"], derived.folder(fx.spark))
+
+
+@query(CLASSIFIED + f" select {PAGE}, classification, route from classified where source_id = 'src2' and doc = 'en-0' and page_num = 3")
+def stored_page_by_key(fx):
+    return kept_pages(fx).where("source_id = 'src2' and doc = 'en-0' and page_num = 3")
+
+
+@query(CLASSIFIED + f" select {PAGE}, classification, route from classified where classification = 'content' order by {PAGE} nulls first limit 48 offset 96")
+def stored_pages_seek(fx):
+    """The third page of a stored table, found by the index of its pages."""
+    order = ["source_id", "doc", "page_num"]
+    rows = kept_pages(fx).where("classification = 'content'")
+    return browse.page_by_index(rows, browse.page_index(rows, order, browse.PAGES_SIZE, derived.folder(fx.spark)), order, 3, browse.PAGES_SIZE)
+
+
 NEAR = "on {0}.source_id = p.source_id and {0}.doc = p.doc and {0}.page_num = p.page_num"
 
 
@@ -584,6 +603,22 @@ def browse_items(fx):
     return rows.select("item_id", "source_id", "doc", "page_num", long("item_seq").alias("item_seq"), "qa_choice")
 
 
+@query(RECORDS + """, kept as (select item_id, source_id, case when source_id = 'src1' then 'again' else status end as status, answered, picked from records)
+select 'without' as run, item_id, source_id, status, null as qa_choice from kept union all select 'with', item_id, source_id, status, case when answered then picked end from kept""")
+def catalog_items(fx):
+    """The item table in the session's catalog, one source of it rebuilt, joined with the alignment before and after that table is there."""
+    spark, items_, answers_ = fx.spark, derived.table_name(), derived.table_name()
+    rows = stored_items(fx).select("item_id", "status", "source_id")
+    writers.rebuild_table(rows, items_, "source_id", derived.folder(spark))
+    writers.rebuild_table(rows.where("source_id = 'src1'").withColumn("status", F.lit("again")), items_, "source_id")
+    wanted = answer_rows(fx).select("item_id", "correct_choice", "answer_text", "answer_block")
+    shape = "item_id string, correct_choice string, answer_text string, answer_block string"
+    joined = lambda run: browse.with_answers(spark.table(items_), readers.table_or_empty(spark, answers_, shape)).select(F.lit(run).alias("run"), "item_id", "source_id", "status", "qa_choice")
+    before = joined("without")
+    writers.rebuild_table(wanted.withColumn("part", F.lit(0)), answers_, "part", derived.folder(spark))
+    return before.unionByName(joined("with"))
+
+
 @query(RECORDS + " select item_id, array_to_string(errors, '|') as errors, array_to_string(warnings, '|') as warnings from checked")
 def validate_items(fx):
     return release.validate(merged(fx)).select("item_id", piped("errors").alias("errors"), piped("warnings").alias("warnings"))
@@ -868,6 +903,20 @@ def manual_intake(fx):
     return collect.manual_intake(files, sources(fx))
 
 
+@query(SEED + ctes("payloads").replace("with ", ", ", 1) + PAYLOAD.replace("select doc_id, payload, octet_length", "select doc_id, concat(payload, chr(10)) as payload, 1 + octet_length") + """, taken as (select s.id as source_id, concat('manual-download:https://l.example.org/', s_suppkey, '#f_', doc_id, '.pdf') as url, sha256(payload) as sha256, cast(size as bigint) as size_bytes from typed join sources_seed s on s.id = concat('src-', doc_id % 30) where s.status in ('approved', 'conditional') and detected = 'pdf' and size >= 10000)
+select source_id, url, sha256, size_bytes, 'manual_intake' as status from taken""")
+def inbox_to_ledger(fx):
+    """Files put into an inbox, scanned, checked, digested and upserted into a ledger that knows an older state of some of them."""
+    root, n = derived.folder(fx.spark), F.col("doc_id")
+    files = fx["payloads"].select(F.concat(F.lit("src-"), n % 30).alias("folder"), F.concat(F.lit("f "), n, F.lit(".pdf")).alias("name"), F.col("payload").alias("value"))
+    files.repartition("folder", "name").write.option("maxRecordsPerFile", 1).partitionBy("folder", "name").text(f"{root}/inbox")
+    found = readers.inbox(fx.spark, f"{root}/inbox", pattern="part-*", layout=r"folder=([^/]+)/name=([^/]+)/[^/]+$").withColumn("name", F.try_url_decode("name"))
+    new = collect.manual_intake(found, sources(fx)).select("source_id", "url", "sha256", "size_bytes", "status")
+    old = new.where("size_bytes % 2 = 0").withColumns({"sha256": F.lit("before"), "status": F.lit("failed")})
+    ledger = state.merge(old.withColumn("batch", F.lit(0)), new.withColumn("batch", F.lit(1)), ["source_id", "url"])
+    return ledger.drop("batch")
+
+
 @query(SEED + ctes("payloads").replace("with ", ", ", 1) + PAYLOAD + " select s.id as source_id, concat('manual-download:https://l.example.org/', s_suppkey, '#', doc_id, '.pdf') as url, concat('data/raw/', s.id, '/', doc_id, '.pdf') as local_path, sha256(payload) as sha256, cast(size as bigint) as size_bytes, coalesce(usage_tag, 'DO_NOT_COLLECT') as usage_tag, detected = 'pdf' and size >= 10000 as ok from typed join sources_seed s on s.id = concat('src-', doc_id % 30) where doc_id % 8 <> 0")
 def orphan_adoption(fx):
     """Files of source folders; the ledger names an eighth of them, with the separators of another system."""

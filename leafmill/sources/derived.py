@@ -31,6 +31,11 @@ def folder(spark: SparkSession) -> str:
     return path
 
 
+def table_name() -> str:
+    """A name in the session's catalog that nothing has yet."""
+    return f"derived_{uuid.uuid4().hex}"
+
+
 def inputs(spark: SparkSession, source: str) -> str:
     """A digest of the paths, sizes and times of the files below `source`."""
     root = spark._jvm.org.apache.hadoop.fs.Path(source)

@@ -35,11 +35,21 @@ def with_text(plan: DataFrame, files: DataFrame) -> DataFrame:
     return plan.join(files.withColumnRenamed("text", "page_text"), "path", "left").withColumn("page_text", F.coalesce("page_text", F.lit("")))
 
 
-def inbox(spark: SparkSession, path: str) -> DataFrame:
-    """folder, name, content of the PDF files in an inbox of one folder for each source."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", "true").load(path)
-    parts = F.split("path", "/")
-    return files.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("name"), "content")
+#: Bytes from which a file's content is not read: it would not fit into one value.
+CONTENT_LIMIT = 1 << 30
+
+
+def inbox(spark: SparkSession, path: str, pattern: str = "*.[pP][dD][fF]", layout: str = r"([^/]+)/([^/]+)$", modified_after: str | None = None, limit: int = CONTENT_LIMIT) -> DataFrame:
+    """folder, name, content, bytes of the PDF files in an inbox of one folder for each source.
+
+    `layout` finds folder and name in a path; `modified_after` leaves out what was there before a moment.
+    Files beyond `limit` bytes are rows without content: their content is never read.
+    """
+    read = lambda: spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").options(**({"modifiedAfter": modified_after} if modified_after else {})).load(path)
+    small = read().where(F.col("length") <= limit).select("path", "content", F.col("length").alias("bytes"))
+    large = read().where(F.col("length") > limit).select("path", F.lit(None).cast("binary").alias("content"), F.col("length").alias("bytes"))
+    part = lambda n: F.regexp_extract("path", layout, n)
+    return small.unionByName(large).select(part(1).alias("folder"), part(2).alias("name"), "content", "bytes")
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:

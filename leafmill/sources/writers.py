@@ -30,6 +30,34 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def keyed_table(df: DataFrame, name: str, bucket: str, order: list[str], path: str, buckets: int = 64) -> DataFrame:
+    """`df` as the catalog table `name`, bucketed by one column and sorted by `order` in its files, for lookups by key.
+
+    A filter on the bucket column reads one bucket; the rest of the key prunes row groups.
+    """
+    df.repartition(buckets, bucket).write.mode("overwrite").option("path", path).bucketBy(buckets, bucket).sortBy(*order).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def rebuild_table(df: DataFrame, name: str, by: str, path: str | None = None) -> None:
+    """Put the rows of `df` into the catalog table `name`, partitioned by the column `by`, in place of the partitions that they fall into.
+
+    Other partitions stay as they are; the table is made where there is none.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        made = df.write.partitionBy(by)
+        (made.option("path", path) if path else made).saveAsTable(name)
+        return
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
 def csv_export(df: DataFrame, path: str, columns: list[str] | tuple[str, ...], order: list[str] | tuple[str, ...]) -> None:
     """CSV with a header, in ordered parts (one where the rows are few), also for no rows; arrays become JSON.
 

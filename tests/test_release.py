@@ -435,3 +435,64 @@ def test_ink_density_of_stacked_rasters(spark, monkeypatch):
         inner = [g[y * s + x] < 200 for y in range(int(h * 0.05), int(h * 0.95)) for x in range(int(w * 0.05), int(w * 0.95))]
         assert got[i] == pytest.approx(sum(inner) / len(inner) if inner else 0.0)
     assert got[90] is None and got[91] is None and got[92] == 0.0
+
+
+def test_seek_paging_equals_offset_paging(spark, tmp_path):
+    rows = [(s, d, n) for s in (None, "a", "b") for d in ("x", None, "y") for n in range(1, 9)]
+    df = spark.createDataFrame(rows, "source_id string, doc string, page_num int").repartition(5)
+    order = ["source_id", "doc", "page_num"]
+    index = browse.page_index(df, order, 10, str(tmp_path / "index"))
+    assert sorted(r.page for r in index.collect()) == list(range(1, 9))
+    after = None
+    for number in range(1, 9):
+        want = [tuple(r) for r in browse.page_of(df, order, number, 10).collect()]
+        assert [tuple(r) for r in browse.page_by_index(df, index, order, number, 10).collect()] == want
+        assert [tuple(r) for r in browse.seek(df, order, after, 10).collect()] == want
+        after = want[-1]
+    for number in (-3, 0, 99):
+        assert browse.page_by_index(df, index, order, number, 10).collect() == browse.page_of(df, order, number, 10).collect()
+    none = df.where("false")
+    assert browse.page_by_index(none, browse.page_index(none, order, 10, str(tmp_path / "none")), order, 1, 10).collect() == []
+
+
+def test_stored_tables_prune_buckets_and_push_keys(spark, tmp_path):
+    df = spark.createDataFrame([(f"s{i % 3}", f"d{i % 20}", i) for i in range(400)], "source_id string, doc string, page_num int")
+    table = writers.keyed_table(df, "kept_pages_test", "doc", ["source_id", "doc", "page_num"], str(tmp_path / "t"), buckets=16)
+    shown = {"spark.sql.maxMetadataStringLength": "2000", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}  # else files are pruned, but the plan does not say so
+    for k, v in shown.items():
+        spark.conf.set(k, v)
+    try:
+        found = table.where("source_id = 's1' and doc = 'd7' and page_num = 67")
+        plan = found._jdf.queryExecution().toString()
+        assert "SelectedBucketsCount: 1 out of 16" in plan
+        assert all(f"EqualTo({c})" in plan for c in ("source_id,s1", "doc,d7", "page_num,67"))
+        assert [tuple(r) for r in found.collect()] == [("s1", "d7", 67)]
+        plan = browse.seek(table.where("doc = 'd7'"), ["source_id", "page_num"], ("s1", 100), 5)._jdf.queryExecution().toString()
+        assert "TakeOrderedAndProject" in plan and "GreaterThan(source_id,s1)" in plan
+    finally:
+        for k in shown:
+            spark.conf.unset(k)
+        spark.sql("drop table kept_pages_test")
+
+
+def test_rebuilt_partitions_and_optional_tables(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, part string")
+    try:
+        writers.rebuild_table(rows((1, "a", "x"), (2, "b", "y")), "rebuilt_test", "part", str(tmp_path / "t"))
+        before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        writers.rebuild_table(rows((3, "c", "y"), (4, "d", "z")), "rebuilt_test", "part")
+        assert sorted(map(tuple, spark.table("rebuilt_test").collect())) == [(1, "a", "x"), (3, "c", "y"), (4, "d", "z")]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+        assert readers.table_or_empty(spark, "rebuilt_test", "k int").count() == 3 and readers.table_or_empty(spark, "not_there_test", "k int").count() == 0
+    finally:
+        spark.sql("drop table if exists rebuilt_test")
+
+
+def test_large_and_old_inbox_files(spark, tmp_path):
+    (tmp_path / "in/s").mkdir(parents=True)
+    for name, data in (("a.pdf", b"%PDF-1"), ("B.PDF", b"%PDF-" + b"x" * 100), ("c.txt", b"no")):
+        (tmp_path / "in/s" / name).write_bytes(data)
+    os.utime(tmp_path / "in/s/a.pdf", (1_000_000_000, 1_000_000_000))
+    got = {r.name: r for r in readers.inbox(spark, str(tmp_path / "in"), limit=50).collect()}
+    assert set(got) == {"a.pdf", "B.PDF"} and bytes(got["a.pdf"].content) == b"%PDF-1" and (got["B.PDF"].content, got["B.PDF"].bytes) == (None, 105)
+    assert [r.name for r in readers.inbox(spark, str(tmp_path / "in"), modified_after="2020-01-01T00:00:00").collect()] == ["B.PDF"]
