@@ -281,18 +281,21 @@ def pack(pieces_: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`pieces_` (doc_id, piece, length and others) with sequence_id and offset.
 
     The rows pass by once for the histogram and once for their places; no text
-    or ids are shuffled if the input holds none.
+    or ids are shuffled if the input holds none.  A column `_row` that numbers the
+    rows keeps repeated ones apart while they are ranked; it is left out.
     """
     histogram = {r[0]: r[1] for r in pieces_.groupBy("length").count().collect()}  # at most `capacity` rows
     rows = plan(histogram, capacity)
-    numbered = common.ranked(pieces_, ["length"], [], ["doc_id", "piece", "ids_crc32"], ["doc_id", "piece"], sum(histogram.values()), "rank")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces_.schema) + ", sequence_id long, offset long"
+    own = [c for c in ("_row",) if c in pieces_.columns]
+    numbered = common.ranked(pieces_, ["length"], [], ["doc_id", "piece", "ids_crc32", *own], ["doc_id", "piece", *own], sum(histogram.values()), "rank").drop(*own)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces_.schema if f.name not in own) + ", sequence_id long, offset long"
     return numbered.mapInArrow(lambda it: _places(it, rows), schema)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
     """Tokenize, cut and pack `docs`; one row per piece."""
-    return pack(common.materialize(pieces(docs, path, capacity, keep_ids), "pieces"), capacity)
+    rows = pieces(docs, path, capacity, keep_ids).withColumn("_row", F.monotonically_increasing_id())
+    return pack(common.materialize(rows, "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

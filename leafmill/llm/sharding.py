@@ -116,7 +116,7 @@ def even(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
     stay = seated.where(F.col("slot") < F.get(quotas, F.col("shard")))
     over = seated.where(F.col("slot") >= F.get(quotas, F.col("shard"))).drop("slot", "shard")
     excess = sum(max(0, load[s] - quota[s]) for s in range(shards))
-    moved = common.ranked(over, [], [], ["seed", "node"], ["seed"], excess, "turn")
+    moved = common.ranked(over, [], [], ["seed", "node"], ["seed", "node"], excess, "turn")
     shard, slot, start = F.lit(None).cast("int"), F.lit(None).cast("long"), 0
     for s in range(shards):
         short = max(0, quota[s] - load[s])
@@ -136,7 +136,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     ).withColumn("seed", F.xxhash64("doc_id", "hub", "size"))
     nodes = common.materialize(nodes, "nodes")  # node numbers join rows and decide nothing, once they are written
     placed = propagate(nodes, nodes.where("hub is not null").select("node", "hub"), shards, rounds)
-    # rows of a hub are ranked side by side, in as many buckets as they fill
-    keep = F.when(F.col("tied") > 1, F.xxhash64("hub", F.pmod("seed", F.ceil(F.col("tied") / common.RANK_BUCKET_ROWS).cast("long")))).otherwise(F.col("seed"))
+    # rows of a hub are ranked side by side where a bucket holds them; else, and without one, the row's own number keeps repeated rows apart
+    keep = F.when(F.col("tied").between(2, common.RANK_BUCKET_ROWS), F.xxhash64("hub")).otherwise(F.xxhash64("seed", "node"))
     out = even(placed.withColumn("keep_with", keep), shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.llm import language, packing, pii, segmentation, sharding, toxicity, url_filter
+from leafmill.llm import common, language, packing, pii, segmentation, sharding, toxicity, url_filter
 
 from .test_dedup import docs
 
@@ -463,3 +463,24 @@ def test_url_model_on_other_urls(spark):
     other = [("http://mega-casino.example.net/slots/free", "block"), ("https://blog.example.net/en/5512", "allow"), ("http://xxx-teen.example.net/adult", "block"), ("https://example.net/login", "block"), ("https://www.news.example.net/2020/01/economy", "allow"), ("http://ads-track.example.net/banner", "block"), ("https://essays.example.net/books/55", "allow"), ("http://sex-chat.example.net/live", "block")]
     got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame([(i, u) for i, (u, _) in enumerate(other)], "page_id long, url string")).collect()}
     assert [got[i] for i in range(len(other))] == [v for _, v in other]
+
+
+def test_repeated_rows_are_ranked_in_many_tasks(spark, monkeypatch):
+    """50,000 pieces of one id, place and length, and 50,000 rows of one id and text: every bucket of the ranking holds a share."""
+    monkeypatch.setattr(common, "RANK_BUCKET_ROWS", 2_000)
+    seen = []
+    real = common.ranked
+
+    def watched(df, keys, classes, order, spread, rows, out):
+        buckets = max(1, rows // common.RANK_BUCKET_ROWS)
+        if rows >= 50_000:
+            seen.append([r["count"] for r in df.groupBy(F.pmod(F.xxhash64(*spread, F.lit(7)), F.lit(buckets))).count().collect()])
+        return real(df, keys, classes, order, spread, rows, out)
+
+    monkeypatch.setattr(common, "ranked", watched)
+    same = spark.range(50_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one text").alias("text"))
+    packed = packing.pack_documents(same, keep_ids=False)
+    assert packed.count() == 50_000 and packed.select("sequence_id", "offset").distinct().count() == 50_000
+    placed = sharding.shard_documents(same)
+    assert placed.select("shard", "slot").distinct().count() == 50_000
+    assert len(seen) >= 2 and all(max(s) < 3 * sum(s) / 25 for s in seen)
