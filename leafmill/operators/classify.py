@@ -87,12 +87,12 @@ def classify(df: DataFrame) -> DataFrame:
     return df.withColumn("_d", decision()).withColumns({c: F.col(f"_d.{c}") for c in ("classification", "route", "reason")}).drop("_d")
 
 
-def reclassify(pages: DataFrame) -> DataFrame:
+def reclassify(pages: DataFrame, counted: bool = False) -> DataFrame:
     """Pages whose class or route changes under the present rules, with the new values; measurements are kept.
 
-    The page count is the number of stored rows of the document.
+    The page count is the number of stored rows of the document; `counted`: doc_page_count says it already.
     """
-    new = with_page_count(pages).withColumn("_d", decision())
+    new = (pages if counted else with_page_count(pages)).withColumn("_d", decision())
     changed = ~(F.col("_d.classification").eqNullSafe(F.col("classification")) & F.col("_d.route").eqNullSafe(F.col("route")))
     out = new.where(changed).withColumns({"old_classification": F.col("classification"), "old_route": F.col("route")})
     return out.withColumns({"classification": F.col("_d.classification"), "route": F.col("_d.route"), "reason": F.concat(F.lit("[reclassified] "), F.col("_d.reason"))}).drop("_d")

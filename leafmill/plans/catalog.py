@@ -116,7 +116,7 @@ STALE = "case when doc_id % 3 = 0 then 'content' else classification end"
 @query(CLASSIFIED + f" select {PAGE}, {STALE} as old_classification, 'image' as old_route, classification, route from classified where {STALE} <> classification or route <> 'image'")
 def reclassify(fx):
     stored = classified(fx).withColumns({"classification": F.when(F.col("doc_id") % 3 == 0, "content").otherwise(F.col("classification")), "route": F.lit("image")})
-    return classify.reclassify(stored).select("source_id", "doc", "page_num", "old_classification", "old_route", "classification", "route")
+    return classify.reclassify(stored, counted=True).select("source_id", "doc", "page_num", "old_classification", "old_route", "classification", "route")
 
 
 @query(ctes("pages_raw") + f" select {PAGE}, count(*) over (partition by source_id, doc) as doc_page_count from pages_raw")
@@ -279,11 +279,16 @@ def skip_reasons(fx):
 
 @query(ctes("exam_pages") + f" select {PAGE}, case when doc_id % 4 = 0 then '' else page_text end as page_text from exam_pages")
 def page_text_lookup(fx):
+    """Page texts written as files, one for each page but a quarter of them, and read back whole."""
+    root = derived.folder(fx.spark)
     pages = fx["exam_pages"].withColumn("path", F.concat_ws("/", "source_id", "doc", F.col("page_num").cast("string")))
-    files = pages.where("doc_id % 4 <> 0").select("path", F.col("page_text").alias("text"))
+    pages.where("doc_id % 4 <> 0").select(F.col("page_text").alias("value"), F.col("path").alias("page")).write.partitionBy("page").text(f"{root}/text")
+    files = readers.text_files(fx.spark, f"{root}/text", "part-*")
+    files = files.select(F.try_url_decode(F.regexp_extract("path", "/page=([^/]*)/[^/]*$", 1)).alias("path"), F.regexp_replace("text", "\\n$", "").alias("text"))  # the writer ends a value with a line end
     return readers.with_text(pages.drop("page_text"), files).select("source_id", "doc", "page_num", "page_text")
 
 
+# The line forms of pages and what answer pages say, as the oracles' engine spells them.
 _NOISE, _ARABIC, _ROMAN = r"^\s*[.\-_~=·]{4,}\s*$", r"^\s{0,8}(\d{1,3})[.),]\s+(\S.*)$", r"^\s{0,8}([IVX]{1,5})[.)]\s+(\S.*)$"
 _ALONE, _CHOICE, _BLANK = r"^\s{0,8}(\d{1,3})\s*[.)]?\s*$", r"^\s*\(?([A-E])[.)\]]\s+(\S.*)$", r"(?i)^\s*Ans\b"
 
@@ -381,6 +386,7 @@ def segmentation_report(fx):
 
 # --- answers and alignment ----------------------------------------------------
 
+# See above.
 _BEST, _CORRECT, _SAID = r"(?i)Choice\s+([A-D])\s+is\s+the\s+best\s+answer", r"(?i)correct\s+answer\s+is\s+(?:choice\s+)?([A-D])\b", r"(?i)correct\s+answer\s+is\s+([^\n.]{1,60})"
 _SECTION = r"(?i)(READING\s+AND\s+WRITING|MATH)\s*:\s*MODULE\s*(\d)"
 LABELLED = ctes("answer_pages") + f""", labelled as (select *, case when regexp_matches(substring(page_text, 1, 200), '{_SECTION}') then

@@ -43,31 +43,36 @@ def segment(text):
     return out
 
 
+# The form of a choice.
 CHOICE = r"\s*\(?([A-E])[.)\]]\s+(\S.*)"
 
 
 def align(labels, canon):
-    """Place in canon of each label, or None."""
-    hits, cursor = [], None
-    for i, x in enumerate(labels):
-        hit = None
-        if cursor is None:
-            ahead = labels[i + 1 : i + 4]
-            needed = min(2, sum(a in canon for a in ahead))
-            for j in (j for j, c in enumerate(canon) if c == x):
-                at, seen = j + 1, 0
-                for a in ahead:
-                    near = canon[at : at + 10]
-                    if a in near:
-                        seen += 1
-                        at += near.index(a) + 1
-                if seen >= needed:
-                    hit = j
-                    break
-        else:
-            near = canon[cursor : cursor + 10]
-            hit = cursor + near.index(x) if x in near else None
-        if hit is not None:
-            cursor = hit + 1
-        hits.append(hit)
-    return hits
+    """Place in canon of each label, or None: searches go through the places of a label, kept by label."""
+    places = {}
+    for place, label in enumerate(canon):
+        places.setdefault(label, []).append(place)
+
+    def soon(label, start):
+        """The first place of the label among the ten from `start`."""
+        return next((p for p in places.get(label, ()) if start <= p < start + 10), None)
+
+    def followers(place, coming):
+        """How many of the labels that come are found one after the other behind a place."""
+        count = 0
+        for label in coming:
+            found = soon(label, place + 1)
+            if found is not None:
+                place, count = found, count + 1
+        return count
+
+    matched = []
+    for i, label in enumerate(labels):
+        done = [p for p in matched if p is not None]
+        if done:
+            matched.append(soon(label, done[-1] + 1))
+            continue
+        coming = labels[i + 1 : i + 4]
+        enough = min(2, len([x for x in coming if x in places]))
+        matched.append(next((p for p in places.get(label, ()) if followers(p, coming) >= enough), None))
+    return matched
