@@ -51,24 +51,24 @@ def alnum_ratio(x: Column | str) -> Column:
 def fixed(x: Column | str, places: int) -> Column:
     """A double with so many places, rounded half to even by the binary value itself, as C and Python print it.
 
-    The fraction is taken apart as a whole number of 2^-62, which holds it exactly from 2^-10 on; what a smaller one
-    has below that only says that it is above a tie.  Magnitudes from 2^63 on are null.
+    The scaled value can lie on a tie only if its rounded product does; there the product's error, which is exact
+    for a factor of few bits, tells on which side the value is.  From 2^52 / 10^places on there is nothing to round
+    but by Java's own format.
     """
-    v = F.abs(col(x))
-    whole = F.floor(v)
-    scaled = (v - whole) * float(1 << 62)
-    n = scaled.cast("long")
-    product = n.cast("decimal(19,0)") * F.lit(10**places).cast("decimal(10,0)")
-    one = F.lit(1 << 62).cast("decimal(19,0)")
-    rest = product % one
-    quotient = ((product - rest) / one).cast("long")
-    twice = rest * 2
-    odd = ((quotient if places else whole) % 2) == 1
-    up = (twice > one) | ((twice == one) & (odd | (scaled > n)))
-    last = quotient + up.cast("long")
-    carried = last >= 10**places
-    head = (whole + carried.cast("long")).cast("string")
-    tail = F.lpad(F.when(carried, F.lit(0)).otherwise(last).cast("string"), places, "0")
-    text = F.concat(head, F.lit("."), tail) if places else head
-    sign = F.when((col(x) < 0) | F.startswith(col(x).cast("string"), F.lit("-")), "-").otherwise("")
-    return F.when(F.isnan(col(x)), "nan").when(v == float("inf"), F.concat(sign, F.lit("inf"))).when(v < float(1 << 63), F.concat(sign, text))
+    factor = float(10**places)
+
+    def one(v: Column) -> Column:  # within a lambda, so that the value is computed once and the code stays small
+        size = F.abs(v)
+        product = size * factor
+        below = F.floor(product)
+        tie = (product - below) == 0.5
+        high = size * 134217729.0 - (size * 134217729.0 - size)
+        error = (high * factor - product) + (size - high) * factor
+        up = (tie & (error > 0)) | (tie & (error == 0) & (below % 2 == 1)) | ((product - below) > 0.5)
+        whole = (below + up.cast("long")).cast("string")
+        digits = F.lpad(whole, F.greatest(F.length(whole), F.lit(places + 1)), F.lit("0"))
+        text = F.concat(F.substring(digits, F.lit(1), F.length(digits) - places), F.lit("."), F.substring(digits, F.length(digits) - places + 1, F.lit(places))) if places else whole
+        sign = F.when(v.cast("string").startswith("-"), "-").otherwise("")
+        return F.when(F.isnan(v), "nan").when(size == float("inf"), F.concat(sign, F.lit("inf"))).when(product < float(1 << 52), F.concat(sign, text)).otherwise(F.format_string(f"%.{places}f", v))
+
+    return F.get(F.transform(F.array(col(x).cast("double")), one), F.lit(0))

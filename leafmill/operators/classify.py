@@ -20,6 +20,9 @@ ANSWER_HEADS = (r"answer\s+key", r"answer\s+explanations?", r"scoring\s+your")
 INDEX_HEADS = (r"table\s+of\s+contents", r"^\s*contents\s*$", r"^\s*index\s*$")
 
 
+PRINTED = ("_alnum2", "_ink3", "_ink4")
+
+
 def _says(x: Column, pattern: str) -> Column:
     # (?d): only \n ends a line, as the patterns' authors meant it
     return x.rlike("(?iumdU)" + pattern.replace(r"\s", t.SPACE))
@@ -43,7 +46,7 @@ def orientation(width: Column, height: Column) -> Column:
 def _routed(kind: str, why: Column) -> Column:
     chars, alnum = F.col("text_chars"), F.col("alnum_ratio")
     usable = (chars >= ROUTE_CHARS) & (alnum >= ROUTE_ALNUM)
-    number, ratio = chars.cast("string"), t.fixed(alnum, 2)
+    number, ratio = chars.cast("string"), F.col("_alnum2")
     detail = (
         F.when(usable, F.concat(F.lit("text layer usable ("), number, F.lit(" chars, alnum "), ratio, F.lit(")")))
         .when(chars < ROUTE_CHARS, F.concat(F.lit("text layer too thin ("), number, F.lit(f" chars < {ROUTE_CHARS}) -> image/OCR path")))
@@ -56,12 +59,17 @@ def _skipped(kind: str, why: Column) -> Column:
     return F.struct(F.lit(kind).alias("classification"), F.lit("skip").alias("route"), why.alias("reason"))
 
 
+def printed(df: DataFrame) -> DataFrame:
+    """`df` with the ratios as reasons print them, each formatted once."""
+    return df.withColumns({"_alnum2": t.fixed("alnum_ratio", 2), "_ink3": t.fixed("ink_ratio", 3), "_ink4": t.fixed("ink_ratio", 4)})
+
+
 def decision() -> Column:
-    """struct<classification, route, reason> from page_num, doc_page_count, text_chars, word_count, alnum_ratio, ink_ratio, head_text; the first rule that holds decides."""
+    """struct<classification, route, reason> from page_num, doc_page_count, text_chars, word_count, alnum_ratio, ink_ratio, head_text and what `printed` adds; the first rule that holds decides."""
     chars, ink = F.col("text_chars"), F.col("ink_ratio")
     number = chars.cast("string")
     head = F.substring(F.col("head_text"), 1, HEAD_CHARS)
-    out = F.when((chars <= BLANK_CHARS) & (ink <= BLANK_INK), _skipped("blank", F.concat(F.lit("no text ("), number, F.lit(" chars) and no ink ("), t.fixed(ink, 4), F.lit(f" <= {BLANK_INK})"))))
+    out = F.when((chars <= BLANK_CHARS) & (ink <= BLANK_INK), _skipped("blank", F.concat(F.lit("no text ("), number, F.lit(" chars) and no ink ("), F.col("_ink4"), F.lit(f" <= {BLANK_INK})"))))
     for p in ANSWER_HEADS:
         out = out.when(_says(head, p), _routed("answer_key", F.lit(f"header matches answer pattern /{p}/")))
     out = out.when(_says(F.substring(head, 1, HEADING_CHARS), r"^\s*answers\s*$"), _routed("answer_key", F.lit("standalone ANSWERS heading at page top")))
@@ -71,9 +79,9 @@ def decision() -> Column:
     cover = F.concat(F.lit("page "), F.col("page_num").cast("string"), F.lit(" of "), F.col("doc_page_count").cast("string"), F.lit(" with sparse text ("), number, F.lit(f" chars < {COVER_CHARS})"))
     out = out.when((F.col("page_num") <= COVER_PAGE) & (chars < COVER_CHARS), _skipped("cover", cover))
     out = out.when(chars >= SPARSE_CHARS, _routed("content", F.concat(F.lit("substantial text ("), number, F.lit(" chars)"))))
-    graphic = F.concat(F.lit("little text ("), number, F.lit(" chars) but real ink ("), t.fixed(ink, 3), F.lit(") suggests scanned/graphic content"))
+    graphic = F.concat(F.lit("little text ("), number, F.lit(" chars) but real ink ("), F.col("_ink3"), F.lit(") suggests scanned/graphic content"))
     out = out.when(ink >= SPARSE_INK, _routed("content", graphic))
-    return out.otherwise(_skipped("blank", F.concat(F.lit("near-blank divider: "), number, F.lit(" chars, ink "), t.fixed(ink, 4))))
+    return out.otherwise(_skipped("blank", F.concat(F.lit("near-blank divider: "), number, F.lit(" chars, ink "), F.col("_ink4"))))
 
 
 def with_page_count(pages: DataFrame) -> DataFrame:
@@ -84,7 +92,7 @@ def with_page_count(pages: DataFrame) -> DataFrame:
 
 def classify(df: DataFrame) -> DataFrame:
     """`df` (measured pages) with classification, route and reason."""
-    return df.withColumn("_d", decision()).withColumns({c: F.col(f"_d.{c}") for c in ("classification", "route", "reason")}).drop("_d")
+    return printed(df).withColumn("_d", decision()).withColumns({c: F.col(f"_d.{c}") for c in ("classification", "route", "reason")}).drop("_d", *PRINTED)
 
 
 def reclassify(pages: DataFrame, counted: bool = False) -> DataFrame:
@@ -92,7 +100,7 @@ def reclassify(pages: DataFrame, counted: bool = False) -> DataFrame:
 
     The page count is the number of stored rows of the document; `counted`: doc_page_count says it already.
     """
-    new = (pages if counted else with_page_count(pages)).withColumn("_d", decision())
+    new = printed(pages if counted else with_page_count(pages)).withColumn("_d", decision())
     changed = ~(F.col("_d.classification").eqNullSafe(F.col("classification")) & F.col("_d.route").eqNullSafe(F.col("route")))
     out = new.where(changed).withColumns({"old_classification": F.col("classification"), "old_route": F.col("route")})
-    return out.withColumns({"classification": F.col("_d.classification"), "route": F.col("_d.route"), "reason": F.concat(F.lit("[reclassified] "), F.col("_d.reason"))}).drop("_d")
+    return out.withColumns({"classification": F.col("_d.classification"), "route": F.col("_d.route"), "reason": F.concat(F.lit("[reclassified] "), F.col("_d.reason"))}).drop("_d", *PRINTED)
