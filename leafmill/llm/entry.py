@@ -22,7 +22,7 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segmentation.sample(common.documents(spark, sf_dir), keep_ids=False)
+    return segmentation.sample(common.documents(spark, sf_dir), packed=True)
 
 
 def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -492,7 +492,7 @@ def sample_texts(pieces: Pieces, texts: list[str | None], keys: list[int], k: in
 _SCHEMA = "doc_id long, sample int, n_ids long, ids_crc32 long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
 
 
-def _sample(batches: Iterator[pa.RecordBatch], path: str, k: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+def _sample(batches: Iterator[pa.RecordBatch], path: str, k: int, ids_as: pa.DataType | None) -> Iterator[pa.RecordBatch]:
     pieces = load(path)
     for batch in batches:
         texts = batch.column("text").to_pylist()
@@ -504,20 +504,24 @@ def _sample(batches: Iterator[pa.RecordBatch], path: str, k: int, keep_ids: bool
                 view = (SPACE + text.replace(" ", SPACE)).encode("utf-8", "surrogatepass") if text else b""
                 for s, (ids, log_p, value, inclusion) in enumerate(found):
                     data = ids.astype("<u4")
-                    for col, v in zip(cols, (s, len(ids), zlib.crc32(data.tobytes()), log_p, value, inclusion, spelled_bytes(pieces, ids) == view, data.astype(np.int32) if keep_ids else None), strict=True):
+                    for col, v in zip(cols, (s, len(ids), zlib.crc32(data.tobytes()), log_p, value, inclusion, spelled_bytes(pieces, ids) == view, None if ids_as is None else data.tobytes() if ids_as == pa.binary() else data.astype(np.int32)), strict=True):
                         col.append(v)
                     rows.append(at + i)
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.int32())]
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), ids_as or pa.null()]
             arrays = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
             names = [c.split()[0] for c in _SCHEMA.split(", ")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int32())), *arrays[: 8 if keep_ids else 7]], [*names, "ids"] if keep_ids else names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int32())), *arrays[: 7 if ids_as is None else 8]], names if ids_as is None else [*names, "ids"])
 
 
-def sample(docs: DataFrame, k: int = SAMPLES, path: str | None = None, keep_ids: bool = True) -> DataFrame:
-    """Sampled segmentations of `docs` (doc_id, text): one row for each sample, seeded by doc_id."""
+def sample(docs: DataFrame, k: int = SAMPLES, path: str | None = None, keep_ids: bool = True, packed: bool = False) -> DataFrame:
+    """Sampled segmentations of `docs` (doc_id, text): one row for each sample, seeded by doc_id.
+
+    `ids` is an array, or, `packed`, little-endian unsigned 32-bit integers in one binary value.
+    """
     path = path or model_file()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("string")).alias("key"))
-    return rows.mapInArrow(lambda it: _sample(it, path, k, keep_ids), _SCHEMA + ", ids array<int>" * keep_ids)
+    ids_as = (pa.binary() if packed else pa.list_(pa.int32())) if keep_ids else None
+    return rows.mapInArrow(lambda it: _sample(it, path, k, ids_as), _SCHEMA + (", ids binary" if packed else ", ids array<int>") * keep_ids)
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:

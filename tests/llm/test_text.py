@@ -244,6 +244,8 @@ def test_sampling_rows(spark):
     assert len({tuple(r.ids) for r in by[7]}) == 3
     assert sorted(tuple(r.ids) for r in by[4])[::2] == sorted(tuple(r.ids) for r in by[4])[1::2]
     again = segmentation.sample(docs(spark, ODD).repartition(3), 3, keep_ids=False).collect()
+    packed = {(r.doc_id, r["sample"]): np.frombuffer(r.ids, "<u4").tolist() for r in segmentation.sample(docs(spark, ODD), 3, packed=True).collect()}
+    assert packed == {(r.doc_id, r["sample"]): r.ids for r in got}
     assert collections.Counter((r.doc_id, r.sample, r.ids_crc32) for r in again) == collections.Counter((r.doc_id, r.sample, r.ids_crc32) for r in got)
     assert segmentation.sample(docs(spark, [])).count() == 0
 
