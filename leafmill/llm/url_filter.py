@@ -75,8 +75,12 @@ def path(url: Column) -> Column:
 def features(host_: Column, path_: Column) -> Column:
     """Distinct hashed n-grams of host and path, each marked at its ends."""
     text = F.concat(F.lit("^"), host_, F.lit("|"), F.lower(path_), F.lit("$"))
-    grams = [F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i, n=n: F.pmod(F.hash(F.substr(text, i, F.lit(n))), F.lit(BUCKETS)))).otherwise(F.array().cast("array<int>")) for n in GRAMS]
-    return F.array_distinct(F.concat(*grams))
+
+    def grams(n: int) -> Column:  # a lambda of two parameters would get the place as its second
+        hashed = F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.pmod(F.hash(F.substr(text, i, F.lit(n))), F.lit(BUCKETS)))
+        return F.when(F.length(text) >= n, hashed).otherwise(F.array().cast("array<int>"))
+
+    return F.array_distinct(F.concat(*[grams(n) for n in GRAMS]))
 
 
 class Model:

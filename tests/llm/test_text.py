@@ -486,3 +486,25 @@ def test_repeated_rows_are_ranked_in_many_tasks(spark, monkeypatch):
     placed = sharding.shard_documents(same)
     assert placed.select("shard", "slot").distinct().count() == 50_000
     assert len(seen) >= 2 and all(max(s) < 3 * sum(s) / 25 for s in seen)
+
+
+def test_url_weights_follow_a_second_regression(spark):
+    """Logistic regression by gradient steps on the weights themselves, over n-grams cut in Python, against the fit in SQL on coefficients of rows."""
+    table = url_filter.LABELLED[::3]
+    rows = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(table)], "k int, url string")
+    parts = {r.k: (r.h, r.p) for r in rows.select("k", url_filter.host(F.col("url")).alias("h"), url_filter.path(F.col("url")).alias("p")).collect()}
+    grams = {k: {t[i : i + n] for n in url_filter.GRAMS for i in range(len(t) - n + 1)} for k, (h, p) in parts.items() for t in (f"^{h}|{p.lower()}$",)}
+    every = sorted(set().union(*grams.values()))
+    bucket = {r.g: r.b for r in spark.createDataFrame([(g,) for g in every], "g string").select("g", F.pmod(F.hash("g"), F.lit(url_filter.BUCKETS)).alias("b")).collect()}
+    x = np.zeros((len(table), url_filter.BUCKETS))
+    for k, found in grams.items():
+        x[k, sorted({bucket[g] for g in found})] = 1
+    x /= np.sqrt(x.sum(axis=1, keepdims=True))
+    y, w, b = np.array([v for _, v in table], float), np.zeros(url_filter.BUCKETS), 0.0
+    for _ in range(url_filter.STEPS):
+        rest = y - 1 / (1 + np.exp(-(x @ w + b)))
+        w, b = w * (1 - url_filter.RATE * url_filter.DECAY) + url_filter.RATE * (x.T @ rest), b + url_filter.RATE * rest.mean()
+    model = url_filter.train(spark, table)
+    assert model.intercept == pytest.approx(b, rel=1e-6, abs=1e-9)
+    assert np.allclose(model.weights, w, rtol=1e-6, atol=1e-9) and np.abs(w).max() > 0.1
+    assert ((x @ w + b > 0) == (y == 1)).mean() > 0.95
