@@ -160,7 +160,12 @@ def sums(df: DataFrame, vector: str, of: Callable[[int, np.ndarray], tuple[np.nd
     while tasks > 1:
         held = held.groupBy("d", F.floor(F.col("part") / FAN)).applyInArrow(meet, SUMS)
         tasks = -(-tasks // FAN)
-    return {r["d"]: (r["n"], np.array(r["high"]), np.array(r["low"])) for r in held.collect()}  # a row for each length
+    out: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
+    for r in held.orderBy("d", "part").collect():  # a row for each length
+        part = np.array(r["high"]), np.array(r["low"])
+        n, *before = out.get(r["d"], (0, np.zeros_like(part[0]), np.zeros_like(part[0])))
+        out[r["d"]] = (n + r["n"], *add((before[0], before[1]), part))
+    return out
 
 
 # --- the model --------------------------------------------------------------------

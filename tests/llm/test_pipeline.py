@@ -54,6 +54,15 @@ def test_one_row_of_a_repeated_id(spark, folder):
     assert sorted([(r.doc_id or 0, r.text) for r in got]) == [(0, "x y"), (0, "x y"), (1, " ".join(long)), (3, "some words")]
 
 
+def test_ties_and_very_long_texts_of_a_repeated_id(spark, folder):
+    """Of texts of equal length the first stays; a very long text is compared whole."""
+    huge = " ".join(f"w{i}" for i in range(120_000))
+    rows = [(4, "seven words that tie with the others a"), (4, "seven words that tie with the others b"), (6, huge), (7, huge[: -len(" w119999")]), (8, " ".join(huge.split()[::-1]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, folder).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([rows[0], rows[2], rows[4]])
+
+
 def test_texts_in_another_language_than_filed_go(spark, folder):
     rng = random.Random(3)
     text = lambda lang: " ".join(rng.choices(SAMPLES[lang].split(), k=80))
@@ -77,7 +86,7 @@ def test_empty_input(spark, folder, tmp_path):
 
 def test_queries_return_their_columns(spark, folder):
     known = entry.queries()
-    assert len(known) == 10 and all(k.startswith("op") for k in known)
+    assert len(known) == 13 and all(k.startswith("op") for k in known)
     got = known["op6_toxicity"](spark, folder)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
     assert {r.doc_id: r.held_out for r in got.where(F.col("doc_id") < 50).collect()} == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}

@@ -395,6 +395,8 @@ def test_shards(spark):
     assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
     assert len({r.shard for r in got if r.text_crc32 == zlib.crc32(b"alpha")}) == 1
     assert sharding.shard_documents(docs(spark, [])).count() == 0
+    long = sharding.shard_documents(docs(spark, [(1, "long ö" * 500_000), (2, "a"), (3, "long ö" * 500_000)])).collect()
+    assert sorted(r.size for r in long) == [2, 3_500_001, 3_500_001] and len({(r.shard, r.slot) for r in long}) == 3
     few = sharding.shard_documents(docs(spark, [(1, "a"), (2, "a")])).collect()
     assert sorted(r.slot for r in few) == [0, 0]
 
