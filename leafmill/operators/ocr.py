@@ -33,8 +33,16 @@ def quality(words: Column, conf: Column) -> Column:
     return F.when(words == 0, "empty").when(conf >= GOOD, "good").when(conf >= FAIR, "fair").otherwise("review")
 
 
+#: Confidences of at most this many places are added up exactly, so a mean on the edge of a rounding does not depend on the order of the rows.
+EXACT = "decimal(18,9)"
+
+
 def page_confidence(words: DataFrame, keys: list[str]) -> DataFrame:
     """Word rows (level, conf, word) to one row for each key: word_count, mean_conf (1 place) and quality_flag."""
     use = counted(F.col("level"), F.col("conf"), F.col("word"))
-    out = words.groupBy(*keys).agg(F.count_if(use).alias("word_count"), F.coalesce(F.avg(F.when(use, F.col("conf"))), F.lit(0.0)).alias("_mean"))
-    return out.select(*keys, "word_count", F.round("_mean", 1).alias("mean_conf"), quality(F.col("word_count"), F.col("_mean")).alias("quality_flag"))
+    conf = F.when(use, F.col("conf"))
+    exact = conf.try_cast(EXACT)
+    sums = F.count_if(use).alias("word_count"), F.sum(exact).alias("_sum"), F.count_if(use & ~F.coalesce(exact.cast("double") == conf, F.lit(False))).alias("_odd"), F.coalesce(F.avg(conf), F.lit(0.0)).alias("_avg")
+    out = words.groupBy(*keys).agg(*sums).withColumn("_mean", F.when((F.col("word_count") > 0) & (F.col("_odd") == 0), F.col("_sum") / F.col("word_count")))
+    mean_conf = F.coalesce(F.round("_mean", 1).cast("double"), F.round("_avg", 1)).alias("mean_conf")
+    return out.select(*keys, "word_count", mean_conf, quality(F.col("word_count"), F.coalesce(F.col("_mean").cast("double"), F.col("_avg"))).alias("quality_flag"))

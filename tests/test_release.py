@@ -266,6 +266,14 @@ def test_tsv(spark):
     assert [g[0] for g in grades] == ["good", "fair", "review", "empty"]
 
 
+def test_means_on_the_edge_of_a_rounding(spark):
+    words = [96.85, 16.74, 52.0, 5.01, 3.65]  # 34.85, and 34.849999999999994 if added up in this order
+    rows = [(page, 5, c, "w") for page, some in ((1, words), (2, words[::-1]), (3, [1 / 3, 2 / 3]), (4, [80.1, 79.9, 80.0])) for c in some] + [(5, 5, -1.0, "w")]
+    df = spark.createDataFrame(rows, "page int, level int, conf double, word string").coalesce(1)
+    got = {r.page: (r.word_count, r.mean_conf, r.quality_flag) for r in ocr.page_confidence(df, ["page"]).collect()}
+    assert got == {1: (5, 34.9, "review"), 2: (5, 34.9, "review"), 3: (2, 0.5, "review"), 4: (3, 80.0, "good"), 5: (0, 0.0, "empty")}
+
+
 def test_state(spark):
     old = spark.createDataFrame([("a", 1, "x", 0), ("b", 1, "y", 0)], "k string, j int, v string, batch int")
     new = spark.createDataFrame([("b", 1, "z", 1), ("c", 2, "w", 1)], "k string, j int, v string, batch int")
