@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import writers
+
 EVIDENCE = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "note", "retrieved")])
 COLLECTION = T.StructType([T.StructField("method", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("item_id", T.StringType()), T.StructField("page_url", T.StringType()), T.StructField("owner_signoff", T.StringType())])
 SOURCE = T.StructType([
@@ -24,10 +27,31 @@ def seed_sources(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEED).json(path, multiLine=True).select("vetting_date", F.explode("sources").alias("s")).select("s.*", "vetting_date")
 
 
+PACKED_SCHEMA = "path string, content binary, length long, modificationTime timestamp"
+
+
+def packed(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """path (below `root`), content, length, modificationTime of the files that `writers.pack` put there; no rows where there are none."""
+    folder = f"{root.rstrip('/')}/{writers.PACKED}"
+    if not writers.exists(spark, folder):
+        return spark.sql("select '' as path, cast('' as binary) as content, 0L as length, current_timestamp() as modificationTime where false")
+    name = fnmatch.translate(pattern).removesuffix(r"\Z").removesuffix(r"\z")
+    rows = spark.read.schema(PACKED_SCHEMA).parquet(folder)
+    return rows if pattern == "*" else rows.where(F.substring_index("path", "/", -1).rlike(f"^{name}$"))
+
+
+def files(spark: SparkSession, root: str, pattern: str = "*", modified_after: str | None = None) -> DataFrame:
+    """path, content, length, modificationTime of the files below `root`, loose and packed; only the columns that are used are read."""
+    loose = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").options(**({"modifiedAfter": modified_after} if modified_after else {})).load(root)
+    rows = packed(spark, root, pattern).withColumn("path", F.concat(F.lit(f"{root.rstrip('/')}/"), "path"))
+    if modified_after:
+        rows = rows.where(F.col("modificationTime") > F.lit(modified_after).cast("timestamp"))
+    return loose.select("path", "content", "length", "modificationTime").unionByName(rows)
+
+
 def text_files(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """path, text of whole files; bytes that are no UTF-8 become U+FFFD."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+    """path, text of whole files, loose or packed; bytes that are no UTF-8 become U+FFFD."""
+    return files(spark, path, pattern).select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def with_text(plan: DataFrame, files: DataFrame) -> DataFrame:
@@ -40,12 +64,12 @@ CONTENT_LIMIT = 1 << 30
 
 
 def inbox(spark: SparkSession, path: str, pattern: str = "*.[pP][dD][fF]", layout: str = r"([^/]+)/([^/]+)$", modified_after: str | None = None, limit: int = CONTENT_LIMIT) -> DataFrame:
-    """folder, name, content, bytes of the PDF files in an inbox of one folder for each source.
+    """folder, name, content, bytes of the PDF files, loose or packed, in an inbox of one folder for each source.
 
     `layout` finds folder and name in a path; `modified_after` leaves out what was there before a moment.
     Files beyond `limit` bytes are rows without content: their content is never read.
     """
-    read = lambda: spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").options(**({"modifiedAfter": modified_after} if modified_after else {})).load(path)
+    read = lambda: files(spark, path, pattern, modified_after)
     small = read().where(F.col("length") <= limit).select("path", "content", F.col("length").alias("bytes"))
     large = read().where(F.col("length") > limit).select("path", F.lit(None).cast("binary").alias("content"), F.col("length").alias("bytes"))
     part = lambda n: F.regexp_extract("path", layout, n)
@@ -53,10 +77,11 @@ def inbox(spark: SparkSession, path: str, pattern: str = "*.[pP][dD][fF]", layou
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """path (below `root`), bytes, modified of every file that is not empty, from a listing in tasks; no content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """path (below `root`), bytes, modified of every packed file and of every loose one that is not empty, from a listing in tasks; no content is read."""
+    loose = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     name = root.rstrip("/").rsplit("/", 1)[-1]
-    return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    found = loose.withColumn("path", F.substring_index("path", f"/{name}/", -1)).drop("content").unionByName(packed(spark, root).drop("content"))
+    return found.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:

@@ -30,6 +30,20 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+#: Folder below a root that holds files as rows; readers of loose files pass over its name.
+PACKED = "_packed"
+
+
+def pack(files: DataFrame, root: str) -> None:
+    """Put `files` (path below `root`, content) there as rows of Parquet, which `readers` find like loose files.
+
+    A file of its own costs a folder entry, a rename and a place in the driver's listing whatever it holds;
+    small files by the million are too much for all three.
+    """
+    rows = files.select("path", F.col("content").cast("binary").alias("content"))
+    rows.withColumns({"length": F.octet_length("content").cast("long"), "modificationTime": F.current_timestamp()}).write.mode("append").parquet(f"{root}/{PACKED}")
+
+
 def keyed_table(df: DataFrame, name: str, bucket: str, order: list[str], path: str, buckets: int = 64) -> DataFrame:
     """`df` as the catalog table `name`, bucketed by one column and sorted by `order` in its files, for lookups by key.
 
@@ -251,6 +265,11 @@ def text_file(spark: SparkSession, folder: str, name: str, text: str) -> dict:
     return {"path": name, "bytes": len(data), "sha256": hashlib.sha256(data).hexdigest()}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _path(spark, path)
+    return fs.exists(target)
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names of what lies in a folder; none where there is no folder."""
     target, fs = _path(spark, folder)

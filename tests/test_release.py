@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.operators import browse, collect, ocr, release, state
-from leafmill.sources import readers, writers
+from leafmill.plans import catalog
+from leafmill.sources import derived, readers, writers
 from leafmill.streaming import ingest
 
 RECORD = {
@@ -504,3 +505,25 @@ def test_large_and_old_inbox_files(spark, tmp_path):
     got = {r.name: r for r in readers.inbox(spark, str(tmp_path / "in"), limit=50).collect()}
     assert set(got) == {"a.pdf", "B.PDF"} and bytes(got["a.pdf"].content) == b"%PDF-1" and (got["B.PDF"].content, got["B.PDF"].bytes) == (None, 105)
     assert [r.name for r in readers.inbox(spark, str(tmp_path / "in"), modified_after="2020-01-01T00:00:00").collect()] == ["B.PDF"]
+
+
+def test_packed_files_beside_loose_ones(spark, tmp_path):
+    root = str(tmp_path / "in")
+    (tmp_path / "in/s").mkdir(parents=True)
+    (tmp_path / "in/s/loose.pdf").write_bytes(b"%PDF-1")
+    writers.pack(spark.createDataFrame([("s/packed.PDF", bytearray(b"%PDF-22")), ("s/note.txt", bytearray(b"caf\xe9")), ("t/empty.txt", bytearray(b""))], "path string, content binary"), root)
+    assert {(r.folder, r.name, bytes(r.content), r.bytes) for r in readers.inbox(spark, root).collect()} == {("s", "loose.pdf", b"%PDF-1", 6), ("s", "packed.PDF", b"%PDF-22", 7)}
+    assert {r.name: r.content is None for r in readers.inbox(spark, root, limit=6).collect()} == {"loose.pdf": False, "packed.PDF": True}
+    assert readers.inbox(spark, root, modified_after="2999-01-01T00:00:00").count() == 0
+    assert {(r.path.rsplit("/in/", 1)[1], r.text) for r in readers.text_files(spark, root).collect()} == {("s/note.txt", "caf\ufffd"), ("t/empty.txt", "")}
+    assert sorted((r.path, r.bytes) for r in readers.listing(spark, root).collect()) == [("s/loose.pdf", 6), ("s/note.txt", 4), ("s/packed.PDF", 7), ("t/empty.txt", 0)]
+
+
+@pytest.mark.parametrize("name", ["inbox_to_ledger"])
+def test_small_files_are_not_written_one_by_one(spark, tmp_path, monkeypatch, name):
+    sf, made = "/root/testdata/sf0.001", str(tmp_path / "made")
+    if not os.path.isdir(sf):
+        pytest.skip("no tables")
+    monkeypatch.setattr(derived, "folder", lambda _: made)
+    assert catalog.QUERIES[name](spark, sf).count() > 0
+    assert sum(f.startswith("part-") for _, _, found in os.walk(made) for f in found) <= 2 * spark.sparkContext.defaultParallelism
