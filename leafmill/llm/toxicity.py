@@ -6,14 +6,15 @@ Besides a weight for each term the machine learns a short vector for each, and
 the product of two vectors weighs the pair: an insult next to the mention of a
 group counts for more than their sum, which weights alone cannot say.
 
-Training is Adam in numpy on a bounded sample of labelled rows (`TRAIN_ROWS`).
+Training is Adam in numpy on a bounded sample of labelled rows (`TRAIN_ROWS`), in
+one task: the driver's memory holds the model alone.
 All terms of the sample take part, each under its own shrinkage: a term's value
 in a text is e^4 / (e^4 + EVIDENCE^4), where e is how many standard errors its
 share differs between toxic and clean rows, or, if that is more, how many a
 pair that it belongs to differs from what its two terms say (pairs of the
 `PAIR_TERMS` terms that vary most, with `PAIR_EVIDENCE` for EVIDENCE).  So words
 met by chance are not learned by heart, terms that matter only in company are
-kept, and no pair of words needs to be listed.  Texts reach the driver as sets
+kept, and no pair of words needs to be listed.  Texts reach that task as sets
 of hashes, never as text.
 
 Edge cases.  Null, empty and letterless texts have no term and get the
@@ -24,6 +25,7 @@ ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -171,6 +173,22 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([terms(t) for t in batch.column("text").to_pylist()], pa.list_(pa.int32())), batch.column("toxic")], ["terms", "toxic"])
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The machine fitted to all rows, pickled; no row where no text has a term."""
+    texts, y = [], [np.empty(0)]
+    for batch in batches:
+        column = batch.column("terms")
+        values, cuts = column.values.to_numpy(), column.offsets.to_numpy()
+        texts += [values[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        y.append(batch.column("toxic").to_numpy().astype(float))
+    if not sum(map(len, texts)):
+        return
+    y = np.concatenate(y)
+    order = sorted(range(len(texts)), key=lambda i: (y[i], texts[i].tobytes()))  # the rows' order is not Spark's
+    model = Machine(1 << BITS).fit([texts[i] for i in order], y[order])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine | None:
     """Fit on at most `rows` labelled rows that are not held out; None if there are none.
 
@@ -178,13 +196,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     """
     sample = common.bounded_sample(labels.where("toxic is not null and doc_id is not null").where(~common.held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")), rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    found = texts.select("text", "toxic").mapInArrow(_terms, "terms array<int>, toxic int").toPandas()
-    texts, y = [np.array(t, np.int32) for t in found["terms"]], found["toxic"].to_numpy(float)
-    del found
-    if not sum(map(len, texts)):
-        return None
-    order = sorted(range(len(texts)), key=lambda i: (y[i], texts[i].tobytes()))  # the rows' order is not Spark's
-    return Machine(1 << BITS).fit([texts[i] for i in order], y[order])
+    terms_ = texts.select("text", "toxic").mapInArrow(_terms, "terms array<int>, toxic int")
+    fitted = terms_.repartition(1).mapInArrow(_fit, "model binary").collect()  # one model or none
+    return pickle.loads(fitted[0]["model"]) if fitted else None
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Machine | None) -> Iterator[pa.RecordBatch]:

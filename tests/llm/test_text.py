@@ -291,6 +291,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs(spark, []), model).count() == 0
 
 
+def test_toxicity_is_not_fitted_on_the_driver(spark, monkeypatch):
+    def fit(*_):
+        raise AssertionError("the driver's memory is the smallest")
+
+    monkeypatch.setattr(toxicity.Machine, "fit", fit)
+    rows = labelled()[:200]
+    model = toxicity.train(docs(spark, [r[:2] for r in rows]), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert model.slot.max() == len(model.w) - 1
+
+
 def pair_rows(n, rule):
     """Texts of neutral terms and of two more, toxic by a rule on these two."""
     rng = np.random.default_rng(0)
