@@ -42,6 +42,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,6 +109,7 @@ class Pieces:
                 h = self._extend(h, np.array([ord(c)], np.uint64))
                 entries[int(h[0])] = i if j == len(piece) - 1 else entries.get(int(h[0]), -1)
         self.table = common.HashTable(entries)
+        self.spelling = pa.array(self.bytes, pa.large_binary())
         self._store: Store | None = None
 
     @staticmethod
@@ -372,20 +374,21 @@ class _Regions:
         return place, int(options[min(int(np.searchsorted(weight, v * weight[-1], side="right")), len(options) - 1)]), head
 
 
-def _group(pieces: Pieces, words: list[list[str]], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each row up to k samples (pieces, log_prob, value, log_inclusion)."""
-    flat = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
+def _group(pieces: Pieces, views: list[str | None], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """For each row (its `view_of`) up to k samples (pieces, log_prob, value, log_inclusion)."""
+    words = pc.split_pattern(pa.array(views, pa.string()), " ")
+    flat = words.flatten().dictionary_encode()
     distinct = flat.dictionary.to_pylist()
     lat = pieces.store().add(distinct)
     types = np.fromiter(map(lat.index.__getitem__, distinct), np.int64, len(distinct))[flat.indices.to_numpy()]
-    n = np.fromiter(map(len, words), np.int64, len(words))
+    n = pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64)
     base = np.concatenate([[0], np.cumsum(n)])
     start = lat.start[types]
     size = lat.start[types + 1] - start
     run = np.concatenate([[0], np.cumsum(size)])
     offset = run[:-1] - np.repeat(run[base[:-1]], n)  # of each word in its row's text
-    leaves: list[list[_Leaf]] = [[] for _ in words]
-    pools: list[list[tuple[float, _Regions]]] = [[] for _ in words]
+    leaves: list[list[_Leaf]] = [[] for _ in views]
+    pools: list[list[tuple[float, _Regions]]] = [[] for _ in views]
 
     # what each row draws now: (row, regions to leave or None, place, edge, log-probability up to it, value)
     jobs = [(r, None, 0, 0, 0.0, float(-np.log(-np.log(u)))) for r, u in enumerate(_uniform(keys, 0, 0, 0).tolist())]
@@ -412,10 +415,11 @@ def _group(pieces: Pieces, words: list[list[str]], keys: np.ndarray, k: int) ->
         cuts = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(many)])]
         lp = lat.log_prob[edges]
         later = []
+        own_keys = keys[[j[0] for j in jobs]][:, None]
+        cut_at, picked_at = (_uniform(own_keys, sample, np.arange(2)[None, :], purpose).tolist() for sample, purpose in ((turn, 2), (turn + 1, 3)))
         for j, (r, regions, place, edge, before, value) in enumerate(jobs):
             tail = edges[cuts[j] : cuts[j + 1]]
             log_p = float(lp[cuts[j] : cuts[j + 1]].sum())
-            u = _uniform(keys[r], turn, np.arange(2), 2).tolist()
             if regions is None:
                 leaf = _Leaf(tail, log_p, value)
                 found = [_Regions(lat, leaf, 0, 0.0, -float(np.expm1(log_p)), {})]
@@ -425,11 +429,11 @@ def _group(pieces: Pieces, words: list[list[str]], keys: np.ndarray, k: int) ->
                 leaf = _Leaf(np.concatenate([regions.leaf.edges[:place], [edge], tail]), head + log_p, value)
                 found = [_Regions(lat, leaf, place + 1, head, -float(np.expm1(log_p)), {}), regions.without(lat, place, edge, float(np.exp(own)))]
             leaves[r].append(leaf)
-            pools[r] += [(_cut(x.log_mass, value, w), x) for x, w in zip(found, u, strict=False) if x.log_mass > -np.inf]
+            pools[r] += [(_cut(x.log_mass, value, w), x) for x, w in zip(found, cut_at[j], strict=False) if x.log_mass > -np.inf]
             pools[r].sort(key=lambda x: -x[0])
             if pools[r] and turn < k - 1:
                 bound, best = pools[r].pop(0)
-                later.append((r, best, *best.pick(lat, *_uniform(keys[r], turn + 1, np.arange(2), 3).tolist()), bound))
+                later.append((r, best, *best.pick(lat, *picked_at[j]), bound))
         jobs = later
     out = []
     for r, found in enumerate(leaves):
@@ -442,13 +446,19 @@ def _group(pieces: Pieces, words: list[list[str]], keys: np.ndarray, k: int) ->
     return out
 
 
-def words_of(text: str | None) -> list[str]:
-    """The words of the model's view of a text: a space before it, spaces as U+2581."""
+def view_of(text: str | None) -> str | None:
+    """The words of the model's view of a text (a space before it, spaces as U+2581), parted by spaces; None without any."""
     if not text:
-        return []
+        return None
     if "  " in text or SPACE in text or text[-1] == " " or text[0] == " ":
-        return _word(SPACE + text.replace(" ", SPACE))
-    return (SPACE + text.replace(" ", " " + SPACE)).split(" ")
+        return " ".join(_word(SPACE + text.replace(" ", SPACE)))
+    return SPACE + text.replace(" ", " " + SPACE)
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words of `view_of`."""
+    view = view_of(text)
+    return view.split(" ") if view else []
 
 
 def spell(pieces: Pieces, found: np.ndarray) -> np.ndarray:
@@ -461,7 +471,9 @@ def spell(pieces: Pieces, found: np.ndarray) -> np.ndarray:
 
 
 def spelled_bytes(pieces: Pieces, ids: np.ndarray) -> bytes:
-    return b"".join(map(pieces.bytes.__getitem__, ids.tolist()))
+    taken = pieces.spelling.take(pa.array(ids, pa.int64()))
+    end = int(np.frombuffer(taken.buffers()[1], np.int64, len(ids) + 1)[-1]) if len(ids) else 0
+    return bytes(memoryview(taken.buffers()[2])[:end]) if end else b""
 
 
 def join(pieces: Pieces, ids: np.ndarray) -> str:
@@ -483,7 +495,7 @@ def sample_texts(pieces: Pieces, texts: list[str | None], keys: list[int], k: in
         while to < len(texts) and (to == at or chars + len(texts[to] or "") <= GROUP_CHARS):
             chars += len(texts[to] or "")
             to += 1
-        rows = _group(pieces, [words_of(t) for t in texts[at:to]], np.array(keys[at:to], np.int64).view(np.uint64), k)
+        rows = _group(pieces, [view_of(t) for t in texts[at:to]], np.array(keys[at:to], np.int64).view(np.uint64), k)
         out += [[(spell(pieces, p), *rest) for p, *rest in r] for r in rows]
         at = to
     return out
@@ -503,8 +515,8 @@ def _sample(batches: Iterator[pa.RecordBatch], path: str, k: int, ids_as: pa.Dat
                 # what decoding reads, before the first space is dropped and U+2581 turned into spaces
                 view = (SPACE + text.replace(" ", SPACE)).encode("utf-8", "surrogatepass") if text else b""
                 for s, (ids, log_p, value, inclusion) in enumerate(found):
-                    data = ids.astype("<u4")
-                    for col, v in zip(cols, (s, len(ids), zlib.crc32(data.tobytes()), log_p, value, inclusion, spelled_bytes(pieces, ids) == view, None if ids_as is None else data.tobytes() if ids_as == pa.binary() else data.astype(np.int32)), strict=True):
+                    data = ids.astype("<u4").tobytes()
+                    for col, v in zip(cols, (s, len(ids), zlib.crc32(data), log_p, value, inclusion, spelled_bytes(pieces, ids) == view, None if ids_as is None else data if ids_as == pa.binary() else ids.astype(np.int32)), strict=True):
                         col.append(v)
                     rows.append(at + i)
             types = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), ids_as or pa.null()]

@@ -197,6 +197,16 @@ def every_segmentation(pieces, text):
     return {tuple(segmentation.spell(pieces, np.array(k, np.int64)).tolist()): v for k, v in out.items()}
 
 
+def test_words_are_parted_without_a_python_object_for_each(monkeypatch):
+    pieces = segmentation.load(segmentation.model_file())
+    texts = ["the at\né", "", None, " a  b ", "x\u2581\u2581y", "one " * 3000]
+    want = [segmentation.words_of(t) for t in texts]
+    assert [(v.split(" ") if v else []) for v in map(segmentation.view_of, texts)] == want and want[3] == ["\u2581\u2581a", "\u2581\u2581b", "\u2581"]
+    monkeypatch.setattr(segmentation, "words_of", None)  # samples are drawn without it
+    for text, found in zip(texts, segmentation.sample_texts(pieces, texts, list(range(len(texts))), 2), strict=True):
+        assert found and all(segmentation.join(pieces, ids) == (text or "").replace("\u2581", " ") for ids, *_ in found)
+
+
 def test_samples_are_drawn_without_replacement():
     pieces = segmentation.load(segmentation.model_file())
     every = every_segmentation(pieces, "the at\né")
