@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\x1c-\x1f]"
+#: The characters of SPACE, one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MARK = r"[^\s\x1c-\x1f]"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 
@@ -20,7 +22,7 @@ def col(x: Column | str) -> Column:
 
 
 def strip(x: Column | str) -> Column:
-    return F.regexp_replace(col(x), rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col(x), F.lit(SPACES))
 
 
 def lines(x: Column | str) -> Column:

@@ -114,8 +114,8 @@ def segment_items(pages: DataFrame, text: str = "page_text", keys: tuple[str, ..
         F.when(F.col("n") == 1, "lonely_choice"),
         F.when(F.length("stem") < STEM_MIN, "short_stem"),
         F.when(F.col("number_label").rlike("^[IVX]+$"), "roman_numbered"),
-        F.when(F.exists("_stem", lambda p: p.rlike(SUBPART)), "has_subparts"),
-        F.when((F.col("n") == 0) & F.col("stem").rlike(INLINE), "inline_choices"),
+        F.when(F.exists("_stem", lambda p: p.startswith("(") & p.rlike(SUBPART)), "has_subparts"),
+        F.when((F.col("n") == 0) & (F.contains("stem", F.lit("A.")) | F.contains("stem", F.lit("A)"))) & F.col("stem").rlike(INLINE), "inline_choices"),
         F.when(cut, "truncated_at_page_end"),
     ))
     return got.select(*keys, F.col("item_seq").cast("int").alias("item_seq"), "number_label", "stem", "choices", "kind", "start_line", flags.alias("flags"))

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from leafmill.functions import text as t
 from leafmill.operators import segment
 
 from . import model
@@ -106,3 +107,11 @@ def test_no_exchange(spark):
     pages = spark.createDataFrame([("s", "d", 1, "1. x")], KEYS)
     plan = segment.segment_items(pages)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_strip_is_that_of_python_and_no_pattern(spark):
+    text = [f"{chr(c)}a{chr(c)}b{chr(c)}" for c in range(0x10000) if not 0xD800 <= c < 0xE000] + [" \u2003\x1f\t x \u3000\n", " \r\n", "", "\U0001f600 "]
+    df = spark.createDataFrame([(x,) for x in text], "x string")
+    got = df.select("x", t.strip("x").alias("y"))
+    assert all(r.y == r.x.strip() for r in got.collect())
+    assert "regexp_replace" not in got._jdf.queryExecution().toString()  # a pattern over every line of every page took a third of the segmentation
